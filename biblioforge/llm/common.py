@@ -49,3 +49,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
+
+
+def without_ids(docs: DataFrame, dropped: DataFrame, name: str) -> DataFrame:
+    """docs minus the rows whose doc_id is in dropped (doc_id); the ids travel if few, else both sides are dealt by doc_id."""
+    ids, _ = small_side(dropped.where(F.col("doc_id").isNotNull()).distinct(), name)
+    return docs.join(ids, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])

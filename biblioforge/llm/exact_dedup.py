@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import new_path, stash, text_or_empty
+from .common import new_path, stash, text_or_empty, without_ids
 
 BUCKETS = 16
 
@@ -69,6 +69,12 @@ def exact_dedup(docs: DataFrame, index: DigestIndex) -> DataFrame:
     )
 
 
+def distinct_documents(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
+    """The documents that stay, with all their columns."""
+    flags = exact_dedup(docs, index or DigestIndex(docs.sparkSession))
+    return without_ids(docs, flags.where(~F.col("kept")).select("doc_id"), "exact-copies")
+
+
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"), DigestIndex(spark))
 

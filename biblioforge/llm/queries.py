@@ -6,17 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, packing, simhash, token_files
+from . import additive_ann, exact_dedup, license_scan, mixing, packing, pii, simhash, token_counts, token_files, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+        "op2_source_mixing": mixing.op2_source_mixing,
+        "op3_additive_quantisation": additive_ann.op3_additive_quantisation,
         "op4_token_files": token_files.op4_token_files,
         "op5_packing": packing.op5_packing,
+        "op6_license_scan": license_scan.op6_license_scan,
+        "op7_toxicity": toxicity.op7_toxicity,
         "op8_simhash_near_dedup": simhash.op8_simhash_near_dedup,
+        "op9_token_counts": token_counts.op9_token_counts,
+        "op10_personal_data": pii.op10_personal_data,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": exact_dedup.ORACLE}
+    return {"op1_exact_dedup": exact_dedup.ORACLE, "op2_source_mixing": mixing.oracle()}

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stash
+from .common import stash, without_ids
 from .components import connected_components
 
 WORDS, SEED, BYTES, MAX_BITS = 4, 42, 8, 4
@@ -115,5 +115,11 @@ def simhash_components(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     )
 
 
+def one_of_each_component(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """The documents with the smallest doc_id of their component, with all their columns."""
+    found = simhash_components(docs, max_bits)
+    return without_ids(docs, found.where("doc_id <> component_id").select("doc_id"), "near-copies")
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
