@@ -51,7 +51,7 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
 
 def _fingerprints(batches):
     for batch in batches:
-        prints = [fingerprint(t) for t in batch.column("text").to_pylist()]
+        prints = [fingerprint(t.as_py()) for t in batch.column("text")]
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(np.array(prints, np.uint64).view(np.int64))], names=["doc_id", "fp"]
         )

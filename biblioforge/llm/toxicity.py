@@ -33,7 +33,7 @@ TRAIN_TOXIC, TRAIN_CLEAN, SEED = 3_000, 6_000, 17
 MIN_DOCS, MAX_FEATURES, BUCKETS = 3, 60_000, 1 << 22
 L1, COUNTERFACTUAL, STEPS = 1.2e-3, 1.0, 300
 #: Cached word scores per worker; a full cache is emptied.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 300_000
 WORD = re.compile(r"[^\W\d_]+")
 #: Sets of identity terms; terms of one set replace each other in counterfactual sentences.
 IDENTITY_SETS = (
