@@ -78,7 +78,7 @@ def referenced_works(df: DataFrame, works: DataFrame, exclude_books: bool = True
     pairs = main.join(listed, "doi_norm").select("SR_original", "doi_original", F.posexplode("cited_references").alias("position", "url"))
     pairs = pairs.withColumn("work_id", F.upper(F.substring_index("url", "/", -1)))
     columns = work_columns("w")
-    by_id = works.groupBy("work_id").agg(F.min_by(F.struct("*"), "doi_norm").alias("w"))
+    by_id = works.groupBy("work_id").agg(F.min_by(F.struct("*"), F.coalesce("doi_norm", F.lit(""))).alias("w"))
     joined = pairs.join(by_id, "work_id", "left")
     book = F.coalesce(F.lower("w.type").isin(*BOOK_TYPES), F.lit(False)) & F.lit(exclude_books)
     flat = [v.alias(k) for k, v in columns.items()]
