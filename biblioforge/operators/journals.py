@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.fuzzy import ratio, title_words, weighted_ratio
 from ..functions.text import blank_to_null, issn_key, journal_key
+from ..lineage import cut
 from .relational import fill_from, fill_group_mode, lookup_cascade, mode_by, ordered_concat, require, shortest, surrogate_ids
 
 
@@ -21,7 +22,7 @@ def standardise(df: DataFrame, seq: str = "seq") -> DataFrame:
     if "ismainarticle" in df.columns:
         names = mode_by(df.where("NOT ismainarticle AND source_title IS NOT NULL"), "source_title", "journal", seq, "longest", "_journal")
         df = df.join(names, "source_title", "left").withColumn("journal", F.when(~F.col("ismainarticle"), F.coalesce("_journal", "journal")).otherwise(F.col("journal"))).drop("_journal")
-    df = fill_group_mode(df, ["source_title", "journal"], ["issn", "eissn"], seq)
+    df = cut(fill_group_mode(cut(df), ["source_title", "journal"], ["issn", "eissn"], seq))
     return fill_group_mode(df, ["issn", "eissn"], ["journal", "source_title"], seq, overwrite=True)
 
 
@@ -43,7 +44,7 @@ def attach_ids(df: DataFrame, scimago: DataFrame, seq: str = "seq") -> DataFrame
     grouped = ordered_concat(df, keys, "SR", seq, "SR")
     table = scimago.select("sc_seq", F.col("sc_sourceid").cast("string").try_cast("long").alias("sourceid"), journal_key("sc_journal_abbr").alias("a"), journal_key("sc_title").alias("t"), issn_key("sc_issn").alias("i"))
     found = lookup_cascade(grouped, [(table, "a", "source_title"), (table, "t", "journal"), (table, "i", "issn")], "sourceid", "sc_seq")
-    return surrogate_ids(found, "sourceid", keys, "sourceid")
+    return surrogate_ids(cut(found), "sourceid", keys, "sourceid")
 
 
 def resolve_ids(journals: DataFrame, members: DataFrame, seq: str = "seq") -> tuple[DataFrame, DataFrame]:

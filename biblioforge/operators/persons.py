@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.identifiers import name_key, normalize_orcid, scopus_author_id, short_openalex
 from ..functions.text import blank_to_null
+from ..lineage import cut
 from .relational import conflicts, distinct_concat, unique_attach, union_by_name
 
 
@@ -29,13 +30,14 @@ def person_ids(authors: DataFrame) -> DataFrame:
 
 def consolidate(authors: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(AuthorPerson, AuthorAlias, AuthorConflicts)."""
-    a = person_ids(authors)
+    a = cut(person_ids(authors))
     kind = F.substring_index("PersonID", ":", 1)
     # rows known by name alone join the only person with an ORCID, else an OpenAlex id, of that name; e-mail rows the only ORCID person
     a = unique_attach(a, "_key", "PersonID", kind == "NAME", kind == "ORCID")
     a = unique_attach(a, "_key", "PersonID", kind == "NAME", kind == "OA")
     a = a.withColumn("_ke", F.concat_ws("|", "_key", F.when(F.col("_email").isNotNull(), F.col("_email"))))
     a = unique_attach(a, "_ke", "PersonID", kind == "NAMEEMAIL", (kind == "ORCID") & F.col("_email").isNotNull())
+    a = cut(a)
     alias = a.select("PersonID", "AuthorID", "AuthorFullName", "AuthorName", "Orcid", "Email", "OpenAlexAuthorID").distinct()
     person = a.groupBy("PersonID").agg(
         F.max_by("AuthorFullName", F.struct(F.length("AuthorFullName").alias("l"), F.col("AuthorFullName").alias("n"))).alias("CanonicalName"),

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.identifiers import filled_score
+from ..lineage import cut
 
 Keys = str | Sequence[str]
 
@@ -127,10 +128,12 @@ def fill_from(df: DataFrame, keys: Keys, value: str, filler: DataFrame, overwrit
 
 def fill_group_mode(df: DataFrame, passes: Sequence[str], values: Sequence[str], seq: str, overwrite: bool = False) -> DataFrame:
     """Per grouping column in turn: values from the group's mode (smallest on ties); a later pass sees the earlier one's result."""
-    for key in passes:
-        modes = reduce(
-            lambda a, b: a.join(b, key, "full"), [mode_by(df.where(F.col(key).isNotNull()), key, v, seq, "min", f"_{v}") for v in values]
-        )
+    for i, key in enumerate(passes):
+        if i:
+            df = cut(df)  # each pass reads its input twice
+        pairs = df.where(F.col(key).isNotNull()).select(key, F.explode(F.array(*[F.struct(F.lit(v).alias("c"), F.col(v).alias("v")) for v in values])).alias("_p"))
+        counts = pairs.where("_p.v IS NOT NULL").groupBy(key, "_p").agg((-F.count(F.lit(1))).alias("_n"))
+        modes = counts.groupBy(key).agg(*[F.min_by("_p.v", F.when(F.col("_p.c") == v, F.struct("_n", F.col("_p.v").alias("v")))).alias(f"_{v}") for v in values])
         joined = df.join(modes, key, "left")
         for v in values:
             joined = joined.withColumn(v, F.coalesce(f"_{v}", v) if overwrite else F.coalesce(v, f"_{v}"))
