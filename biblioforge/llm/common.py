@@ -52,6 +52,7 @@ def text_or_empty(column: str = "text"):
 
 
 def without_ids(docs: DataFrame, dropped: DataFrame, name: str) -> DataFrame:
-    """docs minus the rows whose doc_id is in dropped (doc_id); the ids travel if few, else both sides are dealt by doc_id."""
+    """docs minus the rows whose doc_id is in dropped (doc_id); the ids travel if few, else both sides are dealt by doc_id.
+    A null doc_id names no document, so such rows stay."""
     ids, _ = small_side(dropped.where(F.col("doc_id").isNotNull()).distinct(), name)
     return docs.join(ids, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])

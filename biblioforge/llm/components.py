@@ -45,7 +45,7 @@ def connected_components(links: DataFrame) -> DataFrame:
         # a state is its count and two order-free sums over its edges, all exact
         mixed = F.xxhash64("u", "v")
         state = edges.agg(F.count(F.lit(1)), F.bit_xor(mixed), F.sum(mixed.cast("decimal(38,0)"))).first()
-        if state == before:
+        if state == before or not state[0]:
             break
         before = state
     else:

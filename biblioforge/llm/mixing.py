@@ -132,9 +132,9 @@ def drawing_plan(rows: DataFrame, percent: int, max_epochs: int, seed: int) -> D
     return F.broadcast(plan) if n_leaves <= BROADCAST_ROWS else plan
 
 
-def copies(seed: int) -> Column:
-    drawn = F.struct(order_key(seed, F.col("epochs")).alias("key"), F.col("doc_id").cast("long").alias("doc_id")) <= F.col("edge")
-    return F.col("epochs") + F.coalesce(drawn, F.lit(False)).cast("long")
+def copies(seed: int, epochs: str = "epochs", edge: str = "edge") -> Column:
+    drawn = F.struct(order_key(seed, F.col(epochs)).alias("key"), F.col("doc_id").cast("long").alias("doc_id")) <= F.col(edge)
+    return F.col(epochs) + F.coalesce(drawn, F.lit(False)).cast("long")
 
 
 def _token_rows(docs: DataFrame) -> DataFrame:
@@ -152,8 +152,8 @@ def mix(docs: DataFrame, percent: int = BUDGET_PERCENT, max_epochs: int = MAX_EP
 def drawn_documents(docs: DataFrame, percent: int, max_epochs: int, seed: int = SEED) -> DataFrame:
     """The documents themselves, each as often as it is drawn, with their own columns only."""
     plan = drawing_plan(_token_rows(docs), percent, max_epochs, seed)
-    leaf = F.struct(*LEAF)
-    drawn = with_leaf(docs).join(plan.select(leaf.alias("_leaf"), "epochs", "edge"), "_leaf").withColumn("_copies", copies(seed)).where("_copies > 0")
+    plan = plan.select(F.struct(*LEAF).alias("_leaf"), F.col("epochs").alias("_epochs"), F.col("edge").alias("_edge"))
+    drawn = with_leaf(docs).join(plan, "_leaf").withColumn("_copies", copies(seed, "_epochs", "_edge")).where("_copies > 0")
     if max_epochs > 1:
         drawn = drawn.withColumn("_draw", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
     return drawn.select(*[f"`{c}`" for c in docs.columns])

@@ -39,3 +39,21 @@ def test_odd_documents_pass_every_stage(spark, sf, odd_docs, no_docs):
             assert docs.columns == start.columns
         assert cp.STAGES[-1][1](spark, docs, sf).columns == list(packing.LOCATED)
     assert len(cp.STAGES) == 5 and cp.ORACLE_SQL is None
+
+
+def test_null_ids_and_clashing_columns(spark, sf):
+    rows = [(None, "a b c d e", None, None, 1, 2, 3), (None, None, "en", "src1", 1, 2, 3), (1, "a b c d e", "en", "src1", 1, 2, 3), (1, "a b c d e", "en", "src1", 1, 2, 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, epochs int, kept int, component_id int")
+    from biblioforge.llm import exact_dedup, license_scan, pii, token_counts, token_files
+    from biblioforge.llm.common import new_path
+
+    folder = new_path(spark, "odd")
+    assert exact_dedup.exact_dedup(docs, exact_dedup.DigestIndex(spark)).count() == 4
+    assert mixing.mix(docs).count() == 4 and simhash.simhash_components(docs).count() == 4
+    assert token_files.read_token_files(token_files.write_token_files(docs, folder), folder).count() == 4
+    assert toxicity.score(docs, {"bias": 0.0, "weights": {}}).count() == 4 and token_counts.token_counts(docs).count() == 4
+    assert pii.find_personal_data(docs, {}).count() == 4 and license_scan.scan(docs).count() == 0
+    assert mixing.drawn_documents(docs, 100, 1).columns == docs.columns
+    for _, stage in cp.STAGES:
+        docs = stage(spark, docs, sf)
+    assert docs.count() >= 1
