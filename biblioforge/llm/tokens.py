@@ -22,7 +22,7 @@ if sys.byteorder != "little" or array("I").itemsize != 4:
 WORD_VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 #: Entries of each cache; a full cache is emptied. About 200 bytes an entry.
-CACHE_CHUNKS, CACHE_PIECES = 250_000, 500_000
+CACHE_CHUNKS, CACHE_PIECES = 350_000, 700_000
 #: Latin-1 bytes on which Python and the vocabulary's normaliser and split pattern agree: ASCII blanks and printable
 #: characters, and Latin-1 signs and letters but for the no-break space, the soft hyphen, superscripts, ordinals and fractions.
 PLAIN = bytes(

@@ -105,9 +105,11 @@ def fit(rows: list) -> dict[str, object]:
     ids = [np.frombuffer(r[1], np.uint32) for r in rows]
     counts = [np.frombuffer(r[2], np.uint16) for r in rows]
     sizes = np.array([len(x) for x in ids])
-    doc, flat = np.repeat(np.arange(len(rows)), sizes), np.concatenate(ids)
-    used, column = np.unique(flat, return_inverse=True)
-    positive = np.bincount(column, labels[doc], len(used))
+    doc, flat = np.repeat(np.arange(len(rows), dtype=np.int32), sizes), np.concatenate(ids)
+    used = np.unique(flat)
+    column = np.searchsorted(used, flat).astype(np.int32)
+    del flat, ids
+    positive = np.bincount(column[(labels == 1)[doc]], minlength=len(used)).astype(np.float64)
     total = np.bincount(column, minlength=len(used))
     p, n = labels.sum(), len(rows) - labels.sum()
     ratio = np.log((positive + 0.5) / (p + 1)) - np.log((total - positive + 0.5) / (n + 1))
@@ -120,11 +122,11 @@ def fit(rows: list) -> dict[str, object]:
     keep = np.sort(keep[z[keep] > 2.0])
     if not len(keep):
         return {"bias": math.log(p / n), "weights": {}}
-    place = np.full(len(used), -1)
+    place = np.full(len(used), -1, np.int32)
     place[keep] = np.arange(len(keep))
-    value = np.minimum(np.concatenate(counts), 8).astype(np.float64)
     inside = place[column] >= 0
-    doc, feature, value = doc[inside], place[column[inside]], value[inside]
+    doc, feature, value = doc[inside], place[column[inside]], np.minimum(np.concatenate(counts)[inside], 8).astype(np.float64)
+    del column, counts
     where = {int(used[k]): i for i, k in enumerate(keep)}
     # one row per distinct swap: the difference of two words' features, weighted by how many sentences mention the first
     mentions: dict[tuple[str, str], int] = {}
