@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.fuzzy import ratio, title_words, weighted_ratio
+from ..functions.fuzzy import TitleIndex, title_words
 from ..functions.text import blank_to_null, issn_key, journal_key
 from ..lineage import cut
 from .relational import fill_from, fill_group_mode, lookup_cascade, mode_by, ordered_concat, require, shortest, surrogate_ids
 
+#: Titles and values of one task of match_titles.
+TITLE_BLOCK, VALUE_BLOCK = 20_000, 1_000
+
 
 def standardise(df: DataFrame, seq: str = "seq") -> DataFrame:
     """Journal names and ISSNs made consistent: for references, the commonest (then longest) journal of a source_title; gaps from the
@@ -69,40 +70,40 @@ def add_metrics(pairs: DataFrame, articles: DataFrame, scimago: DataFrame, seq:
 def match_titles(values: DataFrame, titles: DataFrame, cutoff: float, weighted: bool = False) -> DataFrame:
     """values (title), titles (title, target, seq) -> title, matched, target, score of the best match at or above cutoff; first best wins.
 
-    Works on distinct values. Equal titles match at once; for the rest candidates share a word. Words are numbered by how many titles
-    hold them, and only a title's rarest words are keys: as many that a match must share one, so that common
-    words make no hot group. Scores run in Arrow batches over candidate pairs only."""
+    Works on distinct values. Equal titles match at once. The rest meet all titles: values and titles are dealt into blocks, one task works
+    on one pair of blocks, skips only pairs whose proven upper bound (functions.fuzzy: TitleIndex) cannot win, and returns one row per
+    value at most, so that common words make no hot group and memory is fixed."""
     v = values.where(blank_to_null("title").isNotNull()).select(F.upper(F.trim("title")).alias("title")).distinct()
     t = titles.where(blank_to_null("title").isNotNull()).select(F.upper(F.trim("title")).alias("title"), "target", "seq").groupBy("title").agg(
         F.min_by("target", "seq").alias("target"), F.min("seq").alias("seq")
     )
+    t = cut(t)
     same = v.join(t, "title").select("title", F.col("title").alias("matched"), "target", F.lit(100.0).alias("score"), "seq")
-    rest = v.join(t.select("title"), "title", "left_anti")
-
-    def words(x: Column) -> Column:
-        return F.array_distinct(F.filter(F.split(x, r"[^\p{L}\p{N}]+"), lambda w: F.length(w) >= 3))
-
-    common = t.select(F.explode(words(F.col("title"))).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-    keyed_t = t.select("title", F.explode_outer(words(F.col("title"))).alias("w"))
-    keyed_v = rest.select("title", F.explode(words(F.col("title"))).alias("w")).join(common, "w")
-    from pyspark.sql import Window
-
-    rare = F.row_number().over(Window.partitionBy("title").orderBy("n", "w"))
-    keyed_v = keyed_v.withColumn("_r", rare).where("_r <= 3").select(F.col("title").alias("v"), "w")
-    pairs = keyed_v.join(keyed_t.withColumnRenamed("title", "t"), "w").select("v", "t").distinct()
-    if not weighted:
-        # Indel similarity s needs lengths within s / (200 - s)
-        least = cutoff / (200.0 - cutoff)
-        a, b = F.length("v"), F.length("t")
-        pairs = pairs.where((F.least(a, b) >= F.greatest(a, b) * least - 1e-9) & (F.levenshtein("v", "t") <= (a + b) * (1 - cutoff / 100) + 1e-9))
-
-    def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        score = weighted_ratio if weighted else ratio
-        for pdf in batches:
-            out = pdf.assign(score=[score(x, y) for x, y in zip(pdf["v"], pdf["t"])])
-            yield out[out["score"] >= cutoff]
-
-    found = pairs.mapInPandas(scored, "v string, t string, score double").join(t.withColumnRenamed("title", "t"), "t")
+    rest = cut(v.join(t.select("title"), "title", "left_anti"))
+    title_blocks, value_blocks = max(1, -(-t.count() // TITLE_BLOCK)), max(1, -(-rest.count() // VALUE_BLOCK))
+
+    def block(column: str, blocks: int) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(blocks)).cast("int")
+
+    def every(blocks: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+
+    asked = rest.select(F.col("title").alias("v"), block("title", value_blocks).alias("vb")).withColumn("tb", every(title_blocks))
+    # without a seq a title comes last
+    known = t.select(F.col("title").alias("t"), F.coalesce(F.col("seq").cast("long"), F.lit(2**62)).alias("o"), block("title", title_blocks).alias("tb")).withColumn("vb", every(value_blocks))
+
+    def scored(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(left) and len(right):
+            index = TitleIndex(right["t"].tolist(), right["o"].to_numpy(), weighted)
+            for value in left["v"]:
+                hit = index.best(value, cutoff)
+                if hit:
+                    out.append((value, index.titles[hit[0]], hit[1]))
+        return pd.DataFrame(out, columns=["v", "t", "score"]).astype({"v": object, "t": object, "score": float})
+
+    pairs = asked.groupBy("tb", "vb").cogroup(known.groupBy("tb", "vb")).applyInPandas(scored, "v string, t string, score double")
+    found = pairs.join(t.withColumnRenamed("title", "t"), "t")
     near = found.select(F.col("v").alias("title"), F.col("t").alias("matched"), "target", "score", "seq")
     both = same.unionByName(near).groupBy("title").agg(F.max_by(F.struct("matched", "target", "score"), F.struct("score", (-F.col("seq")).alias("s"))).alias("b"))
     return both.select("title", "b.*")
