@@ -3,8 +3,9 @@
 A vector is coded as a sum of one entry from each of BOOKS full-dimensional codebooks. Codebooks come from residual
 k-means on a bounded sample, refitted by least squares; every vector is coded by beam search; its code and the norm of its
 reconstruction error are stored. A query scores codes through lookup tables of its inner products with all entries; by
-Cauchy-Schwarz the stored error norm bounds how far the true product can lie above the table score, and the candidates with
-the best scores of a block are reranked by the exact product in double precision.
+Cauchy-Schwarz the stored error norm bounds how far the true product can lie above the table score. The candidates with
+the best scores of a block are reranked by the exact product in double precision, then in order of their bounds all whose
+bound reaches the k-th exact product, so that the k best are exact.
 
 Queries meet rows in blocks: rows are dealt into blocks of BLOCK_ROWS, queries into blocks of BLOCK_QUERIES, and one
 task works on one pair of blocks, so its memory is fixed. Per query a block returns its k best, not its
@@ -124,7 +125,7 @@ def _index(batches, books):
         if len(pdf):
             x = np.stack(pdf["embedding"].to_numpy()).astype(np.float64)
             codes = encode_blocks(x.astype(np.float32), books)
-            error = np.linalg.norm(x - decode(codes, books), axis=1)
+            error = np.linalg.norm(x - decode(codes, books.astype(np.float64)), axis=1)
             yield pd.DataFrame({"vec_id": pdf["vec_id"], "vector": [r.tobytes() for r in x], "code": [c.tobytes() for c in codes], "error_norm": error})
 
 
@@ -134,31 +135,41 @@ def build_index(vectors: DataFrame, books: np.ndarray) -> DataFrame:
 
 
 def search_block(queries: pd.DataFrame, rows: pd.DataFrame, books: np.ndarray, k: int, rerank: int) -> pd.DataFrame:
-    """Exact k best of the rerank best-scored rows, per query; both sides hold vec_id and vector, rows also code and error_norm."""
+    """Exact k best, per query: the rerank best-scored rows, then more as long as score + |q| * error_norm reaches the k-th exact product.
+
+    Both sides hold vec_id and vector, rows also code and error_norm."""
     rows = rows.sort_values("vec_id", kind="stable")
     ids, qids = rows["vec_id"].to_numpy(np.int64), queries["query_id"].to_numpy(np.int64)
     x = np.frombuffer(b"".join(rows["vector"]), np.float64).reshape(len(ids), -1)
     q = np.frombuffer(b"".join(queries["vector"]), np.float64).reshape(len(qids), -1)
     codes = np.frombuffer(b"".join(rows["code"]), np.uint8).reshape(len(ids), -1)
-    take, out = min(rerank, len(ids)), []
+    # the slack covers rounding in double precision, relative to the norms
+    error = rows["error_norm"].to_numpy(np.float64) + 1e-11 * (np.linalg.norm(x, axis=1) + rows["error_norm"].to_numpy(np.float64))
+    books, out = books.astype(np.float64), []
     for a in range(0, len(qids), 128):
         part = q[a : a + 128]
-        tables = np.einsum("bkd,qd->bqk", books, part.astype(np.float32))
-        score = np.zeros((len(part), len(ids)), np.float32)
+        tables = np.einsum("bkd,qd->bqk", books, part)
+        score = np.zeros((len(part), len(ids)))
         for b in range(len(books)):
             score += tables[b][:, codes[:, b]]
+        bound = score + np.linalg.norm(part, axis=1)[:, None] * error
         for i in range(len(part)):
-            s = score[i]
-            if take < len(ids):
-                cut = np.partition(s, len(ids) - take)[len(ids) - take]
-                above = np.flatnonzero(s > cut)
-                best = np.concatenate([above, np.flatnonzero(s == cut)[: take - len(above)]])  # rows are in order of vec_id
-            else:
-                best = np.arange(len(ids))
-            best = best[ids[best] != qids[a + i]]
-            exact = (x[best] * part[i]).sum(1)
-            order = np.lexsort((ids[best], -exact))[:k]
-            out.append((np.full(len(order), qids[a + i]), ids[best][order], exact[order]))
+            left = np.flatnonzero(ids != qids[a + i])
+            near, exact, step = left[:0], np.zeros(0), max(rerank, k)
+            by = score[i]
+            while len(left):
+                if len(left) > step:
+                    order = np.argpartition(-by[left], step - 1)
+                    take, left = left[order[:step]], left[order[step:]]
+                else:
+                    take, left = left, left[:0]
+                near, exact = np.concatenate([near, take]), np.concatenate([exact, (x[take] * part[i]).sum(1)])
+                best = np.lexsort((ids[near], -exact))[:k]
+                near, exact = near[best], exact[best]
+                if len(near) == k:
+                    left = left[bound[i][left] >= exact[-1]]
+                by, step = bound[i], 2 * step
+            out.append((np.full(len(near), qids[a + i]), ids[near], exact))
     found = [np.concatenate(c) for c in zip(*out)] or [[], [], []]
     return pd.DataFrame({"query_id": found[0], "vec_id": found[1], "score": found[2]})
 
