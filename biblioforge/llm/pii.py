@@ -2,11 +2,14 @@
 
 Base spans come from the stated patterns. The field's nodes are the white-space tokens of a document that hold a digit
 or an at sign, the only ones that any kind can label; their states are the four kinds and "none". Node potentials are a
-softmax over character-shape features, trained here on tokens that the base patterns label (distant supervision on a
-bounded sample of documents). Tokens whose cleaned forms are equal, or that share their digits or their e-mail user,
-are joined through a hub per form: the skip chains, linear in the number of mentions. Loopy sum-product passes over
-the tokens and hubs spread the clamped base labels. A token outside the base spans becomes a span if its kind's
-belief reaches ADD, an equal or similar token in the same document has that kind, and its own form admits the kind.
+softmax over character-shape features; neighbouring nodes with no word between share chain potentials. Both are trained here
+by pseudo-likelihood on tokens that the base patterns label (distant supervision on a bounded sample of documents). Tokens
+whose cleaned forms are equal, or that share their digits or their e-mail user, are joined through a hub per form: the skip
+chains, linear in the number of mentions. A number split over several tokens is a node of its own if it repeats a base mention;
+numbers are the same if their digits are, leading zeros (trunk 0, 00) left out, or if one lacks the other's country code, of up to
+three digits. Loopy sum-product passes over nodes, chains and hubs spread the clamped base labels. What lies outside the base
+spans becomes a span if its kind's belief reaches ADD, an equal or similar mention in the same document has that
+kind, and its own form admits the kind.
 
 Rules for odd input: null text counts as empty; texts without nodes are done at once; very long texts are worked
 through whole, memory is linear in their nodes; repeated rows give equal results; an empty table gives no rows.
@@ -35,7 +38,9 @@ LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
 DIGIT, NODE_SIGN, TOKEN = re.compile("[0-9]"), re.compile("[0-9@]"), re.compile(r"\S+")
 #: Training documents (those with the least seeded hash among documents with nodes), training tokens, belief to add a span.
 TRAIN_DOCS, TRAIN_TOKENS, SEED, ADD = 4_000, 60_000, 29, 0.9
-PASSES = 6
+PASSES, COUPLING = 6, 3.0
+#: Digits that a number must share with another one to be the same.
+LEAST_DIGITS = 7
 TRIM = "\"'()[]{}<>,;:!?"
 
 
@@ -140,6 +145,44 @@ def forms(token: str) -> list[str]:
     return out
 
 
+def numbers_of(kind: int, text: str) -> list[str]:
+    """Digits under which a base card or phone can be repeated: leading zeros left out, and for phones the country code (with a trunk 0)."""
+    digits = re.sub("[^0-9]", "", text)
+    found = {digits} if kind == 2 else {d[j:] for d in (digits, re.sub("[^0-9]", "", text.replace("(0)", ""))) for j in range(4)}
+    return sorted({d for d in (d.lstrip("0") for d in found) if len(d) >= LEAST_DIGITS})
+
+
+def number_runs(text: str, nodes: list[tuple[int, int]], labels: list[int], known: dict[str, int]) -> list[tuple[int, int, str]]:
+    """(first node, last node, digits) of neighbouring unlabelled nodes, one or more, that together repeat a known number; longest first."""
+    out = []
+    for i in range(len(nodes)):
+        digits = ""
+        for j in range(i, len(nodes)):
+            a, b = nodes[j]
+            if labels[j] != NONE or (j > i and not near(text, nodes[j - 1], nodes[j])) or "@" in text[a:b] or any(c.isalpha() for c in text[a:b]):
+                break
+            digits += re.sub("[^0-9]", "", text[a:b])
+            if len(digits) > 24:
+                break
+            if digits.lstrip("0") in known:
+                out.append((i, j, digits.lstrip("0")))
+    return sorted(out, key=lambda r: (r[0] - r[1], r[0]))
+
+
+def near(text: str, left: tuple[int, int], right: tuple[int, int]) -> bool:
+    """Whether only blanks and punctuation lie between two nodes."""
+    between = text[left[1] : right[0]]
+    return len(between) <= 8 and not any(c.isalnum() for c in between)
+
+
+def chain_of(weights: dict[str, list[float]]) -> np.ndarray:
+    """Chain log-potentials (left kind x right kind): the mean of what the left and the right neighbour's kind were worth in training."""
+    nothing = [0.0] * (NONE + 1)
+    after = np.array([weights.get(f"before{k}", nothing) for k in range(NONE + 1)])
+    before = np.array([weights.get(f"after{k}", nothing) for k in range(NONE + 1)])
+    return (after + before.T) / 2
+
+
 def label_of(span: tuple[int, int], base: list[tuple[int, int, int]]) -> int:
     """Kind of the base span that overlaps a node, or NONE."""
     return next((k for k, s, e in base if s < span[1] and span[0] < e), NONE)
@@ -165,35 +208,46 @@ def fit_shapes(examples: list[tuple[list[str], int]]) -> dict[str, list[float]]:
     return {f: [round(v, 9) for v in w[i]] for f, i in where.items()}
 
 
-def beliefs(unary: np.ndarray, hubs: list[list[int]], coupling: float = 3.0, passes: int = PASSES) -> np.ndarray:
-    """Loopy sum-product on tokens and hubs: each hub is a hidden label that its tokens share with odds exp(coupling).
+def beliefs(unary: np.ndarray, hubs: list[list[int]], coupling: float | list[float] = COUPLING, passes: int = PASSES, edges: list[tuple[int, int]] = (), chain: np.ndarray | None = None) -> np.ndarray:
+    """Loopy sum-product on nodes, hubs and chains: each hub is a hidden label that its nodes share with odds exp(coupling), one for all
+    hubs or one for each; nodes of an edge (left, right) share the chain's log-potentials.
 
-    unary: log-potentials (tokens x states). Work is linear in the links between tokens and hubs."""
+    unary: log-potentials (nodes x states). Work is linear in the links between nodes and hubs and in the edges."""
     links = [(t, h) for h, ts in enumerate(hubs) for t in ts]
-    if not links:
-        p = np.exp(unary - unary.max(1, keepdims=True))
-        return p / p.sum(1, keepdims=True)
-    token, hub = np.array([t for t, _ in links]), np.array([h for _, h in links])
     states = unary.shape[1]
-    stay, move = math.exp(coupling), 1.0
+    token, hub = (np.array([x[i] for x in links], np.int64) for i in (0, 1))
+    stay = np.exp(np.broadcast_to(np.asarray(coupling, float), len(hubs)))[hub][:, None]
+    # every edge in both directions: messages from source to target, and the place of the opposite one
+    source, target = (np.array([e[i] for e in edges] + [e[1 - i] for e in edges], np.int64) for i in (0, 1))
+    opposite = np.roll(np.arange(2 * len(edges)), len(edges))
+    potentials = np.stack([chain] * len(edges) + [chain.T] * len(edges)) if len(edges) else np.zeros((0, states, states))
+
+    def scaled(m: np.ndarray) -> np.ndarray:
+        p = np.exp(m - m.max(1, keepdims=True))
+        return p / p.sum(1, keepdims=True)
 
     def across(m: np.ndarray) -> np.ndarray:
-        p = np.exp(m - m.max(1, keepdims=True))
-        p = move * p.sum(1, keepdims=True) + (stay - move) * p
+        p = scaled(m)
+        p = p.sum(1, keepdims=True) + (stay - 1.0) * p
         return np.log(p / p.sum(1, keepdims=True))
 
-    down = np.zeros((len(links), states))
-    for _ in range(passes):
+    down, side = np.zeros((len(links), states)), np.zeros((2 * len(edges), states))
+    for _ in range(passes if len(links) or len(edges) else 0):
         total = unary.copy()
         np.add.at(total, token, down)
+        np.add.at(total, target, side)
         up = across(total[token] - down)
         heard = np.zeros((len(hubs), states))
         np.add.at(heard, hub, up)
         down = across(np.clip(heard[hub] - up, -60, 60))
+        z = (total[source] - side[opposite])[:, :, None] + potentials
+        top = z.max(1, keepdims=True)
+        side = (np.log(np.exp(z - top).sum(1, keepdims=True)) + top)[:, 0]
+        side = side - side.max(1, keepdims=True) if len(edges) else side
     total = unary.copy()
     np.add.at(total, token, down)
-    p = np.exp(total - total.max(1, keepdims=True))
-    return p / p.sum(1, keepdims=True)
+    np.add.at(total, target, side)
+    return scaled(total)
 
 
 def added_spans(text: str, base: list[tuple[int, int, int]], weights: dict[str, list[float]], add: float = ADD) -> list[tuple[int, int, int]]:
@@ -209,69 +263,103 @@ def added_spans(text: str, base: list[tuple[int, int, int]], weights: dict[str,
     for i, t in enumerate(tokens):
         for f in forms(t):
             members.setdefault(f, []).append(i)
-    # a mention split by blanks is one base span: its digits make a hub that an unsplit repetition can join
     unary = np.zeros((len(nodes), NONE + 1))
     for i, (t, k) in enumerate(zip(tokens, labels)):
-        if k < NONE:
-            unary[i] = -30.0
-            unary[i, k] = 0.0
-        else:
-            for f in shape(t):
-                if f in weights:
-                    unary[i] += weights[f]
-    extra = []
+        unary[i] = _pinned(k) if k < NONE else _potentials(t, weights)
+    # a mention split by blanks is one base span: its digits make a hub that a repetition, split or not, can join
+    extra, known = [], {}
     for k, s, e in base:
         digits = re.sub("[^0-9]", "", text[s:e])
-        if k in (2, 3) and f"d{digits[-10:]}" in members and len(digits) >= 7:
-            extra.append((k, f"d{digits[-10:]}"))
-    if extra:
-        pinned = np.full((len(extra), NONE + 1), -30.0)
-        for j, (k, f) in enumerate(extra):
-            pinned[j, k] = 0.0
-            members[f].append(len(nodes) + j)
-        unary = np.vstack([unary, pinned])
+        if k in (2, 3):
+            if f"d{digits[-10:]}" in members and len(digits) >= 7:
+                extra.append((k, f"d{digits[-10:]}"))
+            for number in numbers_of(k, text[s:e]):
+                known.setdefault(number, k)
+    for j, (k, f) in enumerate(extra):
+        members[f].append(len(nodes) + j)
+    kind_of, spans = labels + [k for k, _ in extra], nodes + [None] * len(extra)
+    rows, edges = [_pinned(k) for k, _ in extra], [(i, i + 1) for i in range(len(nodes) - 1) if near(text, nodes[i], nodes[i + 1])]
+    joined = set(edges)
     hubs = [ts for ts in members.values() if len(ts) > 1]
+    first, coupling, pins, covers = len(hubs), [COUPLING] * len(hubs), {}, {}
+    for i, j, number in number_runs(text, nodes, labels, known) if known else []:
+        if number not in pins:  # one clamped node and one hub per number
+            kind_of.append(known[number])
+            spans.append(None)
+            rows.append(_pinned(known[number]))
+            pins[number] = len(hubs)
+            hubs.append([len(spans) - 1])
+            # a chance match of its digits has odds of 1 to 10 ** digits
+            coupling.append(min(len(number), 15) * math.log(10))
+        if i == j:
+            hubs[pins[number]].append(i)
+            continue
+        a, b = nodes[i][0], nodes[j][1]
+        spans.append((a - (text[a - 1 : a] == "(" and ")" in text[a:b]), b))
+        covers[len(spans) - 1] = range(i, j + 1)
+        kind_of.append(NONE)
+        rows.append(_potentials("".join(text[a:b].split()), weights))
+        hubs[pins[number]].append(len(spans) - 1)
+        edges += [(i - 1, len(spans) - 1)] * ((i - 1, i) in joined) + [(len(spans) - 1, j + 1)] * ((j, j + 1) in joined)
     if not hubs:
         return []
-    kind_of = labels + [k for k, _ in extra]
-    p = beliefs(unary, hubs)
-    support = [set() for _ in unary]
-    for ts in hubs:
+    p = beliefs(np.vstack([unary, *rows]), hubs, coupling, edges=edges, chain=chain_of(weights))
+    support, same = [set() for _ in spans], [0] * len(spans)
+    for h, ts in enumerate(hubs):
         kinds = {kind_of[t] for t in ts} - {NONE}
         for t in ts:
             support[t] |= kinds
-    out = []
-    for i, (a, b) in enumerate(nodes):
-        if labels[i] == NONE:
-            k = int(p[i, :NONE].argmax())
-            if p[i, k] >= add and k in support[i] and admits(tokens[i], k):
-                out.append((k, a, b))
+            if h >= first:
+                same[t] = 1
+    out, taken = [], set()
+    # numbers of several nodes come first, the longest before the others
+    for i in [*range(len(nodes) + len(extra), len(spans)), *range(len(nodes))]:
+        if kind_of[i] == NONE and spans[i]:
+            (a, b), k = spans[i], int(p[i, :NONE].argmax())
+            if p[i, k] >= add and k in support[i] and (admits("".join(text[a:b].split()), k) or same[i] and k in (2, 3)):
+                held = covers.get(i, range(i, i + 1))
+                if taken.isdisjoint(held):
+                    out.append((k, a, b))
+                    taken.update(held)
     return out
 
 
+def _pinned(kind: int) -> np.ndarray:
+    return np.where(np.arange(NONE + 1) == kind, 0.0, -30.0)
+
+
+def _potentials(token: str, weights: dict[str, list[float]]) -> np.ndarray:
+    return np.sum([np.zeros(NONE + 1), *(weights[f] for f in shape(token) if f in weights)], axis=0)
+
+
 def digest(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for k, s, e in sorted(spans))
 
 
 def _examples(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        tokens, kinds = [], []
+        tokens, kinds, befores, afters = [], [], [], []
         for text in batch.column("text").to_pylist():
             base = base_spans(text)
-            for span in nodes_of(text):
-                tokens.append(text[span[0] : span[1]][:200])
-                kinds.append(label_of(span, base))
-        yield pa.RecordBatch.from_arrays([pa.array(tokens, pa.string()), pa.array(kinds, pa.int32())], names=["token", "kind"])
+            nodes = nodes_of(text)
+            labels = [label_of(span, base) for span in nodes]
+            linked = [near(text, a, b) for a, b in zip(nodes, nodes[1:])]
+            tokens += [text[a:b][:200] for a, b in nodes]
+            kinds += labels
+            # the neighbours' kinds, -1 without a neighbour
+            befores += [-1] * bool(nodes) + [k if x else -1 for k, x in zip(labels, linked)]
+            afters += [k if x else -1 for k, x in zip(labels[1:], linked)] + [-1] * bool(nodes)
+        yield pa.RecordBatch.from_arrays([pa.array(tokens, pa.string()), *(pa.array(x, pa.int32()) for x in (kinds, befores, afters))], names=["token", "kind", "before", "after"])
 
 
 def train(docs: DataFrame, docs_bound: int = TRAIN_DOCS) -> dict[str, list[float]]:
-    """Shape potentials from a bounded sample of documents; labels are the base patterns' own."""
+    """Shape and chain potentials from a bounded sample of documents; labels are the base patterns' own."""
     order = [F.xxhash64("doc_id", F.lit(SEED)), "doc_id"]
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     some = rows.where(F.col("text").rlike("[0-9@]")).select("doc_id").orderBy(*order).limit(docs_bound)
     texts = rows.where(F.col("text").isNotNull()).join(F.broadcast(some), "doc_id", "left_semi")
-    counted = texts.mapInArrow(_examples, "token string, kind int").orderBy(F.xxhash64("token", "kind"), "token", "kind").limit(TRAIN_TOKENS).collect()
-    return fit_shapes([(shape(r.token), r.kind) for r in counted])
+    counted = texts.mapInArrow(_examples, "token string, kind int, before int, after int").orderBy(F.xxhash64("token", "kind"), "token", "kind", "before", "after").limit(TRAIN_TOKENS).collect()
+    return fit_shapes([(shape(r.token) + [f"before{r.before}"] * (r.before >= 0) + [f"after{r.after}"] * (r.after >= 0), r.kind) for r in counted])
 
 
 def _find(batches: Iterable[pa.RecordBatch], weights: dict[str, list[float]]) -> Iterator[pa.RecordBatch]:
