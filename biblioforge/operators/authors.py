@@ -24,6 +24,10 @@ from .relational import keep_first, mode_by, require
 MAX_FULL_NAMES = 5
 
 
+def _without(slots: Column, taken: Column) -> Column:
+    return F.when(taken.isNull(), slots).otherwise(F.filter(slots, lambda s: s["i"] != taken))
+
+
 def assign_emails(fullnames: Column, emails: Column) -> Column:
     """E-mail of each author (array of full names), by position.
 
@@ -33,26 +37,30 @@ def assign_emails(fullnames: Column, emails: Column) -> Column:
     order = "array<struct<name:string,email:int>>"
     slots = F.transform(emails, lambda e, i: F.struct(i.alias("i"), F.lower(F.substring_index(e, "@", 1)).alias("user")))
 
-    def score(user: Column, name: Column) -> Column:
+    def parts(name: Column) -> Column:
         low = F.lower(or_text(name))
         comma = F.contains(low, F.lit(","))
         words = F.split(F.trim(F.replace(low, F.lit(","), F.lit(" "))), r"\s+")
         last = F.when(comma, F.trim(F.substring_index(low, ",", 1))).otherwise(F.get(words, F.lit(0)))
         given = F.when(comma, F.trim(F.substring(low, F.instr(low, ",") + F.lit(1), F.length(low)))).otherwise(or_text(F.get(words, F.lit(1))))
-        points = F.when((last != "") & F.contains(user, last), 3).otherwise(0) + F.when((given != "") & F.contains(user, F.left(given, F.lit(1))), 2).otherwise(0)
-        return points + F.size(F.filter(words, lambda w: (F.length(w) > 2) & F.contains(user, w)))
+        long = F.filter(words, lambda w: F.length(w) > 2)
+        return F.struct(name.alias("name"), last.alias("last"), F.left(given, F.lit(1)).alias("initial"), long.alias("long"))
 
-    def step(acc: Column, name: Column) -> Column:
-        ranked = F.transform(acc["left"], lambda s: F.struct(score(s["user"], name).alias("points"), (-s["i"]).alias("at"), s["user"].alias("user")))
+    def score(user: Column, n: Column) -> Column:
+        points = F.when((n["last"] != "") & F.contains(user, n["last"]), 3).otherwise(0) + F.when((n["initial"] != "") & F.contains(user, n["initial"]), 2).otherwise(0)
+        return points + F.size(F.filter(n["long"], lambda w: F.contains(user, w)))
+
+    def step(acc: Column, n: Column) -> Column:
+        ranked = F.transform(acc["left"], lambda s: F.struct(score(s["user"], n).alias("points"), (-s["i"]).alias("at"), s["user"].alias("user")))
         best = F.array_max(F.filter(ranked, lambda r: r["points"] > 0))
-        taken = F.when(best.isNotNull(), -best["at"])
-        return F.struct(
-            F.concat(acc["out"], F.array(F.struct(name.alias("name"), taken.cast("int").alias("email")))).alias("out"),
-            F.filter(acc["left"], lambda s: taken.isNull() | (s["i"] != taken)).alias("left"),
-        )
+        found = F.struct(n["name"].alias("name"), (-best["at"]).cast("int").alias("email"))
+        out = F.concat(acc["out"], F.array(found))
+        # read back from out, so that the ranking is computed once a name
+        return F.transform(F.array(out), lambda o: F.struct(o.alias("out"), _without(acc["left"], F.element_at(o, -1)["email"]).alias("left")))[0]
 
     start = F.struct(F.array().cast(order).alias("out"), slots.alias("left"))
-    matched = F.aggregate(fullnames, start, step)
+    # what a name scores by is worked out once a name, not once a pair
+    matched = F.aggregate(F.transform(fullnames, parts), start, step)
 
     def finish(acc: Column) -> Column:
         gaps = F.filter(F.transform(acc["out"], lambda a, i: F.when(a["email"].isNull(), i)), lambda i: i.isNotNull())
