@@ -55,7 +55,10 @@ class TokenFileWriter:
 
     def add(self, doc_id: int, ids: bytes) -> None:
         """ids: little-endian unsigned 32-bit integers."""
-        content = ids if self.width == 4 else np.frombuffer(ids, "<u4").astype("<u2").tobytes()
+        wide = np.frombuffer(ids, "<u4")
+        if self.width == 2 and len(wide) and wide.max() > 0xFFFF:
+            raise ValueError(f"id {wide.max()} of document {doc_id} does not fit in 2 bytes: write with width=4")
+        content = ids if self.width == 4 else wide.astype("<u2").tobytes()
         step = FRAME_IDS * self.width
         parts = range(0, max(len(content), 1), step)
         for i in parts:
