@@ -7,15 +7,16 @@ one small table of counts per (worker, class) turns those numbers into places, s
 and only the last bin of each class can stay open. Those few open bins (bounded by the classes, not by the data)
 are packed together first-fit.
 
-Rules for odd input: null text counts as empty and gives the end id alone; repeated rows are packed as often as they
-occur; an empty table gives no rows; extra columns are ignored.
+Rules for odd input: null text counts as empty and gives the end id alone; a null doc_id stays null; repeated rows (also of one doc_id
+with other texts) are packed as often as they occur, each as a document; a text over the capacity fills whole sequences
+first; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterable, Iterator
-from functools import partial
+from functools import lru_cache, partial
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import small_side, stash
-from .tokens import END_ID, encode_ids, vocabulary_path
+from .tokens import END_ID, encode_batch, vocabulary_path
 
 CAPACITY, TOLERANCE = 2048, 0.02
 PIECE_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, k long, nth long, worker long"
@@ -32,8 +33,12 @@ LOCATED = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id"
 
 def cut(length: int, capacity: int = CAPACITY, tolerance: float = TOLERANCE) -> list[tuple[int, int]]:
     """(piece length, class) in order; the pieces add up to length."""
-    pieces = [(capacity, 1)] * (length // capacity)
-    rest = length % capacity
+    return [(capacity, 1)] * (length // capacity) + _cut_rest(length % capacity, capacity, tolerance)
+
+
+@lru_cache(maxsize=1 << 16)
+def _cut_rest(rest: int, capacity: int, tolerance: float) -> list[tuple[int, int]]:
+    pieces = []
     while rest:
         k = capacity // rest
         if rest * k >= capacity * (1 - tolerance):
@@ -45,25 +50,24 @@ def cut(length: int, capacity: int = CAPACITY, tolerance: float = TOLERANCE) ->
     return pieces
 
 
-def _cut_documents(batches: Iterable[pa.RecordBatch], vocabulary: str, capacity: int, keep_ids: bool) -> Iterator[pa.RecordBatch]:
+def _cut_documents(batches: Iterable[pa.RecordBatch], vocabulary: str, capacity: int, tolerance: float, keep_ids: bool) -> Iterator[pa.RecordBatch]:
     worker, numbers = TaskContext.get().partitionId(), {}
     fields = [(n, pa.int64()) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "k", "nth", "worker")]
     schema = pa.schema(fields + [("ids", pa.binary())] * keep_ids)
     for batch in batches:
-        rows = []
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-            ids = memoryview(encode_ids(text.as_py(), vocabulary, END_ID))
-            total, start = len(ids) // 4, 0
-            for length, k in cut(total, capacity):
-                piece = ids[4 * start : 4 * (start + length)]
-                nth = numbers[k] = numbers.get(k, -1) + 1
-                rows.append((doc_id, start, length, zlib.crc32(piece), total, k, nth, worker) + ((bytes(piece),) if keep_ids else ()))
-                start += length
-            if len(rows) >= 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
-                rows = []
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+        doc_ids, rows = batch.column("doc_id").to_pylist(), []
+        for a, b, ids, offsets in encode_batch(batch.column("text"), vocabulary, END_ID):
+            ids, offsets = memoryview(ids.astype("<u4")).cast("B"), offsets.tolist()
+            for i in range(a, b):
+                first, total, start = offsets[i - a], offsets[i - a + 1] - offsets[i - a], 0
+                for length, k in cut(total, capacity, tolerance):
+                    piece = ids[4 * (first + start) : 4 * (first + start + length)]
+                    nth = numbers[k] = numbers.get(k, -1) + 1
+                    rows.append((doc_ids[i], start, length, zlib.crc32(piece), total, k, nth, worker) + ((bytes(piece),) if keep_ids else ()))
+                    start += length
+                if len(rows) >= 10_000 or i == b - 1 and rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+                    rows = []
 
 
 def first_fit(lengths: list[int], capacity: int = CAPACITY) -> list[tuple[int, int]]:
@@ -79,13 +83,15 @@ def first_fit(lengths: list[int], capacity: int = CAPACITY) -> list[tuple[int, i
     return out
 
 
-def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = None, keep_ids: bool = False) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids as binary)."""
+def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = None, keep_ids: bool = False, tolerance: float = TOLERANCE) -> DataFrame:
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids as binary).
+
+    tolerance: share of a sequence that may stay empty before a document's rest is cut again; a larger one makes fewer pieces."""
     spark = docs.sparkSession
     columns = [*LOCATED, *(["ids"] if keep_ids else [])]
     pieces = stash(
         docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-            partial(_cut_documents, vocabulary=vocabulary or vocabulary_path(), capacity=capacity, keep_ids=keep_ids),
+            partial(_cut_documents, vocabulary=vocabulary or vocabulary_path(), capacity=capacity, tolerance=tolerance, keep_ids=keep_ids),
             PIECE_SCHEMA + ", ids binary" * keep_ids,
         ),
         "pieces",
