@@ -1,26 +1,53 @@
-"""Helpers shared by the training-data operators: shared storage, lineage cuts, size-checked broadcasts."""
+"""Helpers shared by the training-data operators: shared storage, lineage cuts, size-checked broadcasts, row keys.
+
+What operators write for themselves lies in one folder per application below the shared one; it is removed when the driver ends.
+"""
 
 from __future__ import annotations
 
+import atexit
+import re
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JError
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Used only where the session names no spark.checkpoint.dir (local runs and tests).
+#: Used only where a local session names no spark.checkpoint.dir (tests).
 LOCAL_CHECKPOINT_DIR = "/tmp/checkpoints"
 #: A side with at most this many rows (of a few dozen bytes) may be broadcast.
 BROADCAST_ROWS = 100_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir of the session, or a local one where that is unset."""
+    """The folder all executors share: spark.checkpoint.dir of the session; a local one only where driver and executors are one process."""
     conf = spark.sparkContext.getConf()
-    return (conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or LOCAL_CHECKPOINT_DIR).rstrip("/")
+    found = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not found and not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return (found or LOCAL_CHECKPOINT_DIR).rstrip("/")
+
+
+_CLEANED: set[str] = set()
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/biblioforge/{name}-{uuid.uuid4().hex}"
+    """A path of its own in the application's folder."""
+    folder = f"{shared_dir(spark)}/biblioforge/{spark.sparkContext.applicationId}"
+    if folder not in _CLEANED:
+        _CLEANED.add(folder)
+        context = spark.sparkContext
+        place, conf = context._jvm.org.apache.hadoop.fs.Path(folder), context._jsc.hadoopConfiguration()
+        atexit.register(_remove, place, conf)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+def _remove(place, conf) -> None:
+    try:
+        place.getFileSystem(conf).delete(place, True)
+    except (Py4JError, OSError):  # the JVM has ended before the driver's Python
+        pass
 
 
 def stash(df: DataFrame, name: str) -> DataFrame:
@@ -43,16 +70,36 @@ def small_side(df: DataFrame, name: str, rows: int = BROADCAST_ROWS) -> tuple[Da
     return (F.broadcast(kept) if n <= rows else kept), n
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def without_ids(docs: DataFrame, dropped: DataFrame, name: str) -> DataFrame:
-    """docs minus the rows whose doc_id is in dropped (doc_id); the ids travel if few, else both sides are dealt by doc_id.
-    A null doc_id names no document, so such rows stay."""
-    ids, _ = small_side(dropped.where(F.col("doc_id").isNotNull()).distinct(), name)
-    return docs.join(ids, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+KEY = "_biblioforge_row_key"
+
+
+def row_key(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> Column:
+    """16 bytes that rows share only if they are equal in every column; doc_ids may repeat or be null."""
+    rest = [F.to_json(f"`{f.name}`") if _has_map(f.dataType) else F.col(f"`{f.name}`") for f in docs.schema if f.name not in (id_column, text_column)]
+    nulls = F.concat(*[F.col(f"`{c}`").isNull().cast("int").cast("string") for c in docs.columns])
+    parts = [F.col(id_column).cast("string"), F.md5(F.coalesce(text_column, F.lit(""))), F.xxhash64(*rest).cast("string") if rest else F.lit("")]
+    return F.unhex(F.md5(F.concat_ws("|", nulls, *parts)))
+
+
+def _has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_has_map(f.dataType) for f in kind)
+    return isinstance(kind, T.MapType) or isinstance(kind, T.ArrayType) and _has_map(kind.elementType)
+
+
+def only_rows(docs: DataFrame, dropped: DataFrame, repeated: DataFrame, name: str) -> DataFrame:
+    """docs without the rows whose key is in dropped, and with one row of each key in repeated (both: column KEY).
+
+    Keys travel if they are few, else both sides are dealt by key; only rows that occur several times are aggregated."""
+    columns = [f"`{c}`" for c in docs.columns]
+    away, n_away = small_side(dropped.select(KEY).distinct(), name)
+    twins, n_twins = small_side(repeated.select(KEY).distinct(), f"{name}-twins")
+    keyed = docs.withColumn(KEY, row_key(docs))
+    left = keyed.join(away, KEY, "left_anti") if n_away else keyed
+    if n_twins:
+        left = left.join(twins, KEY, "left_anti").unionByName(left.join(twins, KEY, "left_semi").dropDuplicates([KEY]))
+    return left.select(*columns)

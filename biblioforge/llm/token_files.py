@@ -3,15 +3,17 @@
 Layout of a file (all integers little-endian):
   frames      one zstandard frame per document (several for a document over FRAME_IDS ids); content: ids as u16 or u32
   directory   skippable frame 0x184D2A50: zstandard-compressed columns doc_id i64, n_ids u64, n_frames u32, then
-              the count u64 and the id width u8
+              the count u64, the number of null doc_ids u64 (they come first) and the id width u8
   seek table  skippable frame 0x184D2A5E: per frame compressed size u32, content size u32, low 32 bits of its XXH64; then the
               frame count u32, descriptor u8 (0x80: checksums present), magic 0x8F92EAB1
 A reader takes the two tables from the end of the file, then decompresses the frames of requested documents only.
 
-Files are written by the executors straight into the shared folder: to a name of the attempt, then renamed, so a
-repeated or lost task leaves either nothing or the whole file. Rules for odd input: null text counts as empty (only the end
-id is written); a null doc_id sorts first and is stored as -2^63; repeated rows are written as often as they occur; an
-empty table gives no files and no rows; extra columns are ignored.
+Texts are encoded where they are read, and only ids are dealt into ranges of doc_id. Files are written by the
+executors straight into the shared folder: to a name of the attempt, then renamed, so a repeated or lost task leaves
+either nothing or the whole file; what a lost attempt began is removed at the end. Rules for odd input: null text counts as empty
+(only the end id is written); a null doc_id sorts first and stays null; rows of one doc_id are ordered by a hash of their text
+and then their ids, so that a repeated task orders them alike; repeated rows are written as often as they occur; an empty
+table gives no files and no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 from functools import partial
 
@@ -27,38 +30,43 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import new_path, stash
-from .tokens import END_ID, encode_ids, vocabulary_path
+from .tokens import END_ID, encode_batch, encoder, vocabulary_path
 
 DIRECTORY, SEEK, SEEK_FOOTER = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 #: Ids per frame: longer documents are cut into several frames.
 FRAME_IDS = 1 << 20
 LEVEL = 3
-#: Bytes of text for one file, about.
-SHARD_BYTES = 32 << 20
-NULL_ID = -(1 << 63)
+#: Bytes of text for one file, about; rows sampled for each file's bounds.
+SHARD_BYTES, SAMPLED, SEED = 32 << 20, 100, 13
 
 
 class TokenFileWriter:
     """Writes one file; add documents in order, then close."""
 
     def __init__(self, sink, width: int = 2):
+        if width not in (2, 4):
+            raise ValueError("ids are written in 2 or 4 bytes")
         self.sink, self.width = sink, width
         self.compressor = zstandard.ZstdCompressor(level=LEVEL, write_checksum=False)
         self.docs: list[int] = []
         self.counts: list[int] = []
         self.frames: list[int] = []
         self.seek: list[bytes] = []
+        self.nulls = 0
 
-    def add(self, doc_id: int, ids: bytes) -> None:
-        """ids: little-endian unsigned 32-bit integers."""
+    def add(self, doc_id: int | None, ids: bytes) -> None:
+        """ids: little-endian unsigned 32-bit integers. Documents with a null doc_id come first."""
         wide = np.frombuffer(ids, "<u4")
         if self.width == 2 and len(wide) and wide.max() > 0xFFFF:
             raise ValueError(f"id {wide.max()} of document {doc_id} does not fit in 2 bytes: write with width=4")
-        content = ids if self.width == 4 else wide.astype("<u2").tobytes()
+        self.add_content(doc_id, ids if self.width == 4 else wide.astype("<u2").tobytes())
+
+    def add_content(self, doc_id: int | None, content) -> None:
+        """content: a buffer of ids in the file's own width."""
         step = FRAME_IDS * self.width
         parts = range(0, max(len(content), 1), step)
         for i in parts:
@@ -66,13 +74,17 @@ class TokenFileWriter:
             frame = self.compressor.compress(part)
             self.sink.write(frame)
             self.seek.append(struct.pack("<III", len(frame), len(part), xxhash.xxh64_intdigest(part) & 0xFFFFFFFF))
-        self.docs.append(doc_id)
-        self.counts.append(len(ids) // 4)
+        if doc_id is None:
+            if self.nulls < len(self.docs):
+                raise ValueError("documents without an id must come first")
+            self.nulls += 1
+        self.docs.append(doc_id or 0)
+        self.counts.append(len(content) // self.width)
         self.frames.append(len(parts))
 
     def close(self) -> None:
         columns = np.array(self.docs, "<i8").tobytes() + np.array(self.counts, "<u8").tobytes() + np.array(self.frames, "<u4").tobytes()
-        body = self.compressor.compress(columns) + struct.pack("<QB", len(self.docs), self.width)
+        body = self.compressor.compress(columns) + struct.pack("<QQB", len(self.docs), self.nulls, self.width)
         self.sink.write(struct.pack("<II", DIRECTORY, len(body)) + body)
         table = b"".join(self.seek) + struct.pack("<IBI", len(self.seek), 0x80, SEEK_FOOTER)
         self.sink.write(struct.pack("<II", SEEK, len(table)) + table)
@@ -99,9 +111,9 @@ class TokenFileReader:
         if kind != DIRECTORY:
             raise ValueError("no document directory after the frames")
         body = source.read_at(length, at + 8)
-        count, self.width = struct.unpack("<QB", body[-9:])
+        count, self.nulls, self.width = struct.unpack("<QQB", body[-17:])
         self.inflate = zstandard.ZstdDecompressor()
-        columns = self.inflate.decompress(body[:-9], max_output_size=20 * count + 1)
+        columns = self.inflate.decompress(body[:-17], max_output_size=20 * count + 1)
         self.docs = np.frombuffer(columns, "<i8", count)
         self.counts = np.frombuffer(columns, "<u8", count, 8 * count)
         frames = np.frombuffer(columns, "<u4", count, 16 * count)
@@ -124,7 +136,7 @@ class TokenFileReader:
 
     def find(self, doc_id: int) -> bytes | None:
         """Ids of a document by its id (the directory is sorted), or None."""
-        k = int(np.searchsorted(self.docs, doc_id))
+        k = self.nulls + int(np.searchsorted(self.docs[self.nulls :], doc_id))
         return self.ids(k) if k < len(self.docs) and self.docs[k] == doc_id else None
 
 
@@ -132,51 +144,90 @@ def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri if "://" in uri else "file://" + uri.removeprefix("file:"))
 
 
-def _write(batches: Iterable[pa.RecordBatch], folder: str, vocabulary: str, width: int) -> Iterator[pa.RecordBatch]:
+def _encode(batches: Iterable[pa.RecordBatch], vocabulary: str, width: int, bounds: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """shard, doc_id, order, ids of every row. Rows equal to several bounds are dealt to all shards between them in turn."""
+    kind, turn = np.dtype(f"<u{width}"), 0
+    if encoder(vocabulary).dtype.itemsize > width:
+        raise ValueError("the vocabulary's ids do not fit in 2 bytes: write with width=4")
+    for batch in batches:
+        shards = np.zeros(len(batch), np.int32)
+        for i, key in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("order").to_pylist())):
+            first, last = bisect_left(bounds, place := _place(*key)), bisect_right(bounds, place)
+            shards[i] = first + turn % (last - first + 1)
+            turn += last > first
+        for a, b, ids, offsets in encode_batch(batch.column("text"), vocabulary, END_ID):
+            content = pa.py_buffer(ids.astype(kind, copy=False))
+            large = len(content) >= 1 << 31
+            places = pa.py_buffer((offsets * width).astype(np.int64 if large else np.int32))
+            column = pa.Array.from_buffers(pa.large_binary() if large else pa.binary(), b - a, [None, places, content]).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(shards[a:b]), *(batch.column(c).slice(a, b - a) for c in ("doc_id", "order")), column], names=["shard", "doc_id", "order", "ids"]
+            )
+
+
+def _place(doc_id: int | None, order: int) -> tuple[bool, int, int]:
+    return (doc_id is not None, doc_id or 0, order)
+
+
+def range_bounds(rows: DataFrame, shard_bytes: int) -> list[tuple]:
+    """At most shards - 1 places (doc_id, order) that part the rows into ranges of about equal text, from a sample of some
+    SAMPLED rows a shard; the sample is of rows, so a doc_id of very many rows gives several equal bounds."""
+    size, n = rows.agg(F.sum(F.octet_length("text").cast("long")), F.count(F.lit(1))).first()
+    shards = int(max(rows.sparkSession.sparkContext.defaultParallelism, -(-(size or 0) // shard_bytes)))
+    share = min(1.0, SAMPLED * shards / max(n, 1))
+    # some dozen bytes a row and SAMPLED rows a file
+    some = (rows.sample(share, SEED) if share < 1 else rows).select("doc_id", "order", F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes")).collect()
+    some = sorted((_place(r.doc_id, r.order), r.bytes + 64) for r in some)
+    ends = np.cumsum([b for _, b in some])
+    at = np.searchsorted(ends, ends[-1] * np.arange(1, shards) / shards) if some else []
+    return [some[i][0] for i in at]
+
+
+def _write(batches: Iterable[pa.RecordBatch], folder: str, width: int) -> Iterator[pa.RecordBatch]:
     files, root = open_folder(folder)
-    writer, name, first, total = None, uuid.uuid4().hex, None, 0
+    writer, name, first, least = None, uuid.uuid4().hex, None, None
     for batch in batches:
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-            doc_id = NULL_ID if doc_id is None else doc_id
+        for doc_id, order, ids in zip(batch.column("doc_id").to_pylist(), batch.column("order").to_pylist(), batch.column("ids")):
             if writer is None:
                 files.create_dir(root, recursive=True)
-                sink, first = files.open_output_stream(f"{root}/.{name}.part"), doc_id
+                sink, first, least = files.open_output_stream(f"{root}/.{name}.part"), doc_id, order
                 writer = TokenFileWriter(sink, width)
-            ids = encode_ids(text.as_py(), vocabulary, END_ID)
-            total += len(ids) // 4
-            writer.add(doc_id, ids)
+            writer.add_content(doc_id, memoryview(ids.as_buffer()))
     if writer is not None:
         writer.close()
         sink.close()
         files.move(f"{root}/.{name}.part", f"{root}/{name}.tok")
+        types = [("file", pa.string()), ("first_id", pa.int64()), ("first_order", pa.int64()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())]
         yield pa.RecordBatch.from_pydict(
-            {"file": [f"{name}.tok"], "first_id": [first], "n_docs": [len(writer.docs)], "n_tokens": [total]},
-            schema=pa.schema([("file", pa.string()), ("first_id", pa.int64()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())]),
+            {"file": [f"{name}.tok"], "first_id": [first], "first_order": [least], "n_docs": [len(writer.docs)], "n_tokens": [sum(writer.counts)]}, schema=pa.schema(types)
         )
 
 
+def _remove_parts(spark: SparkSession, folder: str) -> None:
+    """Removes what lost attempts have left unfinished."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/.*.part")
+    hadoop = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for left in hadoop.globStatus(path) or []:
+        hadoop.delete(left.getPath(), False)
+
+
 def write_token_files(docs: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES, vocabulary: str | None = None, width: int = 2) -> DataFrame:
     """Encode whole texts and write them in ascending doc_id order. Returns the manifest, one row per file in that order
-    (file, first_id, n_docs, n_tokens, base: ids in all files before it).
+    (file, first_id, first_order, n_docs, n_tokens, base: ids in all files before it).
 
-    Texts are range-partitioned by doc_id once; ids never travel. The manifest holds one row per file of some
-    tens of MB, so its running total is a window over few rows.
+    Bounds of the ranges come first, from a sample of keys, so that texts are encoded once and only their ids are shuffled. The
+    manifest holds one row per file of some tens of MB, so its running total is a window over few rows.
     """
-    from pyspark.sql import Window
-
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    shards = max(spark.sparkContext.defaultParallelism, -(-size // shard_bytes))
-    placed = rows.repartitionByRange(int(shards), "doc_id").sortWithinPartitions("doc_id")
+    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("order"), F.col("text").cast("string"))
+    bounds = range_bounds(rows, shard_bytes)
+    ids = rows.mapInArrow(partial(_encode, vocabulary=vocabulary or vocabulary_path(), width=width, bounds=bounds), "shard int, doc_id long, order long, ids binary")
+    placed = ids.repartitionById(len(bounds) + 1, "shard").sortWithinPartitions("doc_id", "order", "ids")
     manifest = stash(
-        placed.mapInArrow(
-            partial(_write, folder=folder, vocabulary=vocabulary or vocabulary_path(), width=width),
-            "file string, first_id long, n_docs long, n_tokens long",
-        ),
-        "token-manifest",
+        placed.mapInArrow(partial(_write, folder=folder, width=width), "file string, first_id long, first_order long, n_docs long, n_tokens long"), "token-manifest"
     )
-    before = Window.orderBy("first_id", "file").rowsBetween(Window.unboundedPreceding, -1)
+    _remove_parts(spark, folder)
+    before = Window.orderBy("first_id", "first_order", "file").rowsBetween(Window.unboundedPreceding, -1)
     return manifest.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
 
 
@@ -191,7 +242,7 @@ def _read(batches: Iterable[pa.RecordBatch], folder: str) -> Iterator[pa.RecordB
                 for a in range(0, len(reader), 4096):
                     b = min(a + 4096, len(reader))
                     sums = np.fromiter((zlib.crc32(reader.ids(k)) for k in range(a, b)), np.int64, b - a)
-                    doc_ids = pa.array(reader.docs[a:b], mask=reader.docs[a:b] == NULL_ID)
+                    doc_ids = pa.array(reader.docs[a:b], mask=np.arange(a, b) < reader.nulls)
                     yield pa.RecordBatch.from_arrays(
                         [doc_ids, pa.array(starts[a:b]), pa.array(counts[a:b]), pa.array(sums)], names=["doc_id", "start", "n_tokens", "ids_crc32"]
                     )
