@@ -1,14 +1,17 @@
 """SimHash near-duplicates: byte-position inverted index with count filtering, then exact verification.
 
 Two 64-bit fingerprints at Hamming distance of 4 or less share at least 4 of their 8 positional bytes. A list per
-single (position, byte) would hold 1/256 of the corpus, and the tallies of its pairs would grow with the square of the
-input; so the lists are keyed on the guaranteed minimum itself, 4 positional bytes together (70 position sets). A pair is
-looked at in the list of the first 4 positions it shares only, its shared bytes are tallied there, and
-pairs that reach the minimum are verified by their differing bits. No pair within the distance is lost.
+single (position, byte) would hold 1/256 of the corpus, so the lists of the index are keyed on LIST_BYTES positional bytes
+together (56 position sets of 3). A pair is looked at in the list of the first positions it shares only; its shared bytes are
+tallied there, pairs below the guaranteed minimum of 4 go, and the others are verified by their differing bits. No pair within the
+distance is lost. Candidates grow with 56 * N * N / 2 ** 25 over N distinct fingerprints; list_bytes=4 (70 sets) has 1/205 of them
+and gives the same pairs, as no pair in a list can be below the minimum there: for more than some 10 ** 9 fingerprints.
 
 Rules for odd input: null text counts as empty; texts without words have fingerprint zero and link like
-any other; equal fingerprints are merged before the index, so copies never form pairs; a row repeated with the same
-doc_id appears twice with equal values; an empty table gives no rows.
+any other; equal fingerprints are merged before the index, so copies never form pairs; very long texts are hashed whole, in
+bounded memory; a null doc_id takes part, but a component is named by it only if it holds no other; rows of one doc_id are
+separate documents, and repeated rows appear as often as they occur, with equal values; an empty table gives no rows; extra
+columns, also of clashing names, are ignored by the operator and kept by the pipeline stage, which keeps one row per component.
 """
 
 from __future__ import annotations
@@ -21,13 +24,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stash, without_ids
+from .common import KEY, only_rows, row_key, stash
 from .components import connected_components
 
 WORDS, SEED, BYTES, MAX_BITS = 4, 42, 8, 4
-#: 8 bytes, at most MAX_BITS of them touched.
-MIN_SHARED = BYTES - MAX_BITS
-POSITION_SETS = list(combinations(range(BYTES), MIN_SHARED))
+#: 8 bytes, at most MAX_BITS of them touched; bytes in a list's key.
+MIN_SHARED, LIST_BYTES = BYTES - MAX_BITS, 3
 #: Shingles hashed at once: bounds the bit matrix of a very long text to a few MB.
 CHUNK = 65_536
 
@@ -52,14 +54,16 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
 def _fingerprints(batches):
     for batch in batches:
         prints = [fingerprint(t.as_py()) for t in batch.column("text")]
+        kept = [n for n in batch.schema.names if n != "text"]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(np.array(prints, np.uint64).view(np.int64))], names=["doc_id", "fp"]
+            [*(batch.column(n) for n in kept), pa.array(np.array(prints, np.uint64).view(np.int64))], names=[*kept, "fp"]
         )
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and the fingerprint as a signed long."""
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_fingerprints, "doc_id long, fp long")
+def fingerprints(docs: DataFrame, *keys) -> DataFrame:
+    """doc_id, the columns of keys, and the fingerprint as a signed long."""
+    rows = docs.select(F.col("doc_id").cast("long"), *keys, F.col("text").cast("string"))
+    return rows.mapInArrow(_fingerprints, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "text") + ", fp long")
 
 
 def _byte(column, position: int):
@@ -74,51 +78,67 @@ def _key(column, number: int, positions: tuple[int, ...]):
     return key
 
 
-def near_pairs(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+def near_pairs(prints: DataFrame, max_bits: int = MAX_BITS, list_bytes: int = LIST_BYTES) -> DataFrame:
     """Pairs (a, b), a < b as longs, of distinct fingerprints at most max_bits apart; each pair once."""
     if not 0 <= max_bits <= MAX_BITS:
         raise ValueError(f"the index guarantees pairs of up to {MAX_BITS} differing bits")
+    return candidate_pairs(prints, list_bytes, BYTES - max_bits).where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits).select("a", "b")
+
+
+def candidate_pairs(prints: DataFrame, list_bytes: int = LIST_BYTES, min_shared: int = MIN_SHARED) -> DataFrame:
+    """Pairs (a, b), a < b, that share a list of the index and at least min_shared positional bytes; each pair once, with its tally."""
+    if not 1 <= list_bytes <= min_shared:
+        raise ValueError("a list's key may hold the guaranteed minimum of bytes at most")
+    sets = list(combinations(range(BYTES), list_bytes))
     fp = F.col("fp")
-    lists = prints.select(fp, F.explode(F.array(*[_key(fp, n, p) for n, p in enumerate(POSITION_SETS)])).alias("key"))
+    lists = prints.select(fp, F.explode(F.array(*[_key(fp, n, p) for n, p in enumerate(sets)])).alias("key"))
     a, b = lists.select("key", F.col("fp").alias("a")), lists.select("key", F.col("fp").alias("b"))
     differing = F.col("a").bitwiseXOR(F.col("b"))
     same = [(_byte(differing, p) == 0).cast("int") for p in range(BYTES)]
     tally = sum(same[1:], same[0])
-    # the list's own set must hold the first MIN_SHARED shared positions, so that other lists skip the pair
-    number, first = F.shiftrightunsigned(a["key"], 8 * MIN_SHARED), F.lit(0).cast("long")
+    # the list's own set must hold the first positions that the pair shares, so that other lists skip the pair
+    number = F.shiftrightunsigned(a["key"], 8 * list_bytes)
     mask = sum(((F.lit(1) * s) * (1 << p) for p, s in enumerate(same[1:], 1)), same[0])
-    masks = F.array(*[F.lit(sum(1 << p for p in s)) for s in POSITION_SETS])
-    own = F.get(masks, number.cast("int"))
+    own = F.get(F.array(*[F.lit(sum(1 << p for p in s)) for s in sets]), number.cast("int"))
     # no shared position outside the set may precede the set's last one
-    last = F.get(F.array(*[F.lit((1 << (max(s) + 1)) - 1) for s in POSITION_SETS]), number.cast("int"))
-    return a.join(
-        b,
-        (a["key"] == b["key"])
-        & (F.col("a") < F.col("b"))
-        & (F.bit_count(differing) <= max_bits)
-        & (tally >= MIN_SHARED)
-        & (mask.bitwiseAND(last) == own),
-    ).select("a", "b")
+    last = F.get(F.array(*[F.lit((1 << (max(s) + 1)) - 1) for s in sets]), number.cast("int"))
+    return a.join(b, (a["key"] == b["key"]) & (F.col("a") < F.col("b")) & (tally >= min_shared) & (mask.bitwiseAND(last) == own)).select(
+        "a", "b", tally.alias("shared")
+    )
+
+
+def _classes(prints: DataFrame, max_bits: int) -> DataFrame:
+    """fp, root: the component of every distinct fingerprint, named by one of its fingerprints."""
+    classes = stash(prints.select("fp").distinct(), "fingerprint-classes")
+    links = stash(near_pairs(classes, max_bits), "fingerprint-links")
+    grouped = connected_components(links)  # node, root over fingerprints that have links
+    return classes.join(grouped, classes["fp"] == grouped["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
+def _by_component(prints: DataFrame, classes: DataFrame, best) -> DataFrame:
+    """fp, best: the aggregate over all rows of its component. Rows are combined per fingerprint first, so copies weigh nothing."""
+    per_print = prints.groupBy("fp").agg(best.alias("best"))
+    labelled = stash(classes.join(per_print, "fp"), "fingerprint-labels")
+    return stash(labelled.select("fp", "root").join(labelled.groupBy("root").agg(F.min("best").alias("best")), "root").select("fp", "best"), "fingerprint-components")
 
 
 def simhash_components(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """doc_id, fingerprint (hex), component_id: the smallest doc_id reachable over links."""
     prints = stash(fingerprints(docs), "fingerprints")
-    classes = stash(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprint-classes")
-    links = stash(near_pairs(classes.select("fp"), max_bits), "fingerprint-links")
-    grouped = connected_components(links)  # node, root over fingerprints that have links
-    labelled = classes.join(grouped, classes["fp"] == grouped["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_print = stash(labelled.select("fp", "root").join(least, "root").select("fp", "component_id"), "fingerprint-components")
-    return prints.join(by_print.hint("merge"), "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    least = _by_component(prints, _classes(prints, max_bits), F.min("doc_id"))
+    return prints.join(least.hint("merge"), "fp").select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("best").alias("component_id")
     )
 
 
 def one_of_each_component(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """The documents with the smallest doc_id of their component, with all their columns."""
-    found = simhash_components(docs, max_bits)
-    return without_ids(docs, found.where("doc_id <> component_id").select("doc_id"), "near-copies")
+    """One document per component, that with the smallest doc_id (a null one is the greatest), with all its columns."""
+    prints = stash(fingerprints(docs, row_key(docs).alias(KEY)), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", KEY)
+    least = _by_component(prints, _classes(prints, max_bits), F.min(order))
+    judged = stash(prints.join(least.hint("merge"), "fp").select(KEY, (F.col(KEY) == F.col(f"best.{KEY}")).alias("stays")), "near-judged")
+    repeated = judged.where("stays").groupBy(KEY).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return only_rows(docs, judged.where("NOT stays"), repeated, "near-copies")
 
 
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
