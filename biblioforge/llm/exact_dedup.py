@@ -1,78 +1,190 @@
 """Exact deduplication against a persistent digest index, bucketed and sorted by hash.
 
-Rules for odd input: a null text counts as empty; doc_id identifies a document, so a row
-repeated with the same doc_id shares its flags with its twin; an empty table gives no rows; extra
-columns are ignored by the operator and kept by the pipeline stage.
+Rules for odd input: a null text counts as empty. Of equal texts the row with the largest doc_id stays (a null doc_id is the
+smallest); of several such rows with that doc_id one stays, whatever other columns they have. Rows of one doc_id with
+different texts are different documents. Very long texts are hashed whole; an empty table gives no rows; extra columns, also of
+clashing names, are ignored by the operator and kept by the pipeline stage.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import new_path, stash, text_or_empty, without_ids
+from .common import KEY, drop_stash, new_path, only_rows, row_key, stash, text_or_empty
 
-BUCKETS = 16
+#: Fewest buckets of an index, and digests of 40 bytes for which one more is made: a bucket is one task's work.
+LEAST_BUCKETS, BUCKET_ROWS = 16, 4_000_000
+#: Batches after which the files of each bucket are merged to one sorted file.
+COMPACT_AFTER = 8
+#: Lets the scan of a bucket that is one file keep its order, so that the merge join does not sort the index again.
+SORTED_SCAN = "spark.sql.legacy.bucketedTableScan.outputOrdering"
 
 
 class DigestIndex:
-    """Every text digest seen so far with the doc_id that stands for it, as a bucketed external table.
+    """Every text digest seen so far with the doc_id that stands for it, as a bucketed and sorted external table.
 
-    ``path`` is a folder all executors reach. Opening an existing path registers it again, so the index outlives a session.
+    ``path`` is a folder all executors reach. Its file _index.json names the buckets, the batches since the last compaction and
+    the subfolder that holds the table, so an index outlives a session and is opened as it was made. The number of buckets
+    comes from the first batch, or from ``expected_rows``.
     """
 
-    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = BUCKETS):
-        self.spark, self.path, self.buckets = spark, path or new_path(spark, "digests"), buckets
-        self.name = "digest_index_" + "".join(c if c.isalnum() else "_" for c in self.path)[-60:].lower()
-        spark.sql(
+    def __init__(self, spark: SparkSession, path: str | None = None, expected_rows: int | None = None):
+        self.spark, self.path, self.expected_rows = spark, (path or new_path(spark, "digests")).rstrip("/"), expected_rows
+        self.state = self._read_state()
+        if self.state:
+            self._register()
+
+    def _file(self, name: str):
+        place = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return place, place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _read_state(self) -> dict | None:
+        place, files = self._file("_index.json")
+        if not files.exists(place):
+            return None
+        stream = files.open(place)
+        try:
+            return json.loads(bytes(stream.readAllBytes()).decode())
+        finally:
+            stream.close()
+
+    def _write_state(self, state: dict) -> None:
+        part, files = self._file("_index.json.part")
+        stream = files.create(part, True)
+        stream.write(json.dumps(state).encode())
+        stream.close()
+        place, _ = self._file("_index.json")
+        files.delete(place, False)
+        if not files.rename(part, place):
+            raise OSError(f"cannot write {self.path}/_index.json")
+        self.state = state
+
+    @property
+    def folder(self) -> str:
+        return f"{self.path}/{self.state['folder']}"
+
+    @property
+    def name(self) -> str:
+        """The catalog's name of the table: a digest of its whole location, so that no two indexes share one."""
+        return "digest_index_" + hashlib.sha256(self.folder.encode()).hexdigest()[:40]
+
+    def _register(self) -> None:
+        self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name} (digest BINARY, keep_id BIGINT) USING parquet "
-            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{self.path}'"
+            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.state['buckets']} BUCKETS LOCATION '{self.folder}'"
         )
 
+    def prepare(self, rows: int) -> None:
+        """Makes the index if it is new, with buckets for so many rows."""
+        if self.state is None:
+            buckets = LEAST_BUCKETS
+            while buckets * BUCKET_ROWS < (self.expected_rows or rows):
+                buckets *= 2
+            self._write_state({"buckets": buckets, "batches": 0, "folder": "digests-0"})
+            self._register()
+
     def table(self) -> DataFrame:
         self.spark.catalog.refreshTable(self.name)
         return self.spark.table(self.name)
 
-    def append(self, fresh: DataFrame) -> None:
+    def _save(self, rows: DataFrame) -> None:
         (
-            fresh.select("digest", "keep_id").repartition(self.buckets, "digest")
-            .write.format("parquet").mode("append").option("path", self.path)
-            .bucketBy(self.buckets, "digest").sortBy("digest").saveAsTable(self.name)
+            rows.select("digest", "keep_id").repartition(self.state["buckets"], "digest")
+            .write.format("parquet").mode("append").option("path", self.folder)
+            .bucketBy(self.state["buckets"], "digest").sortBy("digest").saveAsTable(self.name)
         )
 
+    def append(self, fresh: DataFrame) -> None:
+        """Adds digests that the index does not know; merges each bucket's files after COMPACT_AFTER batches."""
+        self._save(fresh)
+        self._write_state(self.state | {"batches": self.state["batches"] + 1})
+        if self.state["batches"] >= COMPACT_AFTER:
+            self.compact()
+
+    def compact(self) -> None:
+        """One sorted file a bucket, in a new subfolder; the state names it only when it is whole."""
+        old_name, old_folder, before = self.name, self.folder, self.state
+        # read as plain files: over a bucketed scan Spark would leave out the repartition, and with it the single files
+        rows = self.spark.read.schema("digest binary, keep_id long").parquet(old_folder)
+        self.state = before | {"batches": 1, "folder": f"digests-{int(before['folder'].rpartition('-')[2]) + 1}"}
+        drop_stash(self.spark, self.folder)  # what an interrupted compaction left
+        self._register()
+        self._save(rows)
+        self._write_state(self.state)
+        self.spark.sql(f"DROP TABLE IF EXISTS {old_name}")
+        drop_stash(self.spark, old_folder)
+
     def drop(self) -> None:
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        """Takes the table out of the catalog; its files stay."""
+        if self.state:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
+
+@contextmanager
+def sorted_scans(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(SORTED_SCAN)
+    spark.conf.set(SORTED_SCAN, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SORTED_SCAN, before)
+
+
+def _digests(docs: DataFrame) -> DataFrame:
+    """Per row: a number of its own, doc_id, digest and row key. Written before use, so that the numbers do not change."""
+    return stash(
+        docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), F.unhex(F.sha2(text_or_empty(), 256)).alias("digest"), row_key(docs).alias(KEY)),
+        "row-digests",
+    )
+
+
+def _standing(digests: DataFrame, index: DigestIndex) -> DataFrame:
+    """Per digest: keep_id, group_size, and best, the row that stays (null if the index knows the text under another doc_id).
+
+    One merge join of the batch's digests with the index; those it does not know are appended."""
+    groups = stash(
+        digests.groupBy("digest").agg(F.max(F.struct("doc_id", KEY, "row")).alias("best"), F.count(F.lit(1)).alias("group_size")), "digest-groups"
+    )
+    if index.state is None:
+        index.prepare(groups.count())
+    with sorted_scans(digests.sparkSession):
+        known = index.table().withColumnRenamed("keep_id", "known_id").withColumn("known", F.lit(True))
+        met = stash(groups.join(known.hint("merge"), "digest", "left"), "digest-standing")
+    index.append(met.where("known IS NULL").select("digest", F.col("best.doc_id").alias("keep_id")))
+    keep_id = F.when(F.col("known"), F.col("known_id")).otherwise(F.col("best.doc_id"))
+    return met.select("digest", "group_size", keep_id.alias("keep_id"), F.when(keep_id.eqNullSafe(F.col("best.doc_id")), F.col("best")).alias("best"))
 
 
 def exact_dedup(docs: DataFrame, index: DigestIndex) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size (rows of this batch with the text), kept, text_sha256.
 
     A text the index already knows keeps the document of the earlier batch; within a batch the largest doc_id stays.
-    Only 32-byte digests are shuffled. Groups are counted with a partial aggregate before the anti-join, and the
+    Only digests and keys are shuffled. Groups are counted with a partial aggregate before the anti-join, and the
     join back to rows is between two plain exchanges, so that AQE can split a group that holds much of the corpus.
     """
-    digests = stash(docs.select("doc_id", F.unhex(F.sha2(text_or_empty(), 256)).alias("digest")), "row-digests")
-    groups = stash(
-        digests.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "digest-groups"
-    )
-    known = index.table()
-    index.append(groups.join(known.hint("merge"), "digest", "left_anti"))
-    standing = stash(
-        groups.select("digest", "group_size").join(index.table().hint("merge"), "digest"), "digest-standing"
-    )
-    return digests.join(standing.hint("merge"), "digest").select(
+    digests = _digests(docs)
+    return digests.join(_standing(digests, index).hint("merge"), "digest").select(
         "doc_id",
         "keep_id",
         "group_size",
-        F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
+        F.coalesce(F.col("row") == F.col("best.row"), F.lit(False)).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
 
 
 def distinct_documents(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
-    """The documents that stay, with all their columns."""
-    flags = exact_dedup(docs, index or DigestIndex(docs.sparkSession))
-    return without_ids(docs, flags.where(~F.col("kept")).select("doc_id"), "exact-copies")
+    """The documents that stay, with all their columns: one row per text."""
+    digests = _digests(docs)
+    judged = digests.join(_standing(digests, index or DigestIndex(docs.sparkSession)).select("digest", F.col(f"best.{KEY}").alias("stays")).hint("merge"), "digest")
+    judged = stash(judged.select(KEY, F.coalesce(F.col(KEY) == F.col("stays"), F.lit(False)).alias("stays")), "exact-judged")
+    repeated = judged.where("stays").groupBy(KEY).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return only_rows(docs, judged.where("NOT stays"), repeated, "exact-copies")
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
