@@ -45,7 +45,7 @@ def _tables(form: str) -> tuple[str, str, dict[str, str]]:
 
 def strip_blank(x: Column | str) -> Column:
     """Removes all white space at both ends, line breaks too."""
-    return F.regexp_replace(_c(x), r"^\s+|\s+$", "")
+    return F.btrim(_c(x), F.lit(" \t\n\x0b\f\r"))
 
 
 def blank_to_null(x: Column | str) -> Column:
@@ -63,13 +63,18 @@ def or_text(x: Column | str, text: str = "") -> Column:
     return F.coalesce(_c(x), F.lit(text))
 
 
+def _unless_ascii(x: Column, folded: Column) -> Column:
+    """Upper case of texts that are ASCII throughout; the folded text of others only, as folding takes many passes over a text."""
+    return F.when(F.octet_length(x) == F.length(x), F.upper(x)).otherwise(folded)
+
+
 def ascii_upper(x: Column | str, strip: bool = True) -> Column:
     """Canonical decomposition without marks, special letters spelt out, other characters dropped, upper case. NULL gives ''."""
     source, target, longer = _tables("NFD")
     out = _c(x)
     for char, text in longer.items():
         out = F.replace(out, F.lit(char), F.lit(text))
-    out = F.upper(F.regexp_replace(F.translate(out, source, target), r"[^\x00-\x7F]", ""))
+    out = _unless_ascii(_c(x), F.upper(F.regexp_replace(F.translate(out, source, target), r"[^\x00-\x7F]", "")))
     return or_text(strip_blank(out) if strip else out)
 
 
@@ -79,7 +84,7 @@ def fold_upper(x: Column | str, strip: bool = True) -> Column:
     out = _c(x)
     for char, text in longer.items():
         out = F.replace(out, F.lit(char), F.lit(text))
-    out = F.upper(F.regexp_replace(F.translate(out, source, target), r"\p{Mn}", ""))
+    out = _unless_ascii(_c(x), F.upper(F.regexp_replace(F.translate(out, source, target), r"\p{Mn}", "")))
     return strip_blank(out) if strip else out
 
 

@@ -67,9 +67,10 @@ def prefer(df: DataFrame, keys: Keys, preferred: Column, seq: Keys) -> DataFrame
 
 
 def top1(df: DataFrame, keys: Keys, best: str, seq: Keys) -> DataFrame:
-    """Per key the row with the greatest best (NULL last), then the first."""
-    ranked = df.withColumn("_order", F.row_number().over(Window.partitionBy(*_list(keys)).orderBy(F.col(best).desc_nulls_last(), *_list(seq))))
-    return ranked.where("_order = 1").drop("_order")
+    """Per key the row with the greatest best (NULL last), then the first. Two combining aggregates: first row per value, then the greatest value."""
+    keys, b = _list(keys), F.col(best)
+    first = df.groupBy(*keys, b).agg(F.min_by(_row(df), F.struct(*_list(seq))).alias("_row"))
+    return _whole(df, first.groupBy(*keys).agg(F.max_by("_row", F.struct(b.isNotNull().alias("some"), b.alias("b"))).alias("_row")))
 
 
 def best_row(df: DataFrame, keys: Keys, fields: Sequence[str], seq: str) -> DataFrame:
@@ -216,8 +217,8 @@ def surrogate_ids(df: DataFrame, missing: str, order: Sequence[str], name: str)
 def range_row_number(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     """Global 1-based row number without a single-task window: sort by range, count per range, add the ranges before.
 
-    Range bounds come from a deterministic sample of the same input, so both uses of the ranges agree."""
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
+    The ranged rows are written once, so that numbers and counts see the same ranges."""
+    ranged = cut(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()))
     local = ranged.withColumn("_at", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
     sizes = local.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))  # one row per range
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

@@ -39,7 +39,7 @@ if __name__ == "__main__":
 
     import __spark_entry__ as e
 
-    spark = SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "8g").config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").getOrCreate()
+    spark = SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "8g").config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").getOrCreate()
     spark.sparkContext.setLogLevel("OFF")
     sqls, sf = e.oracle_sql(), sys.argv[1]
     for name, q in e.queries().items():
