@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 
-#: Used only where the session names no spark.checkpoint.dir (local runs and tests).
+#: Used only where a local session names no spark.checkpoint.dir (tests).
 LOCAL_CHECKPOINT_DIR = "/tmp/checkpoints"
 
 
@@ -12,5 +14,8 @@ def cut(df: DataFrame) -> DataFrame:
     """df, computed once and read back from the session's checkpoint folder."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or LOCAL_CHECKPOINT_DIR)
+        shared = context.getConf().get("spark.checkpoint.dir")
+        if not shared and not re.fullmatch(r"local(\[[^]]*\])?", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(shared or LOCAL_CHECKPOINT_DIR)
     return df.checkpoint(eager=True)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.identifiers import record_key_scopus
 from ..functions.parsing import address_countries
 from ..functions.text import ascii_upper, snake_label
+from .tables import row_order
 
 # Columns folded to upper ASCII, names that change, and the columns kept, in order.
 UPPER = (
@@ -33,7 +34,7 @@ def normalise_scopus(raw: DataFrame, abbreviations: DataFrame | None = None) ->
     df = df.select(*[ascii_upper(c, strip=False).alias(c) if c in UPPER or c.startswith("funding_text") else F.col(c) for c in df.columns])
     df = df.drop("abbreviated_source_title").withColumnsRenamed({a: b for a, b in RENAMED.items() if a in df.columns})
     if "seq" not in df.columns:
-        df = df.withColumn("seq", F.monotonically_increasing_id())
+        df = df.withColumn("seq", row_order(raw))
     if abbreviations is not None:
         df = df.join(abbreviations.select("journal", "source_title").dropDuplicates(["journal"]), "journal", "left")
     else:
