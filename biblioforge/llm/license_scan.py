@@ -1,57 +1,78 @@
 """Licence scans: a trained paragraph classifier with an unknown class, confirmed against templates.
 
-Paragraphs are lines. Those that hold an anchor word (ANCHOR; every template does) are candidates. Features are the distinct
-word n-grams of 1 to 3 words; a sparse softmax regression (L1) over the licence families and "unknown" is trained on the templates,
-variants of them, and sentences that use licence words otherwise. A prediction of a family stands only if its probability
-reaches the threshold calibrated on held-out variants, and is confirmed only if the paragraph contains enough of
-the word pairs of one of the family's templates; else the paragraph is "unknown".
+Paragraphs end at blank lines and behind lines that end in a full stop, colon, question or exclamation mark, so hard-wrapped notices
+stay whole. Features are the distinct word n-grams of 1 to 3 words; a sparse softmax regression (L1) over the licence families and
+"unknown" is trained on the templates, variants of them, sentences that use licence words otherwise, and as further "unknown"
+ones NEGATIVES paragraphs of the corpus that hold little of any template (those with the least seeded hashes: a documented
+bound). N-grams that COMMON of these hold are no features. Every paragraph is judged. The threshold is calibrated on templates and unknown paragraphs that the fit did not see, two
+halves in turn. A prediction stands only if its probability reaches the threshold, and is confirmed only if enough of the word
+pairs of one of the family's templates are in the paragraph, or enough of a short paragraph's pairs are in the template, and with
+them a pair that no other family's template has; else the paragraph is "unknown".
 
-Training sees fixed sentences only, never the corpus, so it runs on the driver in bounded time. Scoring is DataFrame functions
-alone: n-grams are exploded and joined with the weight table, whose size is bounded by the templates.
+The classifier's "unknown" class does the rejecting. A paragraph can leave it only by n-grams that speak for a family by more than
+the bias of "unknown"; the words of a paragraph bound what its n-grams can add up to (word_bounds, from the model itself), and
+paragraphs whose bound falls short are rejected at once, without an effect on the result.
+Scoring is DataFrame functions alone: n-grams are exploded and joined with the weight table, whose size is bounded by the
+templates.
 
-Rules for odd input: null or empty texts have no paragraphs; very long lines are scanned whole; rows repeated with the same
-doc_id are scanned once each and merge to one result; a null doc_id is kept as null; an empty table gives no rows.
+Rules for odd input: null or empty texts have no paragraphs with words; very long paragraphs are scanned whole; each row is scanned on its
+own, whatever its doc_id: repeated rows give repeated results and a null doc_id stays null; equally likely families go to the
+first as listed; an empty table gives no rows; extra columns, also of clashing names, are ignored.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import stash
+
 UNKNOWN = "unknown"
-ANCHOR = r"(?i)\b(?:licen[cs]e|licen[cs]ed|licen[cs]es|copyright|permission|redistribution|spdx|gpl|public domain|creative commons)\b"
 WORD = r"[a-z0-9]+"
-MIN_CONTAINED, L1, STEPS = 0.6, 2e-4, 400
+#: Blank lines, and line breaks behind the end of a sentence.
+BREAK = r"\n[ \t\r]*\n|(?<=[.:!?])[ \t\r]*\n"
+MIN_CONTAINED, MIN_SHARED, L1, STEPS, SMALLEST = 0.6, 2, 2e-4, 150, 0.05
+#: Corpus paragraphs taken as unknown, and the share of them from which on an n-gram counts as common and is no feature.
+NEGATIVES, SEED, COMMON = 3_000, 31, 0.01
 #: Short public notices of each family.
 TEMPLATES = {
     "mit": (
         "Released under the MIT License.",
         "This project is licensed under the MIT License, see the LICENSE file for details.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
+        "The software is provided as is, without warranty of any kind, express or implied",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the software",
         "SPDX-License-Identifier: MIT",
     ),
     "apache": (
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an as is basis",
+        "Apache-2.0",
         "SPDX-License-Identifier: Apache-2.0",
     ),
     "gpl": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License",
         "You should have received a copy of the GNU General Public License along with this program.",
+        "Distributed under the terms of the GPLv3 or later.",
+        "Licensed under the GPLv2.",
         "SPDX-License-Identifier: GPL-3.0-or-later",
     ),
     "lgpl": (
         "This library is licensed under the GNU Lesser General Public License, version 2.1.",
+        "Distributed under the LGPLv2.1 or later.",
         "SPDX-License-Identifier: LGPL-2.1-only",
     ),
     "bsd": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer",
         "Licensed under the BSD 3-Clause License.",
         "SPDX-License-Identifier: BSD-3-Clause",
     ),
@@ -68,7 +89,10 @@ TEMPLATES = {
     "cc-by-sa": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     "cc-by-nc": ("Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     "cc0": ("This work is dedicated to the public domain under the CC0 1.0 Universal license.", "SPDX-License-Identifier: CC0-1.0"),
-    "proprietary": ("Copyright. All rights reserved. No part of this publication may be reproduced without written permission.",),
+    "proprietary": (
+        "All rights reserved.",
+        "Copyright. All rights reserved. No part of this publication may be reproduced without written permission.",
+    ),
 }
 #: Sentences that use anchor words without stating a licence.
 OTHERS = (
@@ -87,8 +111,8 @@ OTHERS = (
     "The public was asked to note the terms of use of the library.",
     "The source of the river is free of any source of waste.",
 )
-PREFIXES = ("", "notice", "this file is", "note", "unless stated otherwise", "text and images", "the and of")
-SUFFIXES = ("", "see the file for details", "thanks", "all contributions included", "2021", "with the and to")
+PREFIXES = ("", "this file is", "unless stated otherwise", "text and images")
+SUFFIXES = ("", "see the file for details", "all contributions included", "2021")
 
 
 def words(text: str) -> list[str]:
@@ -99,86 +123,145 @@ def ngrams(tokens: list[str]) -> list[str]:
     return sorted({" ".join(tokens[i : i + n]) for n in (1, 2, 3) for i in range(len(tokens) - n + 1)})
 
 
-def _contained(tokens: list[str], template: list[str]) -> float:
-    pairs = set(zip(template, template[1:]))
-    return len(pairs & set(zip(tokens, tokens[1:]))) / len(pairs) if pairs else 0.0
+def _pairs(tokens: list[str]) -> set[str]:
+    return {f"{a} {b}" for a, b in zip(tokens, tokens[1:])}
+
+
+def contained(pairs: set[str], template: set[str], own: set[str]) -> float:
+    """Share of the template's word pairs in the paragraph, or of the paragraph's in the template if they share MIN_SHARED; 0 if they
+    share none of own, the pairs that only the template's family has."""
+    shared = pairs & template
+    if shared.isdisjoint(own):
+        return 0.0
+    return max(len(shared) / len(template), len(shared) / len(pairs) if len(shared) >= MIN_SHARED else 0.0)
 
 
-def _examples() -> list[tuple[list[str], str, bool]]:
-    """(words, family, held out). A variant whose lost words make it read like another family's template is left out."""
-    out, n = [], 0
-    sources = [(words(t), f) for f, ts in TEMPLATES.items() for t in ts] + [(words(t), UNKNOWN) for t in OTHERS]
-    for body, family in sources:
+def _overlap(tokens: list[str], template: list[str]) -> float:
+    pairs = _pairs(template)
+    return len(pairs & _pairs(tokens)) / len(pairs) if pairs else 0.0
+
+
+def _examples() -> list[tuple[list[str], str, int]]:
+    """(words, family, half). All variants of a template lie in one half; one that reads like another family's template is left out."""
+    out = []
+    sources = [(words(t), f, i % 2) for f, ts in TEMPLATES.items() for i, t in enumerate(ts)] + [(words(t), UNKNOWN, i % 2) for i, t in enumerate(OTHERS)]
+    for body, family, half in sources:
         for a, prefix in enumerate(PREFIXES):
             for b, suffix in enumerate(SUFFIXES):
                 kept = [w for i, w in enumerate(body) if (i * 7 + a * 3 + b) % 11 or a + b == 0 or len(body) < 8]
-                own = max((_contained(kept, t) for t, f in sources if f == family), default=0.0)
-                if family != UNKNOWN and any(_contained(kept, t) >= own for t, f in sources if f not in (family, UNKNOWN)):
+                own = max((_overlap(kept, t) for t, f, _ in sources if f == family), default=0.0)
+                if family != UNKNOWN and any(_overlap(kept, t) >= own for t, f, _ in sources if f not in (family, UNKNOWN)):
                     continue
-                n += 1
-                out.append((words(prefix) + kept + words(suffix), family, n % 4 == 3 and a + b > 0))
+                out.append((words(prefix) + kept + words(suffix), family, half))
     return out
 
 
 @lru_cache(maxsize=1)
-def train() -> dict:
-    """families, bias, weights {ngram: per family}, threshold."""
-    families = [UNKNOWN, *TEMPLATES]
-    examples = _examples()
-    fit = [(ngrams(w), families.index(f)) for w, f, held in examples if not held]
-    held = [(ngrams(w), families.index(f)) for w, f, held in examples if held]
-    names = sorted({g for x, _ in fit for g in x})
-    where = {g: i for i, g in enumerate(names)}
+def vocabulary() -> list[str]:
+    """The n-grams of all training sentences: the only features there are."""
+    return sorted({g for w, _, _ in _examples() for g in ngrams(w)})
+
 
-    def matrix(rows):
-        m = np.zeros((len(rows), len(names)))
-        for i, (grams, _) in enumerate(rows):
-            m[i, [where[g] for g in grams if g in where]] = 1
-        return m
+def _softmax(z: np.ndarray) -> np.ndarray:
+    p = np.exp(z - z.max(1, keepdims=True))
+    return p / p.sum(1, keepdims=True)
 
-    x, y = matrix(fit), np.eye(len(families))[[k for _, k in fit]]
-    balance = 1 / (y.sum(0)[y.argmax(1)] * len(families))
-    w, bias = np.zeros((len(names), len(families))), np.zeros(len(families))
-    step = 2.0 / (x * x).sum(1).max()
-    look, t = w.copy(), 1.0
 
-    def softmax(z):
-        p = np.exp(z - z.max(1, keepdims=True))
-        return p / p.sum(1, keepdims=True)
+class _Sparse:
+    """A 0/1 matrix by its entries, in order of rows and of columns."""
 
+    def __init__(self, rows: list[list[int]], n_columns: int):
+        self.row, self.column = np.repeat(np.arange(len(rows)), list(map(len, rows))), np.array([c for r in rows for c in r], np.int64)
+        self.shape, self.order = (len(rows), n_columns), np.argsort(self.column, kind="stable")
+
+    @staticmethod
+    def _sums(values: np.ndarray, keys: np.ndarray, n: int) -> np.ndarray:
+        out = np.zeros((n, values.shape[1]))
+        if len(keys):
+            starts = np.flatnonzero(np.diff(keys, prepend=-1))
+            out[keys[starts]] = np.add.reduceat(values, starts)
+        return out
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        return self._sums(w[self.column], self.row, self.shape[0])
+
+    def transposed_times(self, g: np.ndarray) -> np.ndarray:
+        return self._sums(g[self.row[self.order]], self.column[self.order], self.shape[1])
+
+
+def _fit(x: _Sparse, labels: np.ndarray, n_families: int) -> tuple[np.ndarray, np.ndarray]:
+    """Accelerated proximal gradient: weights (features x families) and bias, classes balanced."""
+    y = np.eye(n_families)[labels]
+    balance = (1 / (np.maximum(y.sum(0), 1)[labels] * n_families))[:, None]
+    w, bias = np.zeros((x.shape[1], n_families)), np.zeros(n_families)
+    step, look, t = 2.0 / max(int(np.bincount(x.row, minlength=1).max()), 1) * n_families, w.copy(), 1.0
     for _ in range(STEPS):
-        g = (softmax(x @ look + bias) - y) * balance[:, None]
-        new = look - step * len(families) * (x.T @ g)
-        new = np.sign(new) * np.maximum(np.abs(new) - step * len(families) * L1, 0)
-        bias = bias - step * len(families) * g.sum(0)
+        g = (_softmax(x.times(look) + bias) - y) * balance
+        new = look - step * x.transposed_times(g)
+        new = np.sign(new) * np.maximum(np.abs(new) - step * L1, 0)
+        bias = bias - step * g.sum(0)
         t_next = (1 + math.sqrt(1 + 4 * t * t)) / 2
         look, w, t = new + (t - 1) / t_next * (new - w), new, t_next
-    p = softmax(matrix(held) @ w + bias)
-    truth = np.array([k for _, k in held])
-    wrong = p[:, 1:].max(1)[truth == 0]
-    right = p[np.arange(len(p)), truth][truth > 0]
-    # midway between the worst unknown and the weakest licence that held-out variants show, never below one half
-    threshold = max(0.5, (float(wrong.max(initial=0)) + float(np.quantile(right, 0.05))) / 2)
-    kept = {g: [round(float(v), 6) for v in w[i]] for g, i in where.items() if np.any(np.abs(w[i]) > 5e-7)}
-    return {"families": families, "bias": [round(float(b), 6) for b in bias], "weights": kept, "threshold": round(threshold, 6)}
-
-
-def template_pairs() -> list[tuple[str, int, str, int]]:
-    """(family, template, word pair, pairs of the template)."""
-    out, n = [], 0
-    for family, texts in TEMPLATES.items():
-        for text in texts:
-            tokens = words(text)
-            pairs = sorted({f"{a} {b}" for a, b in zip(tokens, tokens[1:])})
-            out += [(family, n, pair, len(pairs)) for pair in pairs]
-            n += 1
-    return out
+    return w, bias
+
 
+def train(negatives: list[list[str]] = ()) -> dict:
+    """negatives: n-grams (of the vocabulary) of unknown paragraphs -> families, bias, weights {ngram: per family}, threshold,
+    and recall and false of the halves that the fit did not see."""
+    common = {g for g, n in Counter(g for grams in negatives for g in grams).items() if n > COMMON * len(negatives)}
+    families, names = [UNKNOWN, *TEMPLATES], [g for g in vocabulary() if g not in common]
+    where = {g: i for i, g in enumerate(names)}
+    rows = [(ngrams(w), families.index(f), half) for w, f, half in _examples()] + [(g, 0, i % 2) for i, g in enumerate(negatives)]
+    x = [[where[g] for g in grams if g in where] for grams, _, _ in rows]
+    labels, half = np.array([k for _, k, _ in rows]), np.array([h for _, _, h in rows])
+
+    def part(chosen: np.ndarray) -> _Sparse:
+        return _Sparse([x[i] for i in np.flatnonzero(chosen)], len(names))
+
+    wrong, right = [], []
+    for seen in (0, 1):
+        w, bias = _fit(part(half == seen), labels[half == seen], len(families))
+        p, truth = _softmax(part(half != seen).times(w) + bias), labels[half != seen]
+        wrong.append(p[truth == 0, 1:].max(1))
+        # a family of one template cannot be known to the half without it
+        known = np.isin(truth, labels[half == seen]) & (truth > 0)
+        right.append(np.where(p[known].argmax(1) == truth[known], p[known].max(1), 0.0))
+    wrong, right = np.concatenate(wrong), np.concatenate(right)
+    # 99.5 % of the unseen unknown paragraphs stay below it
+    threshold = min(max(0.5, float(np.quantile(wrong, 0.995))), 0.95)
+    w, bias = _fit(part(half >= 0), labels, len(families))
+    w[np.abs(w) < SMALLEST] = 0
+    kept = {g: [round(float(v), 6) for v in w[i]] for g, i in where.items() if w[i].any()}
+    return {
+        "families": families, "bias": [round(float(b), 6) for b in bias], "weights": kept, "threshold": round(threshold, 6),
+        "recall": float((right >= threshold).mean()), "false": float((wrong >= threshold).mean()),
+    }
+
+
+def word_bounds(model: dict, uses: Counter | None = None) -> tuple[dict[str, float], float]:
+    """({word: bound}, gap): a paragraph is judged anything but unknown only if the bounds of its distinct words add up to more than the
+    gap. Each n-gram that speaks for a family against unknown counts at its rarest word; uses: how common words are."""
+    unknown, *others = model["bias"]
+    bounds: dict[str, float] = {}
+    for gram, (u, *families) in sorted(model["weights"].items()):
+        if max(families) > u:
+            word = min(gram.split(), key=lambda w: ((uses or {}).get(w, 0), w))
+            bounds[word] = round(bounds.get(word, 0.0) + max(families) - u, 6)
+    return bounds, round(unknown - max(others) - 1e-4, 6)
+
+
+@lru_cache(maxsize=1)
+def template_pairs() -> list[tuple[str, int, str, int, int]]:
+    """(family, template, word pair, pairs of the template, 1 if no other family has the pair and it is no mere version)."""
+    texts = [(f, _pairs(words(t))) for f, ts in TEMPLATES.items() for t in ts]
+    holders = Counter(pair for f in TEMPLATES for pair in set().union(*(ps for g, ps in texts if g == f)))
+    return [(f, n, pair, len(ps), int(holders[pair] == 1 and any(c.isalpha() for c in pair))) for n, (f, ps) in enumerate(texts) for pair in sorted(ps)]
 
-def candidate_paragraphs(docs: DataFrame) -> DataFrame:
-    """doc_id, paragraph (line number from 0), tokens of the lines with an anchor word."""
-    lines = docs.where(F.col("text").rlike(ANCHOR)).select(F.col("doc_id").cast("long"), F.posexplode(F.split("text", "\n")).alias("paragraph", "line"))
-    return lines.where(F.col("line").rlike(ANCHOR)).select("doc_id", "paragraph", F.regexp_extract_all(F.lower("line"), F.lit(WORD), F.lit(0)).alias("tokens"))
+
+def paragraphs(docs: DataFrame) -> DataFrame:
+    """doc_id, paragraph (from 0), tokens of the paragraphs that have words."""
+    parts = docs.select(F.col("doc_id").cast("long"), F.posexplode(F.split(F.col("text").cast("string"), BREAK)).alias("paragraph", "part"))
+    return parts.select("doc_id", "paragraph", F.regexp_extract_all(F.lower("part"), F.lit(WORD), F.lit(0)).alias("tokens")).where(F.size("tokens") > 0)
 
 
 def _grams(n: int):
@@ -189,38 +272,62 @@ def _grams(n: int):
     return F.transform(starts, lambda i: F.array_join(F.slice(t, i, n), " "))
 
 
-def scan(docs: DataFrame, min_contained: float = MIN_CONTAINED) -> DataFrame:
-    """One row per candidate paragraph: doc_id, paragraph, family, probability, contained, confirmed."""
-    spark, model = docs.sparkSession, train()
-    families = model["families"]
-    # both tables are bounded by the templates: a few thousand short rows
+def _exploded(rows: DataFrame, *keys: str) -> DataFrame:
+    return rows.select(*keys, F.explode(F.array_distinct(F.concat(_grams(1), _grams(2), _grams(3)))).alias("gram"))
+
+
+def negatives_of(docs: DataFrame, most: int = NEGATIVES) -> tuple[list[list[str]], Counter]:
+    """(n-grams of the vocabulary of at most `most` paragraphs that hold under a third of any template, how many paragraphs have each word)."""
+    spark = docs.sparkSession
+    chosen = paragraphs(docs).select(F.xxhash64("doc_id", "paragraph", F.lit(SEED)).alias("h"), "tokens").orderBy("h", F.size("tokens")).limit(most)
+    chosen = stash(chosen.select(F.monotonically_increasing_id().alias("uid"), "tokens"), "licence-negatives")
+    # one short row per n-gram of the templates
+    known = F.broadcast(spark.createDataFrame([(g,) for g in vocabulary()], "gram string"))
+    found = _exploded(chosen, "uid").join(known, "gram").groupBy("uid").agg(F.sort_array(F.collect_list("gram")).alias("grams")).collect()
+    templates: dict[int, set[str]] = {}
+    for _, n, pair, _, _ in template_pairs():
+        templates.setdefault(n, set()).add(pair)
+    out = [r.grams for r in sorted(found, key=lambda r: r.grams) if all(3 * len(t.intersection(r.grams)) < len(t) for t in templates.values())]
+    return out, Counter(w for grams in out for w in grams if " " not in w)
+
+
+def scan(docs: DataFrame, model: dict, gate: tuple[dict[str, float], float] | None = None, min_contained: float = MIN_CONTAINED) -> DataFrame:
+    """One row per paragraph that the classifier does not call unknown: doc_id, paragraph, said, probability, contained, confirmed, and
+    family: what it said if that stands and is confirmed, else unknown."""
+    spark = docs.sparkSession
+    families, template_rows = model["families"], template_pairs()
+    # all three tables are bounded by the templates: a few thousand short rows
     weights = F.broadcast(spark.createDataFrame([(g, *ws) for g, ws in model["weights"].items()], "gram string, " + ", ".join(f"w{i} double" for i in range(len(families)))))
-    pairs = F.broadcast(spark.createDataFrame(template_pairs(), "template_family string, template int, gram string, pairs int"))
-    key = ["doc_id", "paragraph"]
-    grams = candidate_paragraphs(docs).select(*key, F.explode(F.array_distinct(F.concat(_grams(1), _grams(2), _grams(3)))).alias("gram"))
-    sums = grams.join(weights, "gram", "left").groupBy(*key).agg(*[F.coalesce(F.sum(f"w{i}"), F.lit(0.0)).alias(f"w{i}") for i in range(len(families))])
-    logits = [F.col(f"w{i}") + F.lit(b) for i, b in enumerate(model["bias"])]
-    ranked = sums.withColumn("z", F.array(*[F.struct(z.alias("z"), F.lit(-i).alias("i"), F.lit(f).alias("family")) for i, (z, f) in enumerate(zip(logits, families))]))
-    best = ranked.withColumn("best", F.array_max("z")).withColumn(
-        "probability", 1 / F.aggregate("z", F.lit(0.0), lambda acc, x: acc + F.exp(x["z"] - F.col("best.z")))
-    )
-    said = best.select(*key, F.col("best.family").alias("said"), F.round("probability", 6).alias("probability"))
-    shared = grams.join(pairs, "gram").groupBy(*key, "template_family", "template", "pairs").agg(F.count(F.lit(1)).alias("n"))
-    contained = shared.groupBy(*key, F.col("template_family").alias("said")).agg(F.round(F.max(F.col("n") / F.col("pairs")), 6).alias("contained"))
-    stands = (F.col("said") != UNKNOWN) & (F.col("probability") >= model["threshold"])
-    keys = [said[c].eqNullSafe(contained[c]) for c in (*key, "said")]
-    joined = said.join(contained, keys, "left").select(
-        said["doc_id"], said["paragraph"].cast("long").alias("paragraph"), said["said"], "probability", F.coalesce("contained", F.lit(0.0)).alias("contained")
+    pairs = F.broadcast(spark.createDataFrame(template_rows, "said string, template int, gram string, pairs int, pair_own int"))
+    rows = paragraphs(docs)
+    if gate is not None and gate[1] >= 0 and gate[0]:
+        bounds = F.create_map(*[F.lit(x) for pair in gate[0].items() for x in pair])
+        present = F.array_intersect("tokens", F.array(*[F.lit(w) for w in gate[0]]))
+        rows = rows.where(F.aggregate(present, F.lit(0.0), lambda total, w: total + F.element_at(bounds, w)) > gate[1])
+    # numbered once, so that rows of one doc_id or of none stay apart
+    rows = stash(rows.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "paragraph", "tokens"), "licence-paragraphs")
+    sums = _exploded(rows, "uid").join(weights, "gram").groupBy("uid").agg(*[F.sum(F.col(f"w{i}").cast("decimal(20,6)")).cast("double").alias(f"w{i}") for i in range(len(families))])
+    logits = [F.coalesce(f"w{i}", F.lit(0.0)) + F.lit(b) for i, b in enumerate(model["bias"])]
+    ranked = rows.join(sums, "uid", "left").withColumn("z", F.array(*[F.struct(F.round(z, 6).alias("z"), F.lit(-i).alias("i"), F.lit(f).alias("said")) for i, (z, f) in enumerate(zip(logits, families))]))
+    best = ranked.withColumn("best", F.array_max("z")).where(F.col("best.said") != UNKNOWN)
+    said = stash(
+        best.select("uid", "doc_id", "paragraph", "tokens", "best.said", F.round(1 / F.aggregate("z", F.lit(0.0), lambda acc, x: acc + F.exp(x["z"] - F.col("best.z"))), 6).alias("probability")),
+        "licence-said",
     )
+    own = said.select("uid", "said", F.array_distinct(_grams(2)).alias("own"))
+    shared = own.select("uid", "said", F.size("own").alias("size"), F.explode("own").alias("gram")).join(pairs, ["said", "gram"]).groupBy("uid", "template", "pairs", "size").agg(F.count(F.lit(1)).alias("n"), F.max("pair_own").alias("own"))
+    share = F.when(F.col("own") == 1, F.greatest(F.col("n") / F.col("pairs"), F.when(F.col("n") >= MIN_SHARED, F.col("n") / F.col("size")))).otherwise(0.0)
+    held = shared.groupBy("uid").agg(F.round(F.max(share), 6).alias("contained"))
+    joined = said.join(held, "uid", "left").withColumn("contained", F.coalesce("contained", F.lit(0.0)))
+    confirmed = (F.col("probability") >= model["threshold"]) & (F.col("contained") >= min_contained)
     return joined.select(
-        "doc_id",
-        "paragraph",
-        F.when(stands & (F.col("contained") >= min_contained), F.col("said")).otherwise(UNKNOWN).alias("family"),
-        "probability",
-        "contained",
-        (stands & (F.col("contained") >= min_contained)).alias("confirmed"),
-    )
+        "doc_id", F.col("paragraph").cast("long").alias("paragraph"), "said", "probability", "contained", confirmed.alias("confirmed"),
+        F.when(confirmed, F.col("said")).otherwise(UNKNOWN).alias("family"),
+    )
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    negatives, uses = negatives_of(docs)
+    model = train(negatives)
+    return scan(docs, model, word_bounds(model, uses))
