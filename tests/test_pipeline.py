@@ -205,6 +205,15 @@ def test_whole_pipeline(spark, files, tmp_path):
     assert articles_.count() == wos_n + scopus_n - articles_.where("sources_merged = 'wos;scopus'").count()
     person = spark.read.parquet(written["wos"]["AuthorPerson"])
     assert person.count() == person.select("PersonID").distinct().count()
+    # the same merge from CSV folders, to CSV
+    for side in ("wos", "scopus"):
+        for name, path in written[side].items():
+            tables.write_entity(spark.read.parquet(path), str(tmp_path / "csv" / side), name, "csv")
+    merged = pipeline.merge_folders(spark, str(tmp_path / "csv" / "wos"), str(tmp_path / "csv" / "scopus"), str(tmp_path / "csv" / "all"), "csv")
+    assert set(merged) == set(tables.ENTITY_COLUMNS) and all(p.endswith(".csv") for p in merged.values())
+    for name, column in (("Article", "SR"), ("Citation", "SR_ref"), ("ArticleAuthor", "AuthorID"), ("Journal", "journal_id")):
+        csv, parquet = (sorted(str(r[0] or "") for r in tables.read_entity(spark, str(folder), f"All_{name}").select(column).collect()) for folder in (tmp_path / "csv" / "all", tmp_path / "all"))
+        assert csv == parquet, name
     tables.write_entity(spark.read.parquet(written["wos"]["Article"]), str(tmp_path), "Article", "csv")
     assert tables.read_entity(spark, str(tmp_path), "Citation").count() == 0
 
@@ -218,3 +227,12 @@ def test_stream_keeps_the_first(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert sorted(r.seq for r in spark.table("firsts").collect()) == [1, 3, 4]
+
+
+def test_rows_of_several_files_keep_their_order(spark, tmp_path):
+    # the planner takes larger files first
+    for i, rows in enumerate((3, 40, 7)):
+        (tmp_path / f"f{i}.csv").write_text("k,t\n" + "".join(f'{i * 100 + j},"a\nb"\n' for j in range(rows)))
+    raw = spark.read.csv(str(tmp_path), header=True, multiLine=True, escape='"')
+    got = [int(r.k) for r in raw.withColumn("seq", tables.row_order(raw)).orderBy("seq").collect()]
+    assert got == [i * 100 + j for i, rows in enumerate((3, 40, 7)) for j in range(rows)]
