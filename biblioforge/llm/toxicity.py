@@ -1,16 +1,19 @@
 """Toxicity: a linear classifier over the distinct words of a text and their stems, trained with a counterfactual penalty.
 
-Score = sigmoid(bias + sum of word scores); a word's score is its own weight plus those of its first 4 and 5 letters.
+Score = sigmoid(bias + sum of word scores); a word's score is its own weight plus those of its first 4 and 5 letters. So the
+value of a feature is the number of distinct words that have it, in the fit as in scoring, and repeating a word changes nothing.
 Training minimises balanced logistic loss + L1 + a counterfactual term: in labelled sentences an identity term is swapped
 for the others of its set, and the squared change of the sentence's logit is penalised, so neutral mentions of
 a group do not carry a score. Labels come only from rows whose crc32(doc_id) mod 5 is not 0; only the text is a feature.
 
 The fit uses at most TRAIN_TOXIC + TRAIN_CLEAN labelled documents, those with the least seeded hash of doc_id in each
-class (documented bound); scoring covers every row and whole texts.
+class, and of the features that MIN_DOCS of them have at most the MAX_FEATURES whose log-odds between the classes lie furthest
+from 0, over LEAST_Z standard errors (documented bounds); scoring covers every row and whole texts.
 
 Rules for odd input: a null or empty text gets the bias' score; null labels or doc_ids and labels without a
 document are not trained on; contradictory labels of one doc_id count as toxic; without any usable label of both
-classes every score is 0; an empty table gives no rows; extra columns are ignored, repeated rows scored alike.
+classes every score is 0; an empty table gives no rows; extra columns are ignored, repeated rows scored alike. Very long
+texts are scored whole, in memory that grows with their distinct words.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import stash
 
 TRAIN_TOXIC, TRAIN_CLEAN, SEED = 3_000, 6_000, 17
-MIN_DOCS, MAX_FEATURES, BUCKETS = 3, 60_000, 1 << 22
+MIN_DOCS, MAX_FEATURES, LEAST_Z, BUCKETS = 3, 60_000, 2.0, 1 << 22
 L1, COUNTERFACTUAL, STEPS = 1.2e-3, 1.0, 300
 #: Cached word scores per worker; a full cache is emptied.
 CACHE_WORDS = 300_000
@@ -74,7 +77,7 @@ def _features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text in batch.column("text").to_pylist():
             words = words_of(text)
             ids, counts = np.unique(np.array([f for w in words for f in word_features(w)], np.uint32), return_counts=True)
-            out.append((ids.tobytes(), counts.astype(np.uint16).tobytes(), sorted(words & terms)))
+            out.append((ids.tobytes(), counts.astype(np.uint32).tobytes(), sorted(words & terms)))
         columns = list(zip(*out)) or [(), (), ()]
         yield pa.RecordBatch.from_arrays(
             [batch.column("toxic"), pa.array(columns[0], pa.binary()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.list_(pa.string()))],
@@ -103,7 +106,7 @@ def fit(rows: list) -> dict[str, object]:
     if not len(rows) or labels.min() == labels.max():
         return {"bias": -math.inf, "weights": {}}
     ids = [np.frombuffer(r[1], np.uint32) for r in rows]
-    counts = [np.frombuffer(r[2], np.uint16) for r in rows]
+    counts = [np.frombuffer(r[2], np.uint32) for r in rows]
     sizes = np.array([len(x) for x in ids])
     doc, flat = np.repeat(np.arange(len(rows), dtype=np.int32), sizes), np.concatenate(ids)
     used = np.unique(flat)
@@ -119,13 +122,13 @@ def fit(rows: list) -> dict[str, object]:
     z[np.isin(used, list(forced))] += 1e6
     z[total < MIN_DOCS] = -1
     keep = np.argsort(-z, kind="stable")[:MAX_FEATURES]
-    keep = np.sort(keep[z[keep] > 2.0])
+    keep = np.sort(keep[z[keep] > LEAST_Z])
     if not len(keep):
         return {"bias": math.log(p / n), "weights": {}}
     place = np.full(len(used), -1, np.int32)
     place[keep] = np.arange(len(keep))
     inside = place[column] >= 0
-    doc, feature, value = doc[inside], place[column[inside]], np.minimum(np.concatenate(counts)[inside], 8).astype(np.float64)
+    doc, feature, value = doc[inside], place[column[inside]], np.concatenate(counts)[inside].astype(np.float64)
     del column, counts
     where = {int(used[k]): i for i, k in enumerate(keep)}
     # one row per distinct swap: the difference of two words' features, weighted by how many sentences mention the first
