@@ -5,14 +5,16 @@ or an at sign, the only ones that any kind can label; their states are the four
 softmax over character-shape features; neighbouring nodes with no word between share chain potentials. Both are trained here
 by pseudo-likelihood on tokens that the base patterns label (distant supervision on a bounded sample of documents). Tokens
 whose cleaned forms are equal, or that share their digits or their e-mail user, are joined through a hub per form: the skip
-chains, linear in the number of mentions. A number split over several tokens is a node of its own if it repeats a base mention;
+chains, linear in the number of mentions. How strongly a hub of each sort binds its nodes is learnt on the same sample, from how often
+nodes of a hub have its commonest label. A number split over several tokens is a node of its own if it repeats a base mention;
 numbers are the same if their digits are, leading zeros (trunk 0, 00) left out, or if one lacks the other's country code, of up to
 three digits. Loopy sum-product passes over nodes, chains and hubs spread the clamped base labels. What lies outside the base
 spans becomes a span if its kind's belief reaches ADD, an equal or similar mention in the same document has that
 kind, and its own form admits the kind.
 
 Rules for odd input: null text counts as empty; texts without nodes are done at once; very long texts are worked
-through whole, memory is linear in their nodes; repeated rows give equal results; an empty table gives no rows.
+through whole, in time and memory linear in their length and nodes; of equally likely kinds the first as listed stands; a null doc_id
+stays null; repeated rows give equal results; an empty table gives no rows; extra columns, also of clashing names, are ignored.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 from functools import partial
 
@@ -28,17 +31,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import stash
+
 KINDS = ("email", "ip", "card", "phone")
 NONE = 4
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+#: A match begins and ends with a whole run of digits, so each run is walked through once.
+IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
 DIGIT, NODE_SIGN, TOKEN = re.compile("[0-9]"), re.compile("[0-9@]"), re.compile(r"\S+")
 #: Training documents (those with the least seeded hash among documents with nodes), training tokens, belief to add a span.
 TRAIN_DOCS, TRAIN_TOKENS, SEED, ADD = 4_000, 60_000, 29, 0.9
-PASSES, COUPLING = 6, 3.0
+PASSES = 6
+#: Kinds of hubs by the first letter of their form: equal form, equal digits, equal e-mail user. COUPLING stands in where nothing was learnt.
+HUBS, COUPLING = "fdu", 3.0
 #: Digits that a number must share with another one to be the same.
 LEAST_DIGITS = 7
 TRIM = "\"'()[]{}<>,;:!?"
@@ -183,9 +191,18 @@ def chain_of(weights: dict[str, list[float]]) -> np.ndarray:
     return (after + before.T) / 2
 
 
-def label_of(span: tuple[int, int], base: list[tuple[int, int, int]]) -> int:
-    """Kind of the base span that overlaps a node, or NONE."""
-    return next((k for k, s, e in base if s < span[1] and span[0] < e), NONE)
+def labels_of(nodes: list[tuple[int, int]], base: list[tuple[int, int, int]]) -> list[int]:
+    """Per node the first kind of which a base span overlaps it, or NONE. Spans of a kind are sorted and apart."""
+    spans = [(k, [s for j, s, _ in base if j == k], [e for j, _, e in base if j == k]) for k in sorted({k for k, _, _ in base})]
+
+    def label(a: int, b: int) -> int:
+        for k, starts, ends in spans:
+            i = bisect_right(ends, a)
+            if i < len(starts) and starts[i] < b:
+                return k
+        return NONE
+
+    return [label(a, b) for a, b in nodes]
 
 
 def fit_shapes(examples: list[tuple[list[str], int]]) -> dict[str, list[float]]:
@@ -208,6 +225,26 @@ def fit_shapes(examples: list[tuple[list[str], int]]) -> dict[str, list[float]]:
     return {f: [round(v, 9) for v in w[i]] for f, i in where.items()}
 
 
+def hub_counts(tokens: list[str], labels: list[int]) -> list[tuple[str, int, int]]:
+    """(sort of hub, its nodes, those with its commonest label) over the hubs of a document with a labelled node."""
+    members: dict[str, list[int]] = {}
+    for t, k in zip(tokens, labels):
+        for f in forms(t):
+            members.setdefault(f, []).append(k)
+    found = {sort: [0, 0] for sort in HUBS}
+    for f, kinds in members.items():
+        if len(kinds) > 1 and min(kinds) < NONE:
+            found[f[0]][0] += len(kinds)
+            found[f[0]][1] += max(map(kinds.count, set(kinds)))
+    return [(sort, n, m) for sort, (n, m) in found.items() if n]
+
+
+def coupling_of(nodes: int, agreeing: int) -> float:
+    """Log-odds of a hub's label against each other one, from how many nodes agree with it (one more of either kind is added)."""
+    share = (agreeing + 1) / (nodes + 2)
+    return max(0.0, math.log(share * NONE / (1 - share)))
+
+
 def beliefs(unary: np.ndarray, hubs: list[list[int]], coupling: float | list[float] = COUPLING, passes: int = PASSES, edges: list[tuple[int, int]] = (), chain: np.ndarray | None = None) -> np.ndarray:
     """Loopy sum-product on nodes, hubs and chains: each hub is a hidden label that its nodes share with odds exp(coupling), one for all
     hubs or one for each; nodes of an edge (left, right) share the chain's log-potentials.
@@ -255,7 +292,7 @@ def added_spans(text: str, base: list[tuple[int, int, int]], weights: dict[str,
     if not base or not weights:
         return []  # without a base mention nothing in the document can be consistent with one
     nodes = nodes_of(text)
-    labels = [label_of(s, base) for s in nodes]
+    labels = labels_of(nodes, base)
     if NONE not in labels:
         return []
     tokens = [text[a:b] for a, b in nodes]
@@ -280,8 +317,9 @@ def added_spans(text: str, base: list[tuple[int, int, int]], weights: dict[str,
     kind_of, spans = labels + [k for k, _ in extra], nodes + [None] * len(extra)
     rows, edges = [_pinned(k) for k, _ in extra], [(i, i + 1) for i in range(len(nodes) - 1) if near(text, nodes[i], nodes[i + 1])]
     joined = set(edges)
-    hubs = [ts for ts in members.values() if len(ts) > 1]
-    first, coupling, pins, covers = len(hubs), [COUPLING] * len(hubs), {}, {}
+    named = [(f, ts) for f, ts in members.items() if len(ts) > 1]
+    hubs, coupling = [ts for _, ts in named], [weights.get(f"hub {f[0]}", [COUPLING])[0] for f, _ in named]
+    first, pins, covers = len(hubs), {}, {}
     for i, j, number in number_runs(text, nodes, labels, known) if known else []:
         if number not in pins:  # one clamped node and one hub per number
             kind_of.append(known[number])
@@ -337,29 +375,36 @@ def digest(spans: list[tuple[int, int, int]]) -> str:
 
 
 def _examples(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of nodes (token, kind, kinds of its neighbours, -1 without one), and rows of hubs: (sort, -1, nodes, agreeing nodes)."""
     for batch in batches:
         tokens, kinds, befores, afters = [], [], [], []
         for text in batch.column("text").to_pylist():
             base = base_spans(text)
             nodes = nodes_of(text)
-            labels = [label_of(span, base) for span in nodes]
+            labels = labels_of(nodes, base)
             linked = [near(text, a, b) for a, b in zip(nodes, nodes[1:])]
-            tokens += [text[a:b][:200] for a, b in nodes]
+            words = [text[a:b] for a, b in nodes]
+            tokens += [w[:200] for w in words]
             kinds += labels
-            # the neighbours' kinds, -1 without a neighbour
             befores += [-1] * bool(nodes) + [k if x else -1 for k, x in zip(labels, linked)]
             afters += [k if x else -1 for k, x in zip(labels[1:], linked)] + [-1] * bool(nodes)
+            for sort, n, m in hub_counts(words, labels):
+                for column, value in zip((tokens, kinds, befores, afters), (sort, -1, n, m)):
+                    column.append(value)
         yield pa.RecordBatch.from_arrays([pa.array(tokens, pa.string()), *(pa.array(x, pa.int32()) for x in (kinds, befores, afters))], names=["token", "kind", "before", "after"])
 
 
 def train(docs: DataFrame, docs_bound: int = TRAIN_DOCS) -> dict[str, list[float]]:
-    """Shape and chain potentials from a bounded sample of documents; labels are the base patterns' own."""
+    """Shape and chain potentials and couplings from a bounded sample of documents; labels are the base patterns' own."""
     order = [F.xxhash64("doc_id", F.lit(SEED)), "doc_id"]
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     some = rows.where(F.col("text").rlike("[0-9@]")).select("doc_id").orderBy(*order).limit(docs_bound)
     texts = rows.where(F.col("text").isNotNull()).join(F.broadcast(some), "doc_id", "left_semi")
-    counted = texts.mapInArrow(_examples, "token string, kind int, before int, after int").orderBy(F.xxhash64("token", "kind"), "token", "kind", "before", "after").limit(TRAIN_TOKENS).collect()
-    return fit_shapes([(shape(r.token) + [f"before{r.before}"] * (r.before >= 0) + [f"after{r.after}"] * (r.after >= 0), r.kind) for r in counted])
+    found = stash(texts.mapInArrow(_examples, "token string, kind int, before int, after int"), "personal-examples")
+    counted = found.where("kind >= 0").orderBy(F.xxhash64("token", "kind"), "token", "kind", "before", "after").limit(TRAIN_TOKENS).collect()
+    weights = fit_shapes([(shape(r.token) + [f"before{r.before}"] * (r.before >= 0) + [f"after{r.after}"] * (r.after >= 0), r.kind) for r in counted])
+    hubs = found.where("kind < 0").groupBy("token").agg(F.sum("before").alias("nodes"), F.sum("after").alias("agreeing")).collect()  # one row per sort
+    return weights | {f"hub {r.token}": [coupling_of(r.nodes, r.agreeing)] for r in hubs} if weights else {}
 
 
 def _find(batches: Iterable[pa.RecordBatch], weights: dict[str, list[float]]) -> Iterator[pa.RecordBatch]:
