@@ -51,8 +51,8 @@ def test_null_ids_and_clashing_columns(spark, sf):
     assert exact_dedup.exact_dedup(docs, exact_dedup.DigestIndex(spark)).count() == 4
     assert mixing.mix(docs).count() == 4 and simhash.simhash_components(docs).count() == 4
     assert token_files.read_token_files(token_files.write_token_files(docs, folder), folder).count() == 4
-    assert toxicity.score(docs, {"bias": 0.0, "weights": {}}).count() == 4 and token_counts.token_counts(docs).count() == 4
-    assert pii.find_personal_data(docs, {}).count() == 4 and license_scan.scan(docs).count() == 0
+    assert toxicity.score(docs, {"bias": 0.0, "weights": {}}).count() == 4 and token_counts.token_counts(docs, {}).count() == 4
+    assert pii.find_personal_data(docs, {}).count() == 4 and license_scan.scan(docs, license_scan.train()).count() == 0
     assert mixing.drawn_documents(docs, 100, 1).columns == docs.columns
     for _, stage in cp.STAGES:
         docs = stage(spark, docs, sf)

@@ -1,5 +1,7 @@
 from fractions import Fraction
 
+from pyspark.sql import functions as F
+
 from biblioforge.llm import mixing as M
 from tests.oracle import differences
 
@@ -53,3 +55,13 @@ def test_odd_rows(spark, odd_docs, no_docs):
     for r in drawn.select("doc_id").collect():
         got[r.doc_id] = got.get(r.doc_id, 0) + 1
     assert got == want
+
+
+def test_weights_and_domains_are_arguments(spark, sf, odd_docs, no_docs):
+    weights = M.Weights({"a": 1, "b": 3}, {"en": 1}, {})
+    assert differences(spark, sf, lambda spark, sf: M.mix(spark.read.parquet(f"{sf}/documents.parquet"), 30, 2, 5, M.WEIGHTS), M.oracle(30, 2, 5)) is None
+    leaves = spark.createDataFrame([("a", "en", "x", 900), ("b", "en", "x", 900), ("b", "en", "y", 900)], "domain string, lang string, source string, tokens long")
+    assert sorted((r.domain, r.source, r.budget) for r in M.leaf_budgets(leaves, 400, 1, weights).collect()) == [("a", "x", 100), ("b", "x", 150), ("b", "y", 150)]
+    own = M.mix(spark.read.parquet(f"{sf}/documents.parquet"), domain=(F.col("doc_id") % 2).cast("string"))
+    assert sorted(r.domain for r in own.select("domain").distinct().collect()) == ["0", "1"]
+    assert M.mix(odd_docs, weights=weights).count() == odd_docs.count() and M.mix(no_docs, weights=weights).count() == 0

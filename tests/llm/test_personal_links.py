@@ -41,3 +41,51 @@ def test_chains_equal_enumeration():
             exact[np.arange(4), list(x)] += np.exp(sum(unary[i, x[i]] for i in range(4)) + chain[x[0], x[1]] + chain[x[1], x[2]] + c[0] * ((x[0] == h) + (x[3] == h)))
     exact /= exact.sum(1, keepdims=True)
     assert np.allclose(pii.beliefs(unary, hubs, c, edges=[(0, 1), (1, 2)], chain=chain), exact, atol=1e-6)
+
+
+def test_couplings_are_learnt_and_change_beliefs(weights):
+    assert all(0 < weights[f"hub {sort}"][0] < 15 for sort in "fd" if f"hub {sort}" in weights) and any(k.startswith("hub ") for k in weights)
+    assert pii.hub_counts(["a@b.co", "A@b.co", "1@2", "x"], [0, 4, 4, 4]) == [("f", 2, 1)]
+    assert pii.coupling_of(100, 100) > pii.coupling_of(100, 60) > pii.coupling_of(100, 20) >= 0
+    text = "Mail user7.n@mail0.example.com, again USER7.n@mail0 or user7.n@mail0."
+    base = pii.base_spans(text)
+    found = [text[s:e] for _, s, e in pii.added_spans(text, base, weights)]
+    loose = {k: [0.0] if k.startswith("hub ") else v for k, v in weights.items()}
+    # without skip chains the shape alone must carry the belief
+    assert "USER7.n@mail0" in found and len(pii.added_spans(text, base, loose)) <= len(found)
+
+
+def test_labels_equal_plain_overlap():
+    import random
+
+    rng = random.Random(2)
+    for _ in range(200):
+        base, nodes = [], []
+        for k in range(4):
+            at = 0
+            while (at := at + rng.randrange(1, 9)) < 60:
+                end = at + rng.randrange(1, 6)
+                base.append((k, at, end))
+                at = end
+        at = 0
+        while (at := at + rng.randrange(1, 4)) < 70:
+            nodes.append((at, at + rng.randrange(1, 5)))
+            at = nodes[-1][1]
+        base = [b for b in base if rng.random() < 0.3]
+        assert pii.labels_of(nodes, base) == [next((k for k, s, e in sorted(base) if s < b and a < e), pii.NONE) for a, b in nodes]
+
+
+def test_very_long_runs_are_linear(weights):
+    import time
+
+    for text in ("7" * 1_000_000, "1." * 500_000, "+1" * 300_000, "a@" * 300_000, "12 " * 300_000 + "1.2.3.4 " * 3_000):
+        began = time.perf_counter()
+        base = pii.base_spans(text)
+        pii.labels_of(pii.nodes_of(text), base)
+        assert time.perf_counter() - began < 5
+
+
+def test_odd_rows(spark, weights):
+    rows = [(None, "a@b.co a@b.co", 1), (None, None, 2), (1, "", 3), (1, "a@b.co a@b.co", 4), (1, "a@b.co a@b.co", 4)]
+    out = pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string, spans long"), weights).collect()
+    assert sorted((str(r.doc_id), r.n_email) for r in out) == sorted((str(d), 2 if t else 0) for d, t, _ in rows)

@@ -99,3 +99,29 @@ def test_sequences_hold_the_ids(spark, odd_docs, library):
     for r in packing.pack(odd_docs, keep_ids=True).where("doc_id = 7").collect():
         assert r.ids == whole(library, "émile ΣΑΣ ½ İx   y")[4 * r.start : 4 * (r.start + r.length)]
     assert sum(map(len, out.values())) == sum(len(whole(library, d.text)) // 4 for d in odd_docs.select("text").collect())
+
+
+def test_pieces_of_a_document_are_few_and_fewer_with_more_tolerance():
+    counts = [[len(packing.cut(n, 2048, tolerance)) for n in range(1, 2048)] for tolerance in (0.02, 0.1, 0.2)]
+    assert max(counts[0]) <= 5 and sum(counts[0]) > sum(counts[1]) > sum(counts[2])
+    assert all(len(packing.cut(n)) == 1 for k in range(1, 40) for n in [2048 // k])
+    assert len(packing.cut(2048 * 7 + 5)) <= 7 + 5
+
+
+def test_packing_keeps_repeated_and_null_ids_apart(spark, library):
+    rows = [(None, "a b"), (None, "a b"), (1, "c d e"), (1, "c d e f"), (1, None)]
+    out = packing.pack(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = sorted((str(d), zlib.crc32(whole(library, t)), len(whole(library, t)) // 4) for d, t in rows)
+    assert sorted((str(r.doc_id), r.ids_crc32, r.length) for r in out) == want and {r.start for r in out} == {0}
+
+
+def test_files_keep_repeated_and_null_ids_in_a_fixed_order(spark, library):
+    rows = [(None, "n"), (3, "x"), (3, "x"), (3, "y"), (None, None), (-(1 << 63), "least"), (4, "z")] + [(5, "same")] * 40
+    found = []
+    for parts in (1, 7):
+        folder = new_path(spark, "ties")
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        found.append(sorted(map(tuple, token_files.read_token_files(token_files.write_token_files(docs, folder, 8), folder).collect()), key=lambda r: r[1]))
+    assert found[0] == found[1] and [r[0] for r in found[0]] == [None, None, -(1 << 63), 3, 3, 3, 4] + [5] * 40
+    assert sorted(r[3] for r in found[0]) == sorted(zlib.crc32(whole(library, t)) for _, t in rows)
+    assert [r[1] for r in found[0]] == [sum(x[2] for x in found[0][:i]) for i in range(len(rows))]
