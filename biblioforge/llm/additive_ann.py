@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import stash
+from .common import least_hashes, stash
 
 BOOKS, ENTRIES, BEAM = 12, 256, 4
 SAMPLE, SEED, KMEANS_STEPS = 16_384, 7, 8
@@ -199,7 +199,7 @@ def search(index: DataFrame, queries: DataFrame, books: np.ndarray, k: int = NEI
 
 def fit_books(vectors: DataFrame, sample: int = SAMPLE) -> np.ndarray | None:
     """Codebooks from at most sample vectors, those with the least seeded hash of vec_id; None without vectors."""
-    rows = vectors.orderBy(F.xxhash64("vec_id", F.lit(SEED)), "vec_id").limit(sample).select("embedding").collect()
+    rows = least_hashes(vectors, vectors.count(), F.xxhash64("vec_id", F.lit(SEED)), ["vec_id"], sample).select("embedding").collect()
     return train_books(np.array([r[0] for r in rows])) if rows else None
 
 

@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 
 #: Used only where a local session names no spark.checkpoint.dir (tests).
 LOCAL_CHECKPOINT_DIR = "/tmp/checkpoints"
+#: How many times the wanted rows of a sample are let through by their hash.
+SPARE = 6
 #: A side with at most this many rows (of a few dozen bytes) may be broadcast.
 BROADCAST_ROWS = 100_000
 
@@ -74,6 +76,20 @@ def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def least_hashes(rows: DataFrame, n: int, order: Column, ties: list[Column | str], most: int) -> DataFrame:
+    """The `most` rows of least order (a hash, uniform over longs), then ties. n: about how many rows there are, or fewer.
+
+    Rows whose hash cannot be among them are left out first, so that the task that sorts sees a few times `most` rows however large
+    the corpus is; should too few be left, all are sorted. The rows are the same either way."""
+    share = SPARE * most / max(n, 1)
+    if share < 1:
+        near = rows.where(order < F.lit(int(-(2**63) + share * 2**64)))
+        kept = stash(near.orderBy(order, *ties).limit(most), "least-hashes")  # bounded by most
+        if kept.count() >= most:
+            return kept.orderBy(order, *ties)
+    return rows.orderBy(order, *ties).limit(most)
+
+
 KEY = "_biblioforge_row_key"
 
 

@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stash
+from .common import least_hashes, stash
 
 UNKNOWN = "unknown"
 WORD = r"[a-z0-9]+"
@@ -258,10 +258,17 @@ def template_pairs() -> list[tuple[str, int, str, int, int]]:
     return [(f, n, pair, len(ps), int(holders[pair] == 1 and any(c.isalpha() for c in pair))) for n, (f, ps) in enumerate(texts) for pair in sorted(ps)]
 
 
+def _parts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long"), F.posexplode(F.split(F.col("text").cast("string"), BREAK)).alias("paragraph", "part"))
+
+
+def _tokens():
+    return F.regexp_extract_all(F.lower("part"), F.lit(WORD), F.lit(0)).alias("tokens")
+
+
 def paragraphs(docs: DataFrame) -> DataFrame:
     """doc_id, paragraph (from 0), tokens of the paragraphs that have words."""
-    parts = docs.select(F.col("doc_id").cast("long"), F.posexplode(F.split(F.col("text").cast("string"), BREAK)).alias("paragraph", "part"))
-    return parts.select("doc_id", "paragraph", F.regexp_extract_all(F.lower("part"), F.lit(WORD), F.lit(0)).alias("tokens")).where(F.size("tokens") > 0)
+    return _parts(docs).select("doc_id", "paragraph", _tokens()).where(F.size("tokens") > 0)
 
 
 def _grams(n: int):
@@ -279,8 +286,10 @@ def _exploded(rows: DataFrame, *keys: str) -> DataFrame:
 def negatives_of(docs: DataFrame, most: int = NEGATIVES) -> tuple[list[list[str]], Counter]:
     """(n-grams of the vocabulary of at most `most` paragraphs that hold under a third of any template, how many paragraphs have each word)."""
     spark = docs.sparkSession
-    chosen = paragraphs(docs).select(F.xxhash64("doc_id", "paragraph", F.lit(SEED)).alias("h"), "tokens").orderBy("h", F.size("tokens")).limit(most)
-    chosen = stash(chosen.select(F.monotonically_increasing_id().alias("uid"), "tokens"), "licence-negatives")
+    # only the chosen paragraphs are cut to words
+    parts = _parts(docs).where(F.trim("part") != "").select(F.xxhash64("doc_id", "paragraph", F.lit(SEED)).alias("h"), "part")
+    chosen = least_hashes(parts, docs.count(), F.col("h"), [F.xxhash64("part")], most)
+    chosen = stash(chosen.select(F.monotonically_increasing_id().alias("uid"), _tokens()), "licence-negatives")
     # one short row per n-gram of the templates
     known = F.broadcast(spark.createDataFrame([(g,) for g in vocabulary()], "gram string"))
     found = _exploded(chosen, "uid").join(known, "gram").groupBy("uid").agg(F.sort_array(F.collect_list("gram")).alias("grams")).collect()

@@ -11,14 +11,18 @@ leaf. A leaf may hold a third of all rows, so a prefix is never ordered in one t
 RADIX ranges of their seeded order key, range totals find the range that the budget ends in, that range is split again in the
 same way, and only the few documents of the last range are ordered.
 
+The weights of the three levels are arguments (Weights), as is the column that gives a document's domain.
+
 Rules for odd input: null lang or source form the leaf ''; null text counts as 0 tokens and such documents come and go with
-the order like any other; a leaf without weight takes part with DEFAULT_WEIGHT; weights below 0 count as 0, and a node whose
+the order like any other; a null doc_id sorts first and such rows of a leaf are one draw; a leaf without weight takes part with DEFAULT_WEIGHT; weights below 0 count as 0, and a node whose
 children all weigh 0 gives them nothing; ties in the order key go to the smaller doc_id; rows repeated with the same doc_id
 are one draw: each gets the same copies; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -29,17 +33,25 @@ DEFAULT_WEIGHT = 1
 #: Share of the corpus' tokens drawn, in hundredths, and how often a document may be drawn at most.
 BUDGET_PERCENT, MAX_EPOCHS = 60, 4
 LEAF = ["domain", "lang", "source"]
-#: Target weights. Domains group sources by their number; a source of a name not listed has DEFAULT_WEIGHT.
-DOMAIN_WEIGHTS = {"web": 3, "books": 2, "code": 2, "forums": 1}
-LANG_WEIGHTS = {"en": 5, "de": 2, "fr": 2, "es": 1}
-SOURCE_WEIGHTS = {"src0": 1, "src1": 4, "src2": 2, "src3": 2}
 
 
-def domain_of(source: Column) -> Column:
-    """Domains by the source's number modulo 4; sources without a number are of the web."""
+@dataclass(frozen=True)
+class Weights:
+    """Integer target weights by name on each level of the tree; names that are not listed have DEFAULT_WEIGHT, below 0 counts as 0."""
+
+    domain: dict[str, int]
+    lang: dict[str, int]
+    source: dict[str, int]
+
+
+#: Target weights of the query. Domains group sources by their number; a source of a name not listed has DEFAULT_WEIGHT.
+WEIGHTS = Weights({"web": 3, "books": 2, "code": 2, "forums": 1}, {"en": 5, "de": 2, "fr": 2, "es": 1}, {"src0": 1, "src1": 4, "src2": 2, "src3": 2})
+
+
+def domain_of(source: Column, domains: tuple[str, ...] = tuple(WEIGHTS.domain)) -> Column:
+    """Domains by the source's number modulo their count; sources without a number are of the first."""
     number = F.coalesce(F.regexp_extract(source, "([0-9]{1,9})$", 1).try_cast("int"), F.lit(0))
-    names = F.array(*[F.lit(d) for d in DOMAIN_WEIGHTS])
-    return F.get(names, number % len(DOMAIN_WEIGHTS))
+    return F.get(F.array(*[F.lit(d) for d in domains]), number % len(domains))
 
 
 def _weight(column: Column, weights: dict[str, int]) -> Column:
@@ -79,14 +91,14 @@ def split_budget(nodes: DataFrame, parents: list[str], child: str) -> DataFrame:
     return staged.withColumn("share", F.greatest(F.least(share, F.col("cap")), F.lit(0).cast("long"))).drop("rest", "mass", "full", "level")
 
 
-def leaf_budgets(leaves: DataFrame, total: Column | int, max_epochs: int = MAX_EPOCHS) -> DataFrame:
+def leaf_budgets(leaves: DataFrame, total: Column | int, max_epochs: int = MAX_EPOCHS, weights: Weights = WEIGHTS) -> DataFrame:
     """leaves: domain, lang, source, tokens -> with budget and epochs (whole ones)."""
     l = leaves.withColumn("cap", F.col("tokens") * max_epochs)
-    domains = l.groupBy("domain").agg(F.sum("cap").alias("cap")).withColumn("weight", _weight(F.col("domain"), DOMAIN_WEIGHTS))
+    domains = l.groupBy("domain").agg(F.sum("cap").alias("cap")).withColumn("weight", _weight(F.col("domain"), weights.domain))
     domains = split_budget(domains.withColumn("budget", total if isinstance(total, Column) else F.lit(total).cast("long")), [], "domain")
-    langs = l.groupBy("domain", "lang").agg(F.sum("cap").alias("cap")).withColumn("weight", _weight(F.col("lang"), LANG_WEIGHTS))
+    langs = l.groupBy("domain", "lang").agg(F.sum("cap").alias("cap")).withColumn("weight", _weight(F.col("lang"), weights.lang))
     langs = split_budget(langs.join(domains.select("domain", F.col("share").alias("budget")), "domain"), ["domain"], "lang")
-    sources = l.withColumn("weight", _weight(F.col("source"), SOURCE_WEIGHTS))
+    sources = l.withColumn("weight", _weight(F.col("source"), weights.source))
     sources = split_budget(sources.join(langs.select("domain", "lang", F.col("share").alias("budget")), ["domain", "lang"]), ["domain", "lang"], "source")
     share = F.col("share")
     return sources.select(
@@ -101,17 +113,18 @@ def _ranges(docs: DataFrame, keys: list[str], digit: str) -> DataFrame:
     return sums.withColumn("before", F.coalesce(F.sum("in_range").over(before), F.lit(0)))
 
 
-def with_leaf(docs: DataFrame) -> DataFrame:
-    """The docs with their leaf as struct column _leaf (domain, lang, source)."""
+def with_leaf(docs: DataFrame, domain: Column | None = None) -> DataFrame:
+    """The docs with their leaf as struct column _leaf (domain, lang, source); domain: by the source's number if not given."""
     source, lang = F.coalesce(F.col("source"), F.lit("")), F.coalesce(F.col("lang"), F.lit(""))
-    return docs.withColumn("_leaf", F.struct(domain_of(source).alias("domain"), lang.alias("lang"), source.alias("source")))
+    named = domain_of(source) if domain is None else F.coalesce(domain.cast("string"), F.lit(""))
+    return docs.withColumn("_leaf", F.struct(named.alias("domain"), lang.alias("lang"), source.alias("source")))
 
 
-def drawing_plan(rows: DataFrame, percent: int, max_epochs: int, seed: int) -> DataFrame:
+def drawing_plan(rows: DataFrame, percent: int, max_epochs: int, seed: int, weights: Weights = WEIGHTS) -> DataFrame:
     """rows: doc_id, leaf columns, n_tokens -> one row per leaf: epochs, and edge, the last (key, doc_id) of the prefix."""
     leaves = stash(rows.groupBy(*LEAF).agg(F.sum("n_tokens").alias("tokens")), "mix-leaves")
-    total = leaves.agg(F.floor(F.sum("tokens") * percent / 100).cast("long")).first()[0] or 0
-    budgets, n_leaves = small_side(leaf_budgets(leaves, total, max_epochs), "mix-budgets")
+    total = (leaves.agg(F.sum("tokens")).first()[0] or 0) * percent // 100
+    budgets, n_leaves = small_side(leaf_budgets(leaves, total, max_epochs, weights), "mix-budgets")
     bits = RADIX.bit_length() - 1
     keyed = rows.join(budgets.select(*LEAF, "epochs", "rest"), LEAF).withColumn("key", order_key(seed, F.col("epochs")))
     keyed = keyed.withColumn("d1", F.shiftright("key", 60 - bits)).withColumn("d2", F.shiftright("key", 60 - 2 * bits).bitwiseAND(F.lit(RADIX - 1)))
@@ -137,23 +150,27 @@ def copies(seed: int, epochs: str = "epochs", edge: str = "edge") -> Column:
     return F.col(epochs) + F.coalesce(drawn, F.lit(False)).cast("long")
 
 
-def _token_rows(docs: DataFrame) -> DataFrame:
+def _token_rows(docs: DataFrame, domain: Column | None = None) -> DataFrame:
     n = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    return stash(with_leaf(docs).select(F.col("doc_id").cast("long"), "_leaf.*", n.alias("n_tokens")), "mix-rows")
+    return stash(with_leaf(docs, domain).select(F.col("doc_id").cast("long"), "_leaf.*", n.alias("n_tokens")), "mix-rows")
 
 
-def mix(docs: DataFrame, percent: int = BUDGET_PERCENT, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
+def mix(
+    docs: DataFrame, percent: int = BUDGET_PERCENT, max_epochs: int = MAX_EPOCHS, seed: int = SEED, weights: Weights = WEIGHTS, domain: Column | None = None
+) -> DataFrame:
     """One row per input row: doc_id, domain, lang, source, n_tokens, copies (0: not drawn)."""
-    rows = _token_rows(docs)
-    plan = drawing_plan(rows, percent, max_epochs, seed)
+    rows = _token_rows(docs, domain)
+    plan = drawing_plan(rows, percent, max_epochs, seed, weights)
     return rows.join(plan, LEAF).select("doc_id", *LEAF, "n_tokens", copies(seed).alias("copies"))
 
 
-def drawn_documents(docs: DataFrame, percent: int, max_epochs: int, seed: int = SEED) -> DataFrame:
+def drawn_documents(
+    docs: DataFrame, percent: int, max_epochs: int, seed: int = SEED, weights: Weights = WEIGHTS, domain: Column | None = None
+) -> DataFrame:
     """The documents themselves, each as often as it is drawn, with their own columns only."""
-    plan = drawing_plan(_token_rows(docs), percent, max_epochs, seed)
+    plan = drawing_plan(_token_rows(docs, domain), percent, max_epochs, seed, weights)
     plan = plan.select(F.struct(*LEAF).alias("_leaf"), F.col("epochs").alias("_epochs"), F.col("edge").alias("_edge"))
-    drawn = with_leaf(docs).join(plan, "_leaf").withColumn("_copies", copies(seed, "_epochs", "_edge")).where("_copies > 0")
+    drawn = with_leaf(docs, domain).join(plan, "_leaf").withColumn("_copies", copies(seed, "_epochs", "_edge")).where("_copies > 0")
     if max_epochs > 1:
         drawn = drawn.withColumn("_draw", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
     return drawn.select(*[f"`{c}`" for c in docs.columns])
@@ -180,20 +197,20 @@ def _split_sql(name: str, nodes: str, parents: list[str], child: str) -> str:
   first_value(rest) OVER ({by} ORDER BY is_full, rn) * weight // first_value(mass) OVER ({by} ORDER BY is_full, rn)) END AS share FROM {name}1)"""
 
 
-def oracle(percent: int = BUDGET_PERCENT, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> str:
-    names = "[" + ", ".join(f"'{d}'" for d in DOMAIN_WEIGHTS) + "]"
+def oracle(percent: int = BUDGET_PERCENT, max_epochs: int = MAX_EPOCHS, seed: int = SEED, weights: Weights = WEIGHTS) -> str:
+    names = "[" + ", ".join(f"'{d}'" for d in weights.domain) + "]"
     return f"""
 WITH r AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
-  {names}[coalesce(try_cast(regexp_extract(coalesce(source, ''), '([0-9]{{1,9}})$', 1) AS INT), 0) % {len(DOMAIN_WEIGHTS)} + 1] AS domain,
+  {names}[coalesce(try_cast(regexp_extract(coalesce(source, ''), '([0-9]{{1,9}})$', 1) AS INT), 0) % {len(weights.domain)} + 1] AS domain,
   len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS n_tokens FROM documents),
 l AS (SELECT domain, lang, source, sum(n_tokens)::BIGINT AS tokens FROM r GROUP BY ALL),
-total AS (SELECT floor(sum(tokens) * {percent} / 100)::BIGINT AS budget FROM l),
-dn AS (SELECT domain, sum(tokens)::BIGINT * {max_epochs} AS cap, {_case('domain', DOMAIN_WEIGHTS)} AS weight, (SELECT budget FROM total) AS budget FROM l GROUP BY domain),
+total AS (SELECT (sum(tokens) * {percent} // 100)::BIGINT AS budget FROM l),
+dn AS (SELECT domain, sum(tokens)::BIGINT * {max_epochs} AS cap, {_case('domain', weights.domain)} AS weight, (SELECT budget FROM total) AS budget FROM l GROUP BY domain),
 {_split_sql('ds', 'dn', [], 'domain')},
-ln AS (SELECT l.domain, lang, sum(tokens)::BIGINT * {max_epochs} AS cap, {_case('lang', LANG_WEIGHTS)} AS weight, any_value(ds.share) AS budget
+ln AS (SELECT l.domain, lang, sum(tokens)::BIGINT * {max_epochs} AS cap, {_case('lang', weights.lang)} AS weight, any_value(ds.share) AS budget
   FROM l JOIN ds USING (domain) GROUP BY l.domain, lang),
 {_split_sql('ls', 'ln', ['domain'], 'lang')},
-sn AS (SELECT l.domain, l.lang, source, tokens * {max_epochs} AS cap, {_case('source', SOURCE_WEIGHTS)} AS weight, ls.share AS budget
+sn AS (SELECT l.domain, l.lang, source, tokens * {max_epochs} AS cap, {_case('source', weights.source)} AS weight, ls.share AS budget
   FROM l JOIN ls USING (domain, lang)),
 {_split_sql('ss', 'sn', ['domain', 'lang'], 'source')},
 b AS (SELECT domain, lang, source, CASE WHEN tokens > 0 THEN share // tokens ELSE 0 END AS epochs,

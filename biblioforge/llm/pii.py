@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stash
+from .common import least_hashes, stash
 
 KINDS = ("email", "ip", "card", "phone")
 NONE = 4
@@ -396,9 +396,8 @@ def _examples(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(docs: DataFrame, docs_bound: int = TRAIN_DOCS) -> dict[str, list[float]]:
     """Shape and chain potentials and couplings from a bounded sample of documents; labels are the base patterns' own."""
-    order = [F.xxhash64("doc_id", F.lit(SEED)), "doc_id"]
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    some = rows.where(F.col("text").rlike("[0-9@]")).select("doc_id").orderBy(*order).limit(docs_bound)
+    some = least_hashes(rows.where(F.col("text").rlike("[0-9@]")).select("doc_id"), docs.count(), F.xxhash64("doc_id", F.lit(SEED)), ["doc_id"], docs_bound)
     texts = rows.where(F.col("text").isNotNull()).join(F.broadcast(some), "doc_id", "left_semi")
     found = stash(texts.mapInArrow(_examples, "token string, kind int, before int, after int"), "personal-examples")
     counted = found.where("kind >= 0").orderBy(F.xxhash64("token", "kind"), "token", "kind", "before", "after").limit(TRAIN_TOKENS).collect()

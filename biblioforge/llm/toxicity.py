@@ -30,7 +30,7 @@ import pyarrow.compute  # noqa: F401  pa.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stash
+from .common import least_hashes, stash
 
 TRAIN_TOXIC, TRAIN_CLEAN, SEED = 3_000, 6_000, 17
 MIN_DOCS, MAX_FEATURES, LEAST_Z, BUCKETS = 3, 60_000, 2.0, 1 << 22
@@ -96,8 +96,13 @@ def training_rows(docs: DataFrame, labels: DataFrame, toxic_rows: int = TRAIN_TO
         .where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out())
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     )
-    order = [F.xxhash64("doc_id", F.lit(SEED)), "doc_id"]
-    return usable.where("toxic = 1").orderBy(*order).limit(toxic_rows).unionByName(usable.where("toxic = 0").orderBy(*order).limit(clean_rows))
+    usable = stash(usable, "toxicity-labels")
+    counts = {r.toxic: r["count"] for r in usable.groupBy("toxic").count().collect()}
+
+    def some(toxic: int, most: int) -> DataFrame:
+        return least_hashes(usable.where(F.col("toxic") == toxic), counts.get(toxic, 0), F.xxhash64("doc_id", F.lit(SEED)), ["doc_id"], most)
+
+    return some(1, toxic_rows).unionByName(some(0, clean_rows))
 
 
 def fit(rows: list) -> dict[str, object]:
