@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import additive_ann, exact_dedup, license_scan, mixing, packing, pii, simhash, token_counts, token_files, toxicity
+from . import additive_ann, delta_lloyd, exact_dedup, license_scan, mixing, packing, pii, repetition, simhash, spelling, token_counts, token_files, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,8 +21,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_simhash_near_dedup": simhash.op8_simhash_near_dedup,
         "op9_token_counts": token_counts.op9_token_counts,
         "op10_personal_data": pii.op10_personal_data,
+        "op11_quality_rules": repetition.op11_quality_rules,
+        "op12_delta_lloyd": delta_lloyd.op12_delta_lloyd,
+        "op13_spelling_variants": spelling.op13_spelling_variants,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": exact_dedup.ORACLE, "op2_source_mixing": mixing.oracle()}
+    return {
+        "op1_exact_dedup": exact_dedup.ORACLE,
+        "op2_source_mixing": mixing.oracle(),
+        "op11_quality_rules": repetition.oracle(),
+        "op12_delta_lloyd": delta_lloyd.oracle(),
+        "op13_spelling_variants": spelling.ORACLE,
+    }
