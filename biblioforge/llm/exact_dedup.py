@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -22,6 +24,7 @@ from .common import KEY, drop_stash, new_path, only_rows, row_key, stash, text_o
 LEAST_BUCKETS, BUCKET_ROWS = 16, 4_000_000
 #: Batches after which the files of each bucket are merged to one sorted file.
 COMPACT_AFTER = 8
+STATE_FILE = re.compile(r"_state-([0-9]+)\.json")
 #: Lets the scan of a bucket that is one file keep its order, so that the merge join does not sort the index again.
 SORTED_SCAN = "spark.sql.legacy.bucketedTableScan.outputOrdering"
 
@@ -29,55 +32,90 @@ SORTED_SCAN = "spark.sql.legacy.bucketedTableScan.outputOrdering"
 class DigestIndex:
     """Every text digest seen so far with the doc_id that stands for it, as a bucketed and sorted external table.
 
-    ``path`` is a folder all executors reach. Its file _index.json names the buckets, the batches since the last compaction and
+    ``path`` is a folder all executors reach. A numbered file _state-N.json names the buckets, the batches since the last compaction and
     the subfolder that holds the table, so an index outlives a session and is opened as it was made. The number of buckets
     comes from the first batch, or from ``expected_rows``.
+
+    A state is written whole under a new number and never changed; the highest whole one counts, and older ones go after it. A stop between any
+    two file operations therefore leaves an index that opens: digests of a stopped append count as seen (the same batch again gives the same
+    rows), and a stopped compaction leaves the old table in force. A folder with digests but without a state is refused, as its buckets
+    are unknown. One writer at a time: a writer that finds a state newer than its own raises before it writes.
     """
 
     def __init__(self, spark: SparkSession, path: str | None = None, expected_rows: int | None = None):
         self.spark, self.path, self.expected_rows = spark, (path or new_path(spark, "digests")).rstrip("/"), expected_rows
-        self.state = self._read_state()
+        self.number, self.state = self._newest()
         if self.state:
-            self._register()
+            self._register(self.state)
+        elif found := [n for n in self._names() if n.startswith("digests-")]:
+            raise ValueError(f"{self.path} holds {', '.join(found)} but no state")
 
-    def _file(self, name: str):
-        place = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+    def _file(self, name: str = ""):
+        place = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
         return place, place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _read_state(self) -> dict | None:
-        place, files = self._file("_index.json")
-        if not files.exists(place):
-            return None
-        stream = files.open(place)
-        try:
-            return json.loads(bytes(stream.readAllBytes()).decode())
-        finally:
-            stream.close()
-
-    def _write_state(self, state: dict) -> None:
-        part, files = self._file("_index.json.part")
-        stream = files.create(part, True)
-        stream.write(json.dumps(state).encode())
+    def _names(self) -> list[str]:
+        place, files = self._file()
+        return sorted(f.getPath().getName() for f in files.listStatus(place)) if files.exists(place) else []
+
+    def _newest(self) -> tuple[int, dict | None]:
+        """The highest number of a state, and the highest numbered state that can be read."""
+        numbers = sorted((int(m.group(1)) for m in map(STATE_FILE.fullmatch, self._names()) if m), reverse=True)
+        for n in numbers:
+            place, files = self._file(_state_name(n))
+            stream = files.open(place)
+            try:
+                return numbers[0], json.loads(bytes(stream.readAllBytes()).decode())
+            except ValueError:
+                continue
+            finally:
+                stream.close()
+        return max(numbers, default=0), None
+
+    def _write(self, name: str, text: str) -> None:
+        place, files = self._file(name)
+        stream = files.create(place, True)
+        stream.write(text.encode())
         stream.close()
-        place, _ = self._file("_index.json")
-        files.delete(place, False)
-        if not files.rename(part, place):
-            raise OSError(f"cannot write {self.path}/_index.json")
-        self.state = state
 
-    @property
-    def folder(self) -> str:
-        return f"{self.path}/{self.state['folder']}"
+    def _rename(self, old: str, new: str) -> None:
+        place, files = self._file(new)
+        if files.exists(place) or not files.rename(self._file(old)[0], place):
+            raise OSError(f"cannot write {self.path}/{new}")
+
+    def _delete(self, name: str) -> None:
+        drop_stash(self.spark, f"{self.path}/{name}")
+
+    def _alone(self) -> None:
+        if self._newest()[0] != self.number:
+            raise RuntimeError(f"{self.path} was changed by another writer: open it again")
+
+    def _write_state(self, state: dict) -> None:
+        name = _state_name(self.number + 1)
+        part = f"{name}.{uuid.uuid4().hex}.part"
+        self._write(part, json.dumps(state))
+        self._rename(part, name)
+        self.number, self.state = self.number + 1, state
+        for old in self._names():
+            m = STATE_FILE.fullmatch(old)
+            if old.endswith(".part") or m and int(m.group(1)) < self.number:
+                self._delete(old)
+
+    def _folder(self, state: dict) -> str:
+        return f"{self.path}/{state['folder']}"
+
+    def _table(self, state: dict) -> str:
+        """The catalog's name of the table: a digest of its whole location, so that no two indexes share one."""
+        return "digest_index_" + hashlib.sha256(self._folder(state).encode()).hexdigest()[:40]
 
     @property
     def name(self) -> str:
-        """The catalog's name of the table: a digest of its whole location, so that no two indexes share one."""
-        return "digest_index_" + hashlib.sha256(self.folder.encode()).hexdigest()[:40]
+        return self._table(self.state)
 
-    def _register(self) -> None:
+    def _register(self, state: dict) -> None:
         self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.name} (digest BINARY, keep_id BIGINT) USING parquet "
-            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.state['buckets']} BUCKETS LOCATION '{self.folder}'"
+            f"CREATE TABLE IF NOT EXISTS {self._table(state)} (digest BINARY, keep_id BIGINT) USING parquet "
+            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {state['buckets']} BUCKETS LOCATION '{self._folder(state)}'"
         )
 
     def prepare(self, rows: int) -> None:
@@ -86,39 +124,45 @@ class DigestIndex:
             buckets = LEAST_BUCKETS
             while buckets * BUCKET_ROWS < (self.expected_rows or rows):
                 buckets *= 2
+            self._alone()
             self._write_state({"buckets": buckets, "batches": 0, "folder": "digests-0"})
-            self._register()
+            self._register(self.state)
 
     def table(self) -> DataFrame:
         self.spark.catalog.refreshTable(self.name)
         return self.spark.table(self.name)
 
-    def _save(self, rows: DataFrame) -> None:
+    def _save(self, rows: DataFrame, state: dict) -> None:
         (
-            rows.select("digest", "keep_id").repartition(self.state["buckets"], "digest")
-            .write.format("parquet").mode("append").option("path", self.folder)
-            .bucketBy(self.state["buckets"], "digest").sortBy("digest").saveAsTable(self.name)
+            rows.select("digest", "keep_id").repartition(state["buckets"], "digest")
+            .write.format("parquet").mode("append").option("path", self._folder(state))
+            .bucketBy(state["buckets"], "digest").sortBy("digest").saveAsTable(self._table(state))
         )
 
     def append(self, fresh: DataFrame) -> None:
         """Adds digests that the index does not know; merges each bucket's files after COMPACT_AFTER batches."""
-        self._save(fresh)
+        self._alone()
+        self._save(fresh, self.state)
         self._write_state(self.state | {"batches": self.state["batches"] + 1})
         if self.state["batches"] >= COMPACT_AFTER:
             self.compact()
 
     def compact(self) -> None:
-        """One sorted file a bucket, in a new subfolder; the state names it only when it is whole."""
-        old_name, old_folder, before = self.name, self.folder, self.state
+        """One sorted file a bucket, in a new subfolder; the state names it only when it is whole. A failure leaves this object on the old one."""
+        self._alone()
+        old = self.state
         # read as plain files: over a bucketed scan Spark would leave out the repartition, and with it the single files
-        rows = self.spark.read.schema("digest binary, keep_id long").parquet(old_folder)
-        self.state = before | {"batches": 1, "folder": f"digests-{int(before['folder'].rpartition('-')[2]) + 1}"}
-        drop_stash(self.spark, self.folder)  # what an interrupted compaction left
-        self._register()
-        self._save(rows)
-        self._write_state(self.state)
-        self.spark.sql(f"DROP TABLE IF EXISTS {old_name}")
-        drop_stash(self.spark, old_folder)
+        rows = self.spark.read.schema("digest binary, keep_id long").parquet(self._folder(old))
+        new = old | {"batches": 1, "folder": f"digests-{int(old['folder'].rpartition('-')[2]) + 1}"}
+        for name in self._names():  # what interrupted compactions left, on either side
+            if name.startswith("digests-") and name != old["folder"]:
+                self._delete(name)
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._table(new)}")
+        self._register(new)
+        self._save(rows, new)
+        self._write_state(new)
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._table(old)}")
+        self._delete(old["folder"])
 
     def drop(self) -> None:
         """Takes the table out of the catalog; its files stay."""
@@ -126,6 +170,10 @@ class DigestIndex:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
 
 
+def _state_name(number: int) -> str:
+    return f"_state-{number:08d}.json"
+
+
 @contextmanager
 def sorted_scans(spark: SparkSession) -> Iterator[None]:
     before = spark.conf.get(SORTED_SCAN)
