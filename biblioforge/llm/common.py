@@ -111,11 +111,11 @@ def only_rows(docs: DataFrame, dropped: DataFrame, repeated: DataFrame, name: st
     """docs without the rows whose key is in dropped, and with one row of each key in repeated (both: column KEY).
 
     Keys travel if they are few, else both sides are dealt by key; only rows that occur several times are aggregated."""
-    columns = [f"`{c}`" for c in docs.columns]
     away, n_away = small_side(dropped.select(KEY).distinct(), name)
     twins, n_twins = small_side(repeated.select(KEY).distinct(), f"{name}-twins")
-    keyed = docs.withColumn(KEY, row_key(docs))
+    # a row travels as one struct, so that a column named like KEY comes back as it was
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), row_key(docs).alias(KEY))
     left = keyed.join(away, KEY, "left_anti") if n_away else keyed
     if n_twins:
         left = left.join(twins, KEY, "left_anti").unionByName(left.join(twins, KEY, "left_semi").dropDuplicates([KEY]))
-    return left.select(*columns)
+    return left.select("row.*")

@@ -113,11 +113,11 @@ def _ranges(docs: DataFrame, keys: list[str], digit: str) -> DataFrame:
     return sums.withColumn("before", F.coalesce(F.sum("in_range").over(before), F.lit(0)))
 
 
-def with_leaf(docs: DataFrame, domain: Column | None = None) -> DataFrame:
-    """The docs with their leaf as struct column _leaf (domain, lang, source); domain: by the source's number if not given."""
+def leaf_of(domain: Column | None = None) -> Column:
+    """The leaf of a document as struct (domain, lang, source); domain: by the source's number if not given."""
     source, lang = F.coalesce(F.col("source"), F.lit("")), F.coalesce(F.col("lang"), F.lit(""))
     named = domain_of(source) if domain is None else F.coalesce(domain.cast("string"), F.lit(""))
-    return docs.withColumn("_leaf", F.struct(named.alias("domain"), lang.alias("lang"), source.alias("source")))
+    return F.struct(named.alias("domain"), lang.alias("lang"), source.alias("source"))
 
 
 def drawing_plan(rows: DataFrame, percent: int, max_epochs: int, seed: int, weights: Weights = WEIGHTS) -> DataFrame:
@@ -135,10 +135,11 @@ def drawing_plan(rows: DataFrame, percent: int, max_epochs: int, seed: int, weig
     two = _ranges(near, [*LEAF, "end1", "rest"], "d2").where("end1.before + before < rest")
     second, _ = small_side(two.groupBy(*LEAF).agg(F.max(F.struct("d2", "before")).alias("end2")), "mix-second")
     last = near.join(second, LEAF).where("d2 = end2.d2")
-    # rows of one doc_id are one draw: the tokens before it are those of smaller (key, doc_id)
-    before = F.sum("n_tokens").over(Window.partitionBy(*LEAF).orderBy("key", "doc_id")) - F.sum("n_tokens").over(Window.partitionBy(*LEAF, "key", "doc_id"))
+    # rows of one doc_id are one draw: added up first, so that the window sees some rows a leaf however often an id or a missing one repeats
+    draws = last.groupBy(*LEAF, "rest", F.col("end1.before").alias("before1"), F.col("end2.before").alias("before2"), "key", "doc_id").agg(F.sum("n_tokens").alias("n_tokens"))
+    before = F.coalesce(F.sum("n_tokens").over(Window.partitionBy(*LEAF).orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     edges = (
-        last.withColumn("taken", F.col("end1.before") + F.col("end2.before") + before)
+        draws.withColumn("taken", F.col("before1") + F.col("before2") + before)
         .where("taken < rest").groupBy(*LEAF).agg(F.max(F.struct("key", "doc_id")).alias("edge"))
     )
     plan = stash(budgets.select(*LEAF, "epochs").join(edges, LEAF, "left"), "mix-plan")
@@ -152,7 +153,8 @@ def copies(seed: int, epochs: str = "epochs", edge: str = "edge") -> Column:
 
 def _token_rows(docs: DataFrame, domain: Column | None = None) -> DataFrame:
     n = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    return stash(with_leaf(docs, domain).select(F.col("doc_id").cast("long"), "_leaf.*", n.alias("n_tokens")), "mix-rows")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), leaf_of(domain).alias("leaf"), n.alias("n_tokens"))
+    return stash(rows.select("doc_id", "leaf.*", "n_tokens"), "mix-rows")
 
 
 def mix(
@@ -169,11 +171,13 @@ def drawn_documents(
 ) -> DataFrame:
     """The documents themselves, each as often as it is drawn, with their own columns only."""
     plan = drawing_plan(_token_rows(docs, domain), percent, max_epochs, seed, weights)
-    plan = plan.select(F.struct(*LEAF).alias("_leaf"), F.col("epochs").alias("_epochs"), F.col("edge").alias("_edge"))
-    drawn = with_leaf(docs, domain).join(plan, "_leaf").withColumn("_copies", copies(seed, "_epochs", "_edge")).where("_copies > 0")
+    plan = plan.select(F.struct(*LEAF).alias("leaf"), "epochs", "edge")
+    # a document travels as one struct, so that no name of its columns meets one of these
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), leaf_of(domain).alias("leaf"))
+    drawn = rows.join(plan, "leaf").withColumn("copies", copies(seed)).where("copies > 0")
     if max_epochs > 1:
-        drawn = drawn.withColumn("_draw", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-    return drawn.select(*[f"`{c}`" for c in docs.columns])
+        drawn = drawn.withColumn("draw", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return drawn.select("row.*")
 
 
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
