@@ -27,9 +27,11 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyarrow import fs
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -40,8 +42,10 @@ DIRECTORY, SEEK, SEEK_FOOTER = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 #: Ids per frame: longer documents are cut into several frames.
 FRAME_IDS = 1 << 20
 LEVEL = 3
-#: Bytes of text for one file, about; rows sampled for each file's bounds.
-SHARD_BYTES, SAMPLED, SEED = 32 << 20, 100, 13
+#: Bytes of text for one file, about; seed of the sample for the files' bounds.
+SHARD_BYTES, SEED = 32 << 20, 13
+#: Most files, and most rows sampled: the driver holds no more however large the corpus is; beyond, files grow.
+MOST_FILES, MOST_SAMPLED = 25_000, 200_000
 
 
 class TokenFileWriter:
@@ -144,9 +148,9 @@ def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri if "://" in uri else "file://" + uri.removeprefix("file:"))
 
 
-def _encode(batches: Iterable[pa.RecordBatch], vocabulary: str, width: int, bounds: list[tuple]) -> Iterator[pa.RecordBatch]:
+def _encode(batches: Iterable[pa.RecordBatch], vocabulary: str, width: int, bounds: Broadcast) -> Iterator[pa.RecordBatch]:
     """shard, doc_id, order, ids of every row. Rows equal to several bounds are dealt to all shards between them in turn."""
-    kind, turn = np.dtype(f"<u{width}"), 0
+    kind, turn, bounds = np.dtype(f"<u{width}"), 0, bounds.value
     if encoder(vocabulary).dtype.itemsize > width:
         raise ValueError("the vocabulary's ids do not fit in 2 bytes: write with width=4")
     for batch in batches:
@@ -169,37 +173,46 @@ def _place(doc_id: int | None, order: int) -> tuple[bool, int, int]:
     return (doc_id is not None, doc_id or 0, order)
 
 
-def range_bounds(rows: DataFrame, shard_bytes: int) -> list[tuple]:
-    """At most shards - 1 places (doc_id, order) that part the rows into ranges of about equal text, from a sample of some
-    SAMPLED rows a shard; the sample is of rows, so a doc_id of very many rows gives several equal bounds."""
-    size, n = rows.agg(F.sum(F.octet_length("text").cast("long")), F.count(F.lit(1))).first()
-    shards = int(max(rows.sparkSession.sparkContext.defaultParallelism, -(-(size or 0) // shard_bytes)))
-    share = min(1.0, SAMPLED * shards / max(n, 1))
-    # some dozen bytes a row and SAMPLED rows a file
-    some = (rows.sample(share, SEED) if share < 1 else rows).select("doc_id", "order", F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes")).collect()
-    some = sorted((_place(r.doc_id, r.order), r.bytes + 64) for r in some)
-    ends = np.cumsum([b for _, b in some])
-    at = np.searchsorted(ends, ends[-1] * np.arange(1, shards) / shards) if some else []
-    return [some[i][0] for i in at]
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("order"), F.col("text").cast("string"))
+
+
+def range_bounds(docs: DataFrame, shard_bytes: int, most_files: int = MOST_FILES, most_sampled: int = MOST_SAMPLED) -> list[tuple]:
+    """Places (doc_id, order) that part the rows into ranges of about equal text, one fewer than files.
+
+    One sample of some most_sampled rows (all, if there are no more) gives the corpus' size and the bounds, so what the driver holds does
+    not grow with the corpus. A doc_id of very many rows gives several equal bounds."""
+    n, least = docs.count(), docs.sparkSession.sparkContext.defaultParallelism
+    share = min(1.0, most_sampled / max(n, 1))
+    some = _keyed(docs.sample(share, SEED) if share < 1 else docs)
+    rows = some.select("doc_id", "order", F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes")).toArrow()
+    size = (pc.sum(rows["bytes"]).as_py() or 0) / share
+    shards = int(min(most_files, max(least, -(-size // shard_bytes))))
+    ranked = rows.sort_by([("doc_id", "ascending"), ("order", "ascending")]) if rows.num_rows else rows
+    missing = ranked["doc_id"].null_count  # sorted last, but their place is first
+    ranked = pa.concat_tables([ranked.slice(len(ranked) - missing), ranked.slice(0, len(ranked) - missing)])
+    ends = np.cumsum(ranked["bytes"].to_numpy() + 64)
+    at = np.searchsorted(ends, ends[-1] * np.arange(1, shards) / shards) if len(ends) else []
+    return [_place(ranked["doc_id"][int(i)].as_py(), ranked["order"][int(i)].as_py()) for i in at]
 
 
 def _write(batches: Iterable[pa.RecordBatch], folder: str, width: int) -> Iterator[pa.RecordBatch]:
     files, root = open_folder(folder)
-    writer, name, first, least = None, uuid.uuid4().hex, None, None
+    writer, name, shard, first = None, uuid.uuid4().hex, None, None
     for batch in batches:
-        for doc_id, order, ids in zip(batch.column("doc_id").to_pylist(), batch.column("order").to_pylist(), batch.column("ids")):
+        for doc_id, ids in zip(batch.column("doc_id").to_pylist(), batch.column("ids")):
             if writer is None:
                 files.create_dir(root, recursive=True)
-                sink, first, least = files.open_output_stream(f"{root}/.{name}.part"), doc_id, order
+                sink, shard, first = files.open_output_stream(f"{root}/.{name}.part"), batch.column("shard")[0].as_py(), doc_id
                 writer = TokenFileWriter(sink, width)
             writer.add_content(doc_id, memoryview(ids.as_buffer()))
     if writer is not None:
         writer.close()
         sink.close()
         files.move(f"{root}/.{name}.part", f"{root}/{name}.tok")
-        types = [("file", pa.string()), ("first_id", pa.int64()), ("first_order", pa.int64()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())]
+        types = [("file", pa.string()), ("shard", pa.int32()), ("first_id", pa.int64()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())]
         yield pa.RecordBatch.from_pydict(
-            {"file": [f"{name}.tok"], "first_id": [first], "first_order": [least], "n_docs": [len(writer.docs)], "n_tokens": [sum(writer.counts)]}, schema=pa.schema(types)
+            {"file": [f"{name}.tok"], "shard": [shard], "first_id": [first], "n_docs": [len(writer.docs)], "n_tokens": [sum(writer.counts)]}, schema=pa.schema(types)
         )
 
 
@@ -213,21 +226,21 @@ def _remove_parts(spark: SparkSession, folder: str) -> None:
 
 def write_token_files(docs: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES, vocabulary: str | None = None, width: int = 2) -> DataFrame:
     """Encode whole texts and write them in ascending doc_id order. Returns the manifest, one row per file in that order
-    (file, first_id, first_order, n_docs, n_tokens, base: ids in all files before it).
+    (file, shard, first_id, n_docs, n_tokens, base: ids in all files before it).
 
-    Bounds of the ranges come first, from a sample of keys, so that texts are encoded once and only their ids are shuffled. The
+    Bounds of the ranges come first, from a bounded sample of keys, so that texts are encoded once and only their ids are shuffled. The
     manifest holds one row per file of some tens of MB, so its running total is a window over few rows.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("order"), F.col("text").cast("string"))
-    bounds = range_bounds(rows, shard_bytes)
-    ids = rows.mapInArrow(partial(_encode, vocabulary=vocabulary or vocabulary_path(), width=width, bounds=bounds), "shard int, doc_id long, order long, ids binary")
+    bounds = range_bounds(docs, shard_bytes)
+    held = spark.sparkContext.broadcast(bounds)  # of MOST_FILES at most
+    ids = _keyed(docs).mapInArrow(partial(_encode, vocabulary=vocabulary or vocabulary_path(), width=width, bounds=held), "shard int, doc_id long, order long, ids binary")
     placed = ids.repartitionById(len(bounds) + 1, "shard").sortWithinPartitions("doc_id", "order", "ids")
     manifest = stash(
-        placed.mapInArrow(partial(_write, folder=folder, width=width), "file string, first_id long, first_order long, n_docs long, n_tokens long"), "token-manifest"
+        placed.mapInArrow(partial(_write, folder=folder, width=width), "file string, shard int, first_id long, n_docs long, n_tokens long"), "token-manifest"
     )
     _remove_parts(spark, folder)
-    before = Window.orderBy("first_id", "first_order", "file").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return manifest.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
 
 
