@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 
 import numpy as np
@@ -184,7 +183,3 @@ class TitleIndex:
                 found = (s, -int(self.order[i]), i)
         return (found[2], found[0]) if found else None
 
-
-def title_words(text: str) -> list[str]:
-    """Words of three or more letters or digits: the blocks in which titles are compared."""
-    return sorted(set(w for w in re.findall(r"[^\W_]+", text.upper()) if len(w) >= 3))

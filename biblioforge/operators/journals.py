@@ -6,10 +6,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.fuzzy import TitleIndex, title_words
+from ..functions.fuzzy import TitleIndex
 from ..functions.text import blank_to_null, issn_key, journal_key
 from ..lineage import cut
-from .relational import fill_from, fill_group_mode, lookup_cascade, mode_by, ordered_concat, require, shortest, surrogate_ids
+from .relational import fill_from, fill_group_mode, keep_first, lookup_cascade, mode_by, ordered_concat, require, shortest, surrogate_ids
 
 #: Titles and values of one task of match_titles.
 TITLE_BLOCK, VALUE_BLOCK = 20_000, 1_000
@@ -60,9 +60,9 @@ def resolve_ids(journals: DataFrame, members: DataFrame, seq: str = "seq") -> tu
 
 
 def add_metrics(pairs: DataFrame, articles: DataFrame, scimago: DataFrame, seq: str = "seq") -> DataFrame:
-    """(journal_id, SR) with the record's year and the journal's metrics of that year."""
+    """(journal_id, SR) with the record's year and the journal's metrics of that year; of several rows of a journal and year the first."""
     years = articles.groupBy("SR").agg(F.min_by(F.col("year").cast("string").try_cast("double").try_cast("int"), seq).alias("year"))
-    table = scimago.withColumn("_id", F.col("sc_sourceid").cast("string").try_cast("long")).dropDuplicates(["_id", "sc_year"])
+    table = keep_first(scimago.withColumn("_id", F.col("sc_sourceid").cast("string").try_cast("long")), ["_id", "sc_year"], "sc_seq")
     dated = pairs.join(years, "SR", "left")
     return dated.join(table, (dated["journal_id"] == table["_id"]) & (dated["year"] == table["sc_year"]), "left").drop("_id", "sc_seq", "sc_sourceid", "sc_year")
 
@@ -126,5 +126,5 @@ def journal_abbreviations(journals: DataFrame, scimago: DataFrame, cutoff: float
 
 
 __all__ = [
-    "add_metrics", "attach_ids", "fill_issn", "fill_source_title", "journal_abbreviations", "match_titles", "resolve_ids", "standardise", "title_words",
+    "add_metrics", "attach_ids", "fill_issn", "fill_source_title", "journal_abbreviations", "match_titles", "resolve_ids", "standardise",
 ]

@@ -12,7 +12,7 @@ from .relational import conflicts, distinct_concat, unique_attach, union_by_name
 
 
 def person_ids(authors: DataFrame) -> DataFrame:
-    """authors with PersonID: the first of ORCID, OpenAlex id, Scopus id, name key and e-mail, name key.
+    """authors with PersonID: the first of ORCID, OpenAlex id, Scopus id, name key and e-mail, name key, the row's own id.
 
     Each step groups only rows that no earlier one claimed, on its own key, so the cascade is one coalesce per row."""
     email, key = blank_to_null(F.lower(F.trim("Email"))), name_key(F.coalesce(blank_to_null("AuthorFullName"), F.col("AuthorName")))
@@ -23,7 +23,8 @@ def person_ids(authors: DataFrame) -> DataFrame:
         "PersonID",
         F.coalesce(
             tag("ORCID:", F.col("_orcid")), tag("OA:", F.col("_oa")), tag("SCOPUS:", scopus_author_id(scopus)),
-            F.concat(F.lit("NAMEEMAIL:"), F.col("_key"), F.lit("|"), F.col("_email")), tag("NAME:", F.coalesce("_key", F.lit("")))
+            F.concat(F.lit("NAMEEMAIL:"), F.col("_key"), F.lit("|"), F.col("_email")), tag("NAME:", F.col("_key")),
+            tag("ROW:", F.coalesce("AuthorID", F.lit(""))),  # nothing to know them by: a person for each id
         ),
     )
 

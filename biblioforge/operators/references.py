@@ -73,16 +73,18 @@ def enrich_references(refs: DataFrame, works: DataFrame) -> DataFrame:
 def referenced_works(df: DataFrame, works: DataFrame, exclude_books: bool = True) -> tuple[DataFrame, DataFrame]:
     """(references, dropped books): works that the main articles' works refer to, flattened, with SR_original and SR_ref."""
     require(df, "SR", "doi")
-    main = df.select(F.col("SR").alias("SR_original"), F.col("doi").alias("doi_original"), normalize_doi("doi").alias("doi_norm")).where("doi_norm IS NOT NULL")
+    kept = [F.col("seq").alias("seq_original")] if "seq" in df.columns else []
+    main = df.select(*kept, F.col("SR").alias("SR_original"), F.col("doi").alias("doi_original"), normalize_doi("doi").alias("doi_norm")).where("doi_norm IS NOT NULL")
     listed = works.where("doi_norm IS NOT NULL").groupBy("doi_norm").agg(F.min_by("referenced_works", "work_id").alias("cited_references"))
-    pairs = main.join(listed, "doi_norm").select("SR_original", "doi_original", F.posexplode("cited_references").alias("position", "url"))
+    kept = [c for c in ("seq_original",) if c in main.columns]
+    pairs = main.join(listed, "doi_norm").select(*kept, "SR_original", "doi_original", F.posexplode("cited_references").alias("position", "url"))
     pairs = pairs.withColumn("work_id", F.upper(F.substring_index("url", "/", -1)))
     columns = work_columns("w")
     by_id = works.groupBy("work_id").agg(F.min_by(F.struct("*"), F.coalesce("doi_norm", F.lit(""))).alias("w"))
     joined = pairs.join(by_id, "work_id", "left")
     book = F.coalesce(F.lower("w.type").isin(*BOOK_TYPES), F.lit(False)) & F.lit(exclude_books)
     flat = [v.alias(k) for k, v in columns.items()]
-    refs = joined.where(~book).select("SR_original", "doi_original", "position", "work_id", *flat)
+    refs = joined.where(~book).select(*kept, "SR_original", "doi_original", "position", "work_id", *flat)
     refs = refs.withColumn("source_title", F.col("journal")).withColumn("SR_ref", blank_to_null(reference_key("authors", "year", "source_title")))
     return refs, joined.where(book).select("SR_original", "doi_original", "work_id", F.lower("w.type").alias("type"), F.col("w.title").alias("title"))
 

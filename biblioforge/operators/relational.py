@@ -73,9 +73,16 @@ def top1(df: DataFrame, keys: Keys, best: str, seq: Keys) -> DataFrame:
     return _whole(df, first.groupBy(*keys).agg(F.max_by("_row", F.struct(b.isNotNull().alias("some"), b.alias("b"))).alias("_row")))
 
 
-def best_row(df: DataFrame, keys: Keys, fields: Sequence[str], seq: str) -> DataFrame:
-    """Per key the row that fills most of the fields; ties go to the first."""
-    return _whole(df, df.groupBy(*_list(keys)).agg(F.max_by(_row(df), F.struct(filled_score(*fields).alias("s"), (-F.col(seq)).alias("o"))).alias("_row")))
+def best_row(df: DataFrame, keys: Keys, fields: Sequence[str], seq: Keys) -> DataFrame:
+    """Per key the row that fills most of the fields; ties go to the first by seq."""
+    order = F.struct((-filled_score(*fields)).alias("_filled"), *[F.col(s) for s in _list(seq)])
+    return _whole(df, df.groupBy(*_list(keys)).agg(F.min_by(_row(df), order).alias("_row")))
+
+
+def total_order(df: DataFrame, *first: str) -> list[str]:
+    """The columns of first that exist, then all others that can be ordered: rows that tie in it are equal in them."""
+    have = [c for c in first if c in df.columns]
+    return have + [c for c, kind in df.dtypes if c not in have and "map<" not in kind and kind != "variant"]
 
 
 def _value_counts(df: DataFrame, keys: list[str], value: str, seq: str) -> DataFrame:
@@ -184,9 +191,10 @@ def unique_attach(df: DataFrame, key: str, target: str, attach: Column, candidat
     return joined.withColumn(target, F.when(attach & F.col("_one").isNotNull(), F.col("_one")).otherwise(F.col(target))).select(*[f"`{c}`" for c in df.columns])
 
 
-def propagate(df: DataFrame, mapping: DataFrame, key: str, value: str) -> DataFrame:
-    """value joined on by key from a mapping with one row per key."""
-    return df.join(mapping.select(key, value).dropDuplicates([key]), key, "left")
+def propagate(df: DataFrame, mapping: DataFrame, key: str, value: str, seq: str | None = None) -> DataFrame:
+    """value joined on by key; of several in the mapping the first by seq, else the least."""
+    pick = F.min_by(value, seq) if seq else F.min(value)
+    return df.join(mapping.groupBy(key).agg(pick.alias(value)), key, "left")
 
 
 def remap(df: DataFrame, column: str, mapping: DataFrame, old: str, new: str) -> DataFrame:

@@ -29,14 +29,15 @@ KEPT = (
 
 
 def normalise_scopus(raw: DataFrame, abbreviations: DataFrame | None = None) -> DataFrame:
-    """A raw export -> seq, KEPT (those that exist) and ismainarticle. abbreviations: (journal, source_title) of matched journals."""
+    """A raw export -> seq, KEPT (those that exist) and ismainarticle. abbreviations: (journal, source_title) of matched journals, the least
+    of several."""
     df = raw.toDF(*[snake_label(c) for c in raw.columns])
     df = df.select(*[ascii_upper(c, strip=False).alias(c) if c in UPPER or c.startswith("funding_text") else F.col(c) for c in df.columns])
     df = df.drop("abbreviated_source_title").withColumnsRenamed({a: b for a, b in RENAMED.items() if a in df.columns})
     if "seq" not in df.columns:
         df = df.withColumn("seq", row_order(raw))
     if abbreviations is not None:
-        df = df.join(abbreviations.select("journal", "source_title").dropDuplicates(["journal"]), "journal", "left")
+        df = df.join(abbreviations.groupBy("journal").agg(F.min("source_title").alias("source_title")), "journal", "left")
     else:
         df = df.withColumn("source_title", F.lit(None).cast("string"))
     df = df.withColumn("source_title", F.coalesce(F.replace(F.trim("source_title"), F.lit("."), F.lit("")), F.lit("")))

@@ -1,4 +1,4 @@
-"""Reader of tagged bibliographic text: two-letter tags, continuation lines, records closed by ER."""
+"""Reader and writer of tagged bibliographic text: two-letter tags, continuation lines, records closed by ER."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.identifiers import record_key_wos
 from ..functions.parsing import address_countries
 from ..functions.text import ascii_upper, or_text
+from ..lineage import cut
 
 # Tags that repeat, tags that are folded to upper ASCII, and the column of each tag.
 REPEATED = ("AU", "AF", "CR", "ID", "DE", "C1", "C3", "EM", "RI", "OI", "FX", "RP")
@@ -30,27 +31,80 @@ COLUMNS = {
 }
 
 
-def read_tagged_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """file, record (number in the file), line, tag and text; tags carried over continuation lines."""
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    if bad := [p for p in paths if not p.lower().endswith(".txt")]:
-        raise ValueError(f"not .txt: {', '.join(bad)}")
-    files = spark.read.text(paths, wholetext=True).select(F.input_file_name().alias("file"), F.regexp_replace(F.regexp_replace("value", "^﻿", ""), "\r\n?", "\n").alias("value"))
-    head = F.array_join(F.slice(F.split("value", "\n"), 1, 5), "\n")
-    files = files.withColumn("value", F.when(head.rlike(r"(?m)^FN ") & head.rlike(r"(?m)^VR "), F.col("value")).otherwise(F.raise_error(F.concat(F.lit("no FN and VR header in "), "file"))))
-    return tagged_lines(files)
+#: Where the reader cuts a file: a line that begins with ER, and must hold nothing else.
+RECORD_END = "\nER"
+WHOLE_END = r"(?m)^ER[ \t]*$"
+
 
+def _pieces(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """file, block (the byte at which the split begins), id (counts rows within a split) and value, the text up to a RECORD_END.
 
-def tagged_lines(files: DataFrame) -> DataFrame:
-    """file, value (whole text) -> file, record, line, tag, text. A record is one array element, so lines travel in one explode."""
-    body = F.regexp_replace("value", r"(?m)^(?:FN|VR) .*$", "")
-    records = files.select("file", F.posexplode(F.split(body, r"(?m)^ER[ \t]*$")).alias("record", "body"))
-    lines = records.select("file", "record", F.posexplode(F.split("body", "\n")).alias("line", "raw"))
-    own = F.regexp_extract("raw", r"^([A-Z][A-Z0-9]) (.*)$", 1)
-    lines = lines.withColumn("own", F.when(own != "", own)).where((F.trim("raw") != "") & ~F.col("raw").rlike(r"^EF\s*$"))
-    carried = F.last("own", ignorenulls=True).over(Window.partitionBy("file", "record").orderBy("line").rowsBetween(Window.unboundedPreceding, 0))
-    text = F.when(F.col("own").isNotNull(), F.regexp_extract("raw", r"^([A-Z][A-Z0-9]) (.*)$", 2)).otherwise(F.trim("raw"))
-    return lines.select("file", "record", "line", carried.alias("tag"), F.col("own").isNotNull().alias("starts"), F.trim(text).alias("text")).where("tag IS NOT NULL")
+    Files are split by bytes; a piece belongs to the split in which it begins."""
+    return spark.read.text(paths, lineSep=RECORD_END).select(
+        F.input_file_name().alias("file"), F.expr("input_file_block_start()").alias("block"), F.monotonically_increasing_id().alias("id"), "value"
+    )
+
+
+def read_records(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """seq (file number << 40 | record in the file) and value, the text of a record, of tagged files or folders of them (UTF-8, with or without
+    byte order mark, any line ends).
+
+    A first pass counts the pieces of each split; a piece's number is its place in its split after the pieces of the file's splits before, which takes a
+    row per split. Files in which a piece does not end a record (a line that only begins with ER), or with bare carriage returns, are cut as
+    a whole instead, one task a file. Raises for files without a head."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    files = [] if any(_foreign(p) for p in paths) else sorted(spark.read.text(paths).inputFiles())
+    if bad := [p for p in paths + files if _foreign(p)]:
+        raise ValueError(f"not .txt: {', '.join(bad)}")
+    pieces = _pieces(spark, paths)
+    bare = F.col("value").rlike(r"\r(?!\n|$)")
+    cut_short = ~F.col("value").rlike(r"^[ \t]*(?:\r?\n|\r?$)")
+    head = F.array_join(F.slice(F.split(F.regexp_replace(F.substring("value", 1, 2000), "\r\n?", "\n"), "\n"), 1, 5), "\n")
+    splits = cut(
+        pieces.groupBy("file", "block").agg(
+            F.count(F.lit(1)).alias("n"), F.min("id").alias("low"), F.min_by(head.rlike(r"(?m)^\ufeff?FN ") & head.rlike(r"(?m)^\ufeff?VR "), "id").alias("head"),
+            F.count_if(cut_short).alias("short"), F.min_by(cut_short.cast("int"), "id").alias("first_short"), F.bool_or(bare).alias("bare"),
+        )
+    )
+    # the first piece of a file follows no record, so its beginning says nothing
+    judged = splits.groupBy("file").agg(
+        F.min_by("head", "block").alias("head"), (F.bool_or("bare") | (F.sum("short") > F.min_by("first_short", "block"))).alias("odd")
+    ).collect()  # a row per file
+    heads, odd = {r["file"] for r in judged if r["head"]}, sorted(r["file"] for r in judged if r["odd"])
+    if bad := [f for f in files if f not in heads]:
+        raise ValueError(f"no FN and VR header in {', '.join(bad)}")
+    numbers = spark.createDataFrame([(f, i) for i, f in enumerate(files, 1)], "file string, number long")
+    earlier = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    bases = splits.where(~F.col("file").isin(odd)).select("file", "block", "low", earlier.alias("earlier")).join(numbers, "file")
+    records = pieces.join(bases, ["file", "block"]).select(_seq(F.col("earlier") + F.col("id") - F.col("low")), "value")
+    if odd:
+        whole = spark.read.text(odd, wholetext=True).select(F.input_file_name().alias("file"), "value").join(numbers, "file")
+        bodies = F.posexplode(F.split(F.regexp_replace("value", "\r\n?", "\n"), WHOLE_END)).alias("at", "value")
+        records = records.unionByName(whole.select("number", bodies).select(_seq(F.col("at").cast("long")), "value"))
+    return records
+
+
+def _foreign(path: str) -> bool:
+    name = path.rstrip("/").rpartition("/")[2].lower()
+    return "." in name and "*" not in name and not name.endswith(".txt")
+
+
+def _seq(record: Column) -> Column:
+    return (F.shiftleft(F.col("number"), 40) + record).alias("seq")
+
+
+def fields_of(records: DataFrame) -> DataFrame:
+    """seq, value -> seq and blocks, the record's (tag, lines) in order; records without a tag drop out.
+
+    A block is a line that begins with a tag and the lines after it that do not, so no tag is carried from row to row."""
+    body = F.regexp_replace(F.regexp_replace("value", "^\ufeff", ""), "\r\n?", "\n")
+    body = F.concat(F.lit("\n"), F.regexp_replace(body, r"(?m)^(?:FN|VR) .*$", ""))
+    kept = lambda line: (F.trim(line) != "") & ~line.rlike(r"^EF\s*$")
+    lines = lambda block: F.transform(F.filter(F.split(block, "\n"), kept), lambda x: F.trim(x))
+    blocks = F.filter(F.split(body, r"\n(?=[A-Z][A-Z0-9] )"), lambda b: b.rlike("^[A-Z][A-Z0-9] "))
+    # the tag gives way to a blank of its own, so that an empty first line goes like any other
+    found = F.transform(blocks, lambda b: F.struct(F.left(b, F.lit(2)).alias("tag"), lines(F.substr(b, F.lit(3))).alias("lines")))
+    return records.select("seq", found.alias("blocks")).where(F.size("blocks") > 0)
 
 
 def _author(x: Column) -> Column:
@@ -58,34 +112,50 @@ def _author(x: Column) -> Column:
     return F.when(F.size(parts) == 2, F.concat_ws(" ", ascii_upper(F.get(parts, F.lit(0))), ascii_upper(F.get(parts, F.lit(1))))).otherwise(ascii_upper(x))
 
 
-def articles_from_lines(lines: DataFrame) -> DataFrame:
-    """One row per record: seq, the columns of COLUMNS (missing: ''), source, SR, country, ismainarticle."""
-    # a tag that does not repeat keeps its last start and the continuation after it
-    last = F.max(F.when(F.col("starts"), F.col("line"))).over(Window.partitionBy("file", "record", "tag"))
-    lines = lines.withColumn("_last", last).where(F.col("tag").isin(*REPEATED) | (F.col("line") >= F.col("_last")))
-    values = F.transform(F.array_sort(F.collect_list(F.struct("line", "text"))), lambda s: s["text"])
-    tags = lines.groupBy("file", "record", "tag").agg(values.alias("values"))
-    records = tags.groupBy("file", "record").agg(F.map_from_entries(F.collect_list(F.struct("tag", "values"))).alias("m"))
+def articles_of(fields: DataFrame) -> DataFrame:
+    """One row per record: seq, the columns of COLUMNS (missing: ''), source, SR, country, ismainarticle.
+
+    Tags of REPEATED gather the lines of all their blocks; of another tag the last block stands."""
+    tags = F.transform(F.reverse("blocks"), lambda b: b["tag"])
+    known = fields.withColumns({"tags": tags, "last": F.reverse("blocks")})
 
     def column(tag: str) -> Column:
-        v = F.try_element_at("m", F.lit(tag))
+        if tag in REPEATED:
+            v = F.flatten(F.transform(F.filter("blocks", lambda b: b["tag"] == tag), lambda b: b["lines"]))
+        else:
+            v = F.get("last", F.nullif(F.array_position("tags", F.lit(tag)), F.lit(0)).cast("int") - 1)["lines"]
         if tag == "AU":
             return F.array_join(F.transform(v, _author), ";")
         if tag in UPPER:
             v = F.transform(v, lambda x: ascii_upper(x))
         return F.array_join(v, ";" if tag == "AF" else "; " if tag in REPEATED else " ")
 
-    seq = F.struct("file", "record")
-    out = records.select(seq.alias("_at"), *[column(t).alias(n) for t, n in COLUMNS.items()])
+    out = known.select("seq", *[column(t).alias(n) for t, n in COLUMNS.items()])
     out = out.withColumn("source", F.lit("WOS")).withColumn("SR", record_key_wos("author", "year", "source_title"))
     out = out.withColumn("country", F.array_join(address_countries("affiliations", bracketed=True), "; ")).withColumn("ismainarticle", F.lit(True))
-    # one bigint that orders by file name, then record
-    files = out.select(F.col("_at.file").alias("_f")).distinct().withColumn("_n", F.row_number().over(Window.orderBy("_f")))
-    out = out.join(F.broadcast(files), F.col("_at.file") == F.col("_f"))
-    seq = F.shiftleft(F.col("_n").cast("long"), 40) + F.col("_at.record")
-    return out.select(seq.alias("seq"), *[or_text(n).alias(n) for n in COLUMNS.values()], "source", "SR", or_text("country").alias("country"), "ismainarticle")
+    return out.select("seq", *[or_text(n).alias(n) for n in COLUMNS.values()], "source", "SR", or_text("country").alias("country"), "ismainarticle")
 
 
 def read_wos(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Articles of tagged text files (UTF-8, with or without byte order mark, any line ends)."""
-    return articles_from_lines(read_tagged_lines(spark, paths))
+    """Articles of tagged text files, in the order of the files' names and their records."""
+    return articles_of(fields_of(read_records(spark, paths)))
+
+
+def tagged_text(df: DataFrame) -> Column:
+    """A record's text from the columns of COLUMNS that df has: lists a line per item, other values a line per line; blank lines go."""
+    parts = []
+    for tag, name in COLUMNS.items():
+        if name in df.columns:
+            value = F.col(f"`{name}`").cast("string")
+            lines = F.split(value, r";\s*|\n" if tag in REPEATED else "\r\n?|\n")
+            lines = F.filter(F.transform(lines, lambda x: F.trim(x)), lambda x: x != "")
+            parts.append(F.when(F.size(lines) > 0, F.concat(F.lit(f"{tag} "), F.array_join(lines, "\n   "), F.lit("\n"))))
+    return F.concat(*[F.coalesce(p, F.lit("")) for p in parts], F.lit("ER\n"))
+
+
+def write_wos(df: DataFrame, folder: str, seq: str = "seq") -> None:
+    """Tagged text files of a part of the rows each, in order of seq: the names sort as the parts do, and every file has a head."""
+    ordered = df.repartitionByRange(seq).sortWithinPartitions(seq)
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0  # of its part
+    head = F.when(first, "FN biblioforge\nVR 1.0\n").otherwise("")
+    ordered.select(F.concat(head, tagged_text(df)).alias("value")).write.mode("overwrite").text(folder)
