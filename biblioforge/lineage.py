@@ -1,21 +1,46 @@
-"""Lineage cuts through the shared checkpoint folder, so that plans which use a frame several times stay small and survive lost executors."""
+"""Lineage cuts through the shared checkpoint folder, so that plans which use a frame several times stay small and survive lost executors; and a
+folder for what a query writes and reads back."""
 
 from __future__ import annotations
 
+import atexit
 import re
+import uuid
 
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JError
+from pyspark.sql import DataFrame, SparkSession
 
 #: Used only where a local session names no spark.checkpoint.dir (tests).
 LOCAL_CHECKPOINT_DIR = "/tmp/checkpoints"
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """spark.checkpoint.dir of the session; a local folder only where driver and executors are one process."""
+    context = spark.sparkContext
+    shared = context.getConf().get("spark.checkpoint.dir")
+    if not shared and not re.fullmatch(r"local(\[[^]]*\])?", context.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return (shared or LOCAL_CHECKPOINT_DIR).rstrip("/")
+
+
 def cut(df: DataFrame) -> DataFrame:
     """df, computed once and read back from the session's checkpoint folder."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        shared = context.getConf().get("spark.checkpoint.dir")
-        if not shared and not re.fullmatch(r"local(\[[^]]*\])?", context.master):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        context.setCheckpointDir(shared or LOCAL_CHECKPOINT_DIR)
+        context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A path of its own in the shared folder; what lies there goes when the driver ends."""
+    path = f"{shared_dir(spark)}/scratch/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    place, conf = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path), spark.sparkContext._jsc.hadoopConfiguration()
+    atexit.register(_remove, place, conf)
+    return path
+
+
+def _remove(place, conf) -> None:
+    try:
+        place.getFileSystem(conf).delete(place, True)
+    except (Py4JError, OSError):  # the JVM has ended before the driver's Python
+        pass

@@ -3,63 +3,105 @@
 from __future__ import annotations
 
 import re
+import unicodedata
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
+import ahocorasick
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import blank_to_null
 
 NO_AFFILIATION, NO_COUNTRY = "NO AFFILIATION", "NO COUNTRY"
+#: Rows of the country dictionary that tasks may hold.
+MOST_COUNTRIES = 100_000
 
 
 def fill_missing_affiliations(df: DataFrame) -> DataFrame:
     return df.withColumn("Affiliation", F.coalesce(blank_to_null("Affiliation"), F.lit(NO_AFFILIATION)))
 
 
-def _whole(text: Column, names: list[str]) -> Column:
-    """Those of names that occur in text as whole words, in the order of names."""
-    escaped = [re.sub(r"([^\w\s])", r"\\\1", n) for n in names]
-    return F.filter(
-        F.arrays_zip(F.array(*map(F.lit, names)).alias("n"), F.array(*map(F.lit, escaped)).alias("e")),
-        lambda s: F.contains(text, s["n"]) & F.regexp_like(text, F.concat(F.lit(r"(?U)\b"), s["e"], F.lit(r"\b"))),
-    )
-
-
-def _rightmost(text: Column, found: Column) -> Column:
-    at = F.transform(found, lambda n: F.struct((F.length(text) - F.instr(F.reverse(text), F.reverse(n)) - F.length(n)).alias("p"), n.alias("n")))
-    return F.array_max(at)["n"]
-
-
-def countries_of(column: Column | str, names: list[str], codes: dict[str, str]) -> Column:
-    """Countries of one affiliation cell.
-
-    Names by length, longest first; codes only where no name occurs. One part with several names: the right-most one. Several ';' parts:
-    parts that are only a country are left out, the rest's countries in order of discovery, each once."""
-    column = F.col(column) if isinstance(column, str) else column
-    names = sorted(names, key=lambda n: (-len(n), n))
-    order = sorted(codes, key=lambda c: (-len(c), c))
-    code_name = F.create_map(*[F.lit(v) for c in order for v in (c, codes[c])])
-
-    def one(text: Column) -> Column:
-        text = F.upper(text)
-        by_name = F.transform(_whole(text, names), lambda s: s["n"])
-        by_code = F.transform(_whole(text, order), lambda s: F.element_at(code_name, s["n"]))
-        return F.array_distinct(F.when(F.size(by_name) > 0, by_name).otherwise(by_code))
-
-    # the one-element transform gives a value a name, so the matcher is not repeated in the expression
-    single = F.get(F.transform(F.array(one(column)), lambda f: F.when(F.size(f) > 1, _rightmost(F.upper(column), f)).otherwise(F.get(f, F.lit(0)))), F.lit(0))
-    only = F.array(*[F.lit(x) for x in sorted({*names, *order})])
-    parts = F.filter(F.split(column, r";\s*"), lambda p: (F.trim(p) != "") & ~F.array_contains(only, F.upper(F.trim(p))))
-    several = blank_to_null(F.array_join(F.array_distinct(F.flatten(F.transform(parts, one))), "; "))
-    found = F.when(F.contains(column, F.lit(";")), several).otherwise(single)
-    return F.coalesce(F.when(F.upper(F.trim(column)) != NO_AFFILIATION, found), F.lit(NO_COUNTRY))
+class CountryMatcher:
+    """Countries of one affiliation cell, by one automaton over all names and codes that walks a text once.
+
+    Names as whole words, longest first; codes only where no name occurs. One part with several names: the right-most one. Several ';' parts:
+    parts that are only a country are left out, the rest's countries in order of discovery, each once.
+
+    inner=False leaves out names inside a longer one that stands there too (GUINEA in PAPUA NEW GUINEA); with it, as a rule, the right-most name wins."""
+
+    def __init__(self, names: list[str], codes: dict[str, str], inner: bool = True):
+        self.names = sorted(names, key=lambda n: (-len(n), n))
+        self.codes = sorted(codes, key=lambda c: (-len(c), c))
+        self.of_code, self.inner = codes, inner
+        self.only = {*self.names, *self.codes}
+        entries: dict[str, list[tuple[int, int]]] = {}
+        for kind, words in enumerate((self.names, self.codes)):
+            for i, word in enumerate(words):
+                entries.setdefault(word, []).append((kind, i))
+        self.automaton = ahocorasick.Automaton()
+        for word, places in entries.items():
+            if word:
+                self.automaton.add_word(word, (len(word), places))
+        if entries:
+            self.automaton.make_automaton()
+
+    def found(self, text: str) -> list[str]:
+        """Countries of an upper-case part: those of the names in it, longest first; else those of the codes."""
+        hits: tuple[set[int], set[int]] = (set(), set())
+        spans = []
+        for end, (size, places) in self.automaton.iter(text) if len(self.automaton) else ():
+            start = end + 1 - size
+            if _edge(text, start) and _edge(text, end + 1):
+                spans.append((start, end + 1, places))
+        if not self.inner:
+            spans = [s for s in spans if not any(o[0] <= s[0] and s[1] <= o[1] and o[1] - o[0] > s[1] - s[0] for o in spans)]
+        for _, _, places in spans:
+            for kind, i in places:
+                hits[kind].add(i)
+        if hits[0]:
+            return list(dict.fromkeys(self.names[i] for i in sorted(hits[0])))
+        return list(dict.fromkeys(self.of_code[self.codes[i]] for i in sorted(hits[1])))
+
+    def country(self, cell: str | None) -> str:
+        if cell is None or cell.strip(" ").upper() == NO_AFFILIATION:
+            return NO_COUNTRY
+        if ";" in cell:
+            parts = [p for p in re.split(r";\s*", cell, flags=re.ASCII) if p.strip(" ") and p.strip(" ").upper() not in self.only]
+            some = "; ".join(dict.fromkeys(c for p in parts for c in self.found(p.upper())))
+            return some if some.strip() else NO_COUNTRY
+        text = cell.upper()
+        some = self.found(text)
+        if len(some) < 2:
+            return some[0] if some else NO_COUNTRY
+        # a country known by its code alone is taken to stand at the end
+        return max(((text.rfind(n) - 1 if n in text else len(text) - len(n)), n) for n in some)[1]
+
+
+def _word(char: str) -> bool:
+    return char.isalpha() or char == "_" or unicodedata.category(char) in ("Nd", "Nl", "Mn", "Mc", "Me", "Pc") or char in "\u200c\u200d"
+
+
+def _edge(text: str, at: int) -> bool:
+    """Whether a word begins or ends at that place."""
+    return (at > 0 and _word(text[at - 1])) != (at < len(text) and _word(text[at]))
+
+
+def extract_countries(df: DataFrame, countries: DataFrame, inner: bool = True) -> DataFrame:
+    """df with Country. The dictionary, of at most MOST_COUNTRIES rows, goes to the tasks as one automaton; each distinct affiliation is matched once."""
+    rows = countries.select("name", "alpha2", "alpha3").limit(MOST_COUNTRIES + 1).collect()
+    if len(rows) > MOST_COUNTRIES:
+        raise ValueError(f"a dictionary of over {MOST_COUNTRIES} rows")
+    codes = {c: r["name"] for r in rows for c in (r["alpha2"], r["alpha3"]) if c}
+    names = [r["name"] for r in rows]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = CountryMatcher(names, codes, inner)
+        for batch in batches:
+            found = [matcher.country(x) for x in batch.column("Affiliation").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("Affiliation"), pa.array(found, pa.string())], names=["Affiliation", "Country"])
 
-def extract_countries(df: DataFrame, countries: DataFrame) -> DataFrame:
-    """df with Country. The dictionary (about 250 rows) becomes literals; each distinct affiliation is matched once."""
-    rows = countries.select("name", "alpha2", "alpha3").collect()
-    codes = {c: r["name"] for r in rows for c in (r["alpha2"], r["alpha3"]) if c}
     distinct = df.where("Affiliation IS NOT NULL").select("Affiliation").distinct()
-    matched = distinct.withColumn("Country", countries_of("Affiliation", [r["name"] for r in rows], codes))
+    matched = distinct.mapInArrow(run, "Affiliation string, Country string")
     joined = df.drop("Country").join(matched, "Affiliation", "left")
     return joined.withColumn("Country", F.coalesce("Country", F.lit(NO_COUNTRY)))

@@ -6,13 +6,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.fuzzy import TitleIndex
+from ..functions.fuzzy import TitleIndex, ratio
 from ..functions.text import blank_to_null, issn_key, journal_key
 from ..lineage import cut
 from .relational import fill_from, fill_group_mode, keep_first, lookup_cascade, mode_by, ordered_concat, require, shortest, surrogate_ids
 
-#: Titles and values of one task of match_titles.
+#: Titles and values of one task of match_titles, where it compares blocks.
 TITLE_BLOCK, VALUE_BLOCK = 20_000, 1_000
+#: Least cutoff of plain scores from which titles are found by segments; below, segments get shorter than some four characters.
+SEGMENT_CUTOFF = 90.0
 
 
 def standardise(df: DataFrame, seq: str = "seq") -> DataFrame:
@@ -70,9 +72,10 @@ def add_metrics(pairs: DataFrame, articles: DataFrame, scimago: DataFrame, seq:
 def match_titles(values: DataFrame, titles: DataFrame, cutoff: float, weighted: bool = False) -> DataFrame:
     """values (title), titles (title, target, seq) -> title, matched, target, score of the best match at or above cutoff; first best wins.
 
-    Works on distinct values. Equal titles match at once. The rest meet all titles: values and titles are dealt into blocks, one task works
-    on one pair of blocks, skips only pairs whose proven upper bound (functions.fuzzy: TitleIndex) cannot win, and returns one row per
-    value at most, so that common words make no hot group and memory is fixed."""
+    Works on distinct values. Equal titles match at once. The rest are found by segments (title_candidates) for plain scores from SEGMENT_CUTOFF
+    on. Else they meet all titles: values and titles are dealt into blocks, one task works on one pair of blocks, skips only pairs whose
+    proven upper bound (functions.fuzzy: TitleIndex) cannot win, and returns one row per value at most, so that common words make no
+    hot group and memory is fixed."""
     v = values.where(blank_to_null("title").isNotNull()).select(F.upper(F.trim("title")).alias("title")).distinct()
     t = titles.where(blank_to_null("title").isNotNull()).select(F.upper(F.trim("title")).alias("title"), "target", "seq").groupBy("title").agg(
         F.min_by("target", "seq").alias("target"), F.min("seq").alias("seq")
@@ -80,6 +83,65 @@ def match_titles(values: DataFrame, titles: DataFrame, cutoff: float, weighted:
     t = cut(t)
     same = v.join(t, "title").select("title", F.col("title").alias("matched"), "target", F.lit(100.0).alias("score"), "seq")
     rest = cut(v.join(t.select("title"), "title", "left_anti"))
+    if not weighted and cutoff >= SEGMENT_CUTOFF:
+        pairs = title_candidates(rest.select(F.col("title").alias("v")), t.select(F.col("title").alias("t")), cutoff).mapInPandas(_plain_scores(cutoff), "v string, t string, score double")
+    else:
+        pairs = _block_scores(rest, t, cutoff, weighted)
+    found = pairs.join(t.withColumnRenamed("title", "t"), "t")
+    near = found.select(F.col("v").alias("title"), F.col("t").alias("matched"), "target", "score", "seq")
+    both = same.unionByName(near).groupBy("title").agg(F.max_by(F.struct("matched", "target", "score"), F.struct("score", (-F.col("seq")).alias("s"))).alias("b"))
+    return both.select("title", "b.*")
+
+
+def _spare(size: Column, cutoff: float) -> Column:
+    """Most single-character insertions and deletions between texts of so many characters together whose ratio reaches the cutoff."""
+    return F.floor(size * (1 - cutoff / 100) + 1e-6).cast("int")
+
+
+def title_candidates(values: DataFrame, titles: DataFrame, cutoff: float) -> DataFrame:
+    """Pairs (v, t) of distinct values and titles that may reach the plain ratio cutoff; none that does is left out.
+
+    A ratio of at least cutoff allows some k insertions and deletions, in proportion to the lengths. A title is cut into one segment more
+    than any partner of it may have; one segment then stands unchanged in the value, moved by no more characters than the rest of
+    the edits explain. So pairs meet in an equi-join on (title length, segment, its text), and those whose Levenshtein
+    distance exceeds k, which it never can, go within the join."""
+    reach = (200 - cutoff) / cutoff  # of the longer text's length to the shorter's
+
+    def segments(length: Column) -> Column:
+        """How many, for titles of that length: one more than the edits to their longest partner."""
+        return _spare(length + F.floor(length * reach + 1e-6), cutoff) + 1
+
+    def bound(number: Column, length: Column) -> Column:
+        return F.floor(number * length / segments(length)).cast("int")
+
+    t = titles.select("t", F.length("t").alias("n")).withColumn("i", F.explode(F.sequence(F.lit(0), segments(F.col("n")) - 1)))
+    t = t.withColumn("start", bound(F.col("i"), F.col("n"))).withColumn("size", bound(F.col("i") + 1, F.col("n")) - F.col("start"))
+    t = t.select("t", "n", "i", F.substr("t", F.col("start") + 1, "size").alias("segment"))
+
+    v = values.select("v", F.length("v").alias("m"))
+    v = v.withColumn("n", F.explode(F.sequence(F.greatest(F.lit(1), F.ceil(F.col("m") / reach - 1e-6).cast("int")), F.floor(F.col("m") * reach + 1e-6).cast("int"))))
+    v = v.withColumn("k", _spare(F.col("m") + F.col("n"), cutoff)).where(F.abs(F.col("m") - F.col("n")) <= F.col("k"))
+    v = v.withColumn("i", F.explode(F.sequence(F.lit(0), segments(F.col("n")) - 1)))
+    v = v.withColumn("start", bound(F.col("i"), F.col("n"))).withColumn("size", bound(F.col("i") + 1, F.col("n")) - F.col("start"))
+    # |shift| edits before the segment and |m - n - shift| after it are k at most
+    low, high = F.ceil((F.col("m") - F.col("n") - F.col("k")) / 2).cast("int"), F.floor((F.col("m") - F.col("n") + F.col("k")) / 2).cast("int")
+    v = v.withColumn("shift", F.explode(F.sequence(low, high))).withColumn("at", F.col("start") + F.col("shift")).where("at >= 0 AND at + size <= m")
+    v = v.select("v", "n", "k", "i", F.substr("v", F.col("at") + 1, "size").alias("segment")).distinct()
+    met = v.join(t, ["n", "i", "segment"]).where(F.levenshtein("v", "t") <= F.col("k"))
+    return met.select("v", "t").distinct()
+
+
+def _plain_scores(cutoff: float):
+    def run(batches):
+        for b in batches:
+            b = b.assign(score=pd.Series([ratio(v, t) for v, t in zip(b["v"], b["t"])], index=b.index, dtype=float))
+            yield b[b["score"] >= cutoff]
+
+    return run
+
+
+def _block_scores(rest: DataFrame, t: DataFrame, cutoff: float, weighted: bool) -> DataFrame:
+    """v, t, score: the best title of each value within each pair of blocks."""
     title_blocks, value_blocks = max(1, -(-t.count() // TITLE_BLOCK)), max(1, -(-rest.count() // VALUE_BLOCK))
 
     def block(column: str, blocks: int) -> Column:
@@ -102,11 +164,7 @@ def match_titles(values: DataFrame, titles: DataFrame, cutoff: float, weighted:
                     out.append((value, index.titles[hit[0]], hit[1]))
         return pd.DataFrame(out, columns=["v", "t", "score"]).astype({"v": object, "t": object, "score": float})
 
-    pairs = asked.groupBy("tb", "vb").cogroup(known.groupBy("tb", "vb")).applyInPandas(scored, "v string, t string, score double")
-    found = pairs.join(t.withColumnRenamed("title", "t"), "t")
-    near = found.select(F.col("v").alias("title"), F.col("t").alias("matched"), "target", "score", "seq")
-    both = same.unionByName(near).groupBy("title").agg(F.max_by(F.struct("matched", "target", "score"), F.struct("score", (-F.col("seq")).alias("s"))).alias("b"))
-    return both.select("title", "b.*")
+    return asked.groupBy("tb", "vb").cogroup(known.groupBy("tb", "vb")).applyInPandas(scored, "v string, t string, score double")
 
 
 def fill_source_title(df: DataFrame, scimago: DataFrame, cutoff: float = 95.0) -> DataFrame:
@@ -126,5 +184,5 @@ def journal_abbreviations(journals: DataFrame, scimago: DataFrame, cutoff: float
 
 
 __all__ = [
-    "add_metrics", "attach_ids", "fill_issn", "fill_source_title", "journal_abbreviations", "match_titles", "resolve_ids", "standardise",
+    "add_metrics", "attach_ids", "fill_issn", "fill_source_title", "journal_abbreviations", "match_titles", "resolve_ids", "standardise", "title_candidates",
 ]

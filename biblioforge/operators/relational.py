@@ -16,6 +16,8 @@ from ..functions.identifiers import filled_score
 from ..lineage import cut
 
 Keys = str | Sequence[str]
+#: Rows of a key above which its ranks are found by ranges; most keys that are broadcast.
+HOT_ROWS, BROADCAST_KEYS = 1_000_000, 100_000
 
 
 def _list(keys: Keys) -> list[str]:
@@ -162,14 +164,36 @@ def lookup_cascade(df: DataFrame, steps: Sequence[tuple[DataFrame, str, str]], v
     return out.select(*[df[c] for c in df.columns if c != value], found.alias(value))
 
 
-def rank_aligned_merge(left: DataFrame, right: DataFrame, key: str, seq: str, left_name: str = "left", right_name: str = "right") -> DataFrame:
+def rank_in_key(df: DataFrame, key: str, seq: Keys, name: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """1-based rank of each row within its key by seq (a total order); rows without a key drop out.
+
+    Keys of more than hot_rows rows, by count, are not sorted in one task: their rows are dealt into ranges of (key, seq), and a rank is the place
+    in the range after the key's rows in the ranges before. Such keys are few, as each holds over hot_rows rows."""
+    order, df = _list(seq), df.where(F.col(key).isNotNull())
+    w = Window.partitionBy(key).orderBy(*order)
+    hot = cut(df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(key))
+    n_hot = hot.count()
+    if not n_hot:
+        return df.withColumn(name, F.row_number().over(w))
+    hot = F.broadcast(hot) if n_hot <= BROADCAST_KEYS else hot
+    plain = df.join(hot, key, "left_anti").withColumn(name, F.row_number().over(w).cast("long"))
+    large = cut(df.join(hot, key, "left_semi").repartitionByRange(key, *order).withColumn("_part", F.spark_partition_id()))
+    earlier = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = large.groupBy(key, "_part").agg(F.count(F.lit(1)).alias("_n")).select(key, "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    ranked = large.withColumn("_at", F.row_number().over(Window.partitionBy("_part", key).orderBy(*order))).join(before, [key, "_part"])
+    return plain.unionByName(ranked.withColumn(name, F.col("_before") + F.col("_at")).select(*plain.columns))
+
+
+def rank_aligned_merge(
+    left: DataFrame, right: DataFrame, key: str, seq: str, left_name: str = "left", right_name: str = "right", hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Pairs the i-th left row of a key with the i-th right row; leftovers and rows without a key stay alone.
 
     Columns of the result: key, rank, left and right structs (NULL where alone), and sources."""
 
     def ranked(df: DataFrame, name: str) -> DataFrame:
-        rank = F.row_number().over(Window.partitionBy(key).orderBy(seq))
-        return df.where(F.col(key).isNotNull()).select(F.col(key).alias("_key"), rank.alias("_rank"), _row(df).alias(name))
+        rows = df.select(F.col(key).alias("_key"), F.col(seq).alias("_seq"), _row(df).alias(name))
+        return rank_in_key(rows, "_key", "_seq", "_rank", hot_rows).withColumn("_rank", F.col("_rank").cast("int")).drop("_seq")
 
     pairs = ranked(left, left_name).join(ranked(right, right_name), ["_key", "_rank"], "full")
     none = F.lit(None)

@@ -211,15 +211,15 @@ def journal_names(spark, sf):
     return journals.resolve_ids(members.select("sourceid"), members)[0]
 
 
-@query("""WITH d AS (SELECT DISTINCT p_partkey % 20 AS id, (1992 + p_size % 9)::INT AS y FROM part)
-SELECT o_orderkey % 30 AS journal_id, 'S' || o_orderkey AS "SR", year(o_orderdate)::INT AS year, CASE WHEN y IS NOT NULL THEN 'M' || id || '/' || y END AS sc_publisher
+@query("""WITH d AS (SELECT p_partkey % 20 AS id, (1992 + p_size % 9)::INT AS y, p_brand || '/' || p_partkey AS pub FROM part QUALIFY row_number() OVER (PARTITION BY p_partkey % 20, p_size % 9 ORDER BY p_partkey) = 1)
+SELECT o_orderkey % 30 AS journal_id, 'S' || o_orderkey AS "SR", year(o_orderdate)::INT AS year, pub AS sc_publisher
 FROM orders LEFT JOIN d ON id = o_orderkey % 30 AND y = year(o_orderdate)""")
 def composite_left_join(spark, sf):
     o = t(spark, sf, "orders")
     sr = F.concat(F.lit("S"), _s("o_orderkey"))
     year = (F.lit(1992) + F.col("p_size") % 9).cast("int")
     metrics = t(spark, sf, "part").select(
-        F.col("p_partkey").alias("sc_seq"), (F.col("p_partkey") % 20).cast("string").alias("sc_sourceid"), year.alias("sc_year"), F.concat(F.lit("M"), (F.col("p_partkey") % 20).cast("string"), F.lit("/"), year.cast("string")).alias("sc_publisher")
+        F.col("p_partkey").alias("sc_seq"), (F.col("p_partkey") % 20).cast("string").alias("sc_sourceid"), year.alias("sc_year"), F.concat("p_brand", F.lit("/"), _s("p_partkey")).alias("sc_publisher")
     )
     dates = o.select(F.col("o_orderkey").alias("seq"), sr.alias("SR"), F.concat(F.year("o_orderdate").cast("string"), F.lit(".0")).alias("year"))
     return journals.add_metrics(o.select((F.col("o_orderkey") % 30).alias("journal_id"), sr.alias("SR")), dates, metrics).select("journal_id", "SR", "year", "sc_publisher")
@@ -273,7 +273,7 @@ def scopus_article_table(spark, sf):
 
 
 def _primary(spark, sf):
-    return t(spark, sf, "orders").select(F.concat(F.lit("S"), _s("o_orderkey")).alias("SR_old"), F.concat(F.lit("W"), _s("o_orderkey")).alias("SR_primary")).where("SR_old LIKE '%3'")
+    return t(spark, sf, "orders").select(F.concat(F.lit("S"), _s("o_orderkey")).alias("SR_old"), F.concat(F.lit("W"), _s("o_orderkey")).alias("SR_primary")).withColumn("SR_old", F.when(F.col("SR_old").like("%3"), F.col("SR_old")))
 
 
 def _author_rows(spark, sf, table, key, source):
@@ -289,66 +289,76 @@ _BOTH = """b AS (SELECT 0 AS s, 'W' || c_custkey AS a, CASE WHEN c_custkey % 3 <
 
 @query(f"""WITH {_BOTH} SELECT a AS "AuthorID", p AS "PersonID", o AS "Orcid" FROM b QUALIFY row_number() OVER (PARTITION BY coalesce(p, a) ORDER BY o DESC NULLS LAST, s, a) = 1""")
 def merged_authors(spark, sf):
-    links = spark.createDataFrame([], "SR string, openalex_work_id string, AuthorID string, AuthorOrder int, PersonID string")
-    return merge.merge_authors(_author_rows(spark, sf, "customer", "c_custkey", "W"), _author_rows(spark, sf, "supplier", "s_suppkey", "S"), links, links, _primary(spark, sf))[0]
+    return _merged_authors(spark, sf)[0]
 
 
-@query("""WITH l AS (SELECT l_orderkey % 2 AS s, CASE WHEN l_orderkey % 2 = 0 THEN 'W' || (l_orderkey // 10) WHEN l_orderkey % 10 = 3 THEN 'W' || l_orderkey ELSE 'S' || l_orderkey END AS sr, 'P' || (l_suppkey % 40) AS p, l_linenumber % 3 AS n, 'A' || l_partkey AS a FROM lineitem
-  WHERE l_orderkey % 2 = 0 OR l_orderkey % 10 <> 3 OR EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey) OR true)
-SELECT sr AS "SR", p AS "PersonID", n AS "AuthorOrder", arg_min(a, (s, a)) AS "AuthorID" FROM l GROUP BY 1, 2, 3""")
-def merged_author_links(spark, sf):
+def _merged_authors(spark, sf):
     l = t(spark, sf, "lineitem")
     k = F.col("l_orderkey")
 
     def side(odd, sr):
-        return l.where(k % 2 == odd).select(
-            F.concat(*sr).alias("SR"), F.lit(None).cast("string").alias("openalex_work_id"), F.concat(F.lit("A"), _s("l_partkey")).alias("AuthorID"), (F.col("l_linenumber") % 3).alias("AuthorOrder"), F.concat(F.lit("P"), (F.col("l_suppkey") % 40).cast("string")).alias("PersonID")
+        # the other side's rows have no key of their own: they are one more group of unmatched records
+        own = F.when(k % 2 == odd, F.concat(*sr))
+        return l.select(
+            own.alias("SR"), F.lit(None).cast("string").alias("openalex_work_id"), F.concat(F.lit("A"), _s("l_partkey")).alias("AuthorID"), (F.col("l_linenumber") % 3).alias("AuthorOrder"), F.concat(F.lit("P"), (F.col("l_suppkey") % 40).cast("string")).alias("PersonID")
         )
 
-    primary = l.where(k % 10 == 3).select(F.concat(F.lit("S"), k.cast("string")).alias("SR_old"), F.concat(F.lit("W"), k.cast("string")).alias("SR_primary")).distinct()
-    none = spark.createDataFrame([], "AuthorID string, PersonID string, Orcid string")
     wos, scopus = side(0, [F.lit("W"), F.floor(k / 10).cast("string")]), side(1, [F.lit("S"), k.cast("string")])
-    return merge.merge_authors(none, none, wos, scopus, primary)[1].select("SR", "PersonID", "AuthorOrder", "AuthorID")
+    return merge.merge_authors(_author_rows(spark, sf, "customer", "c_custkey", "W"), _author_rows(spark, sf, "supplier", "s_suppkey", "S"), wos, scopus, _primary(spark, sf))
+
+
+@query("""WITH x AS (SELECT *, s.s AS s FROM lineitem, (VALUES (0), (1)) s(s)),
+l AS (SELECT s, CASE WHEN l_orderkey % 2 <> s THEN NULL WHEN s = 0 THEN 'W' || (l_orderkey // 10) WHEN l_orderkey % 10 = 3 AND EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey) THEN 'W' || l_orderkey ELSE 'S' || l_orderkey END AS sr,
+  'P' || (l_suppkey % 40) AS p, l_linenumber % 3 AS n, 'A' || l_partkey AS a FROM x)
+SELECT sr AS "SR", p AS "PersonID", n AS "AuthorOrder", arg_min(a, (s, a)) AS "AuthorID" FROM l GROUP BY 1, 2, 3""")
+def merged_author_links(spark, sf):
+    return _merged_authors(spark, sf)[1].select("SR", "PersonID", "AuthorOrder", "AuthorID")
 
 
-@query("""WITH l AS (SELECT l_orderkey % 2 AS s, CASE WHEN l_orderkey % 2 = 1 AND l_orderkey % 10 = 3 THEN 'W' ELSE CASE WHEN l_orderkey % 2 = 0 THEN 'W' ELSE 'S' END END || (l_orderkey % 1000) AS sr, 'P' || (l_suppkey % 40) AS p, 'U' || (l_linenumber % 3) AS f, 'A' || l_partkey AS a FROM lineitem)
-SELECT sr AS "SR", p AS "PersonID", f AS "Affiliation", arg_min(a, (s, a)) AS "AuthorID" FROM l GROUP BY 1, 2, 3""")
+@query("""WITH x AS (SELECT *, s.s AS s FROM lineitem, (VALUES (0), (1)) s(s)),
+l AS (SELECT s, CASE WHEN s = 0 OR l_orderkey % 1000 % 10 = 3 THEN 'W' ELSE 'S' END || (l_orderkey % 1000) AS sr, 'P' || (l_suppkey % 40) AS p, 'U' || (l_linenumber % 3) AS f, 'A' || l_partkey AS a, CASE WHEN s = 0 THEN 'X' ELSE 'Y' END AS c FROM x)
+SELECT sr AS "SR", p AS "PersonID", f AS "Affiliation", arg_min(a, (s, a)) AS "AuthorID", arg_min(c, (s, a)) AS "Country" FROM l GROUP BY 1, 2, 3""")
 def merged_affiliations(spark, sf):
     l = t(spark, sf, "lineitem")
-    k = F.col("l_orderkey")
+    k = F.col("l_orderkey") % 1000
 
-    def side(odd, source):
-        return l.where(k % 2 == odd).select(
-            F.concat(F.lit(source), (k % 1000).cast("string")).alias("SR"), F.concat(F.lit("P"), (F.col("l_suppkey") % 40).cast("string")).alias("PersonID"), F.concat(F.lit("U"), (F.col("l_linenumber") % 3).cast("string")).alias("Affiliation"),
-            F.concat(F.lit("A"), _s("l_partkey")).alias("AuthorID"), F.lit("X").alias("Country"),
+    def side(letter, country):
+        return l.select(
+            F.concat(F.lit(letter), k.cast("string")).alias("SR"), F.concat(F.lit("P"), (F.col("l_suppkey") % 40).cast("string")).alias("PersonID"), F.concat(F.lit("U"), (F.col("l_linenumber") % 3).cast("string")).alias("Affiliation"),
+            F.concat(F.lit("A"), _s("l_partkey")).alias("AuthorID"), F.lit(country).alias("Country"),
         )
 
-    primary = l.where(k % 10 == 3).select(F.concat(F.lit("S"), (k % 1000).cast("string")).alias("SR_old"), F.concat(F.lit("W"), (k % 1000).cast("string")).alias("SR_primary")).distinct()
-    return merge.merge_affiliations(side(0, "W"), side(1, "S"), primary).select("SR", "PersonID", "Affiliation", "AuthorID")
+    primary = l.select(F.when(k % 10 == 3, F.concat(F.lit("S"), k.cast("string"))).alias("SR_old"), F.concat(F.lit("W"), k.cast("string")).alias("SR_primary")).distinct()
+    return merge.merge_affiliations(side("W", "X"), side("S", "Y"), primary).select("SR", "PersonID", "Affiliation", "AuthorID", "Country")
 
 
-@query("""WITH b AS (SELECT 0 AS s, p_partkey AS id, CASE WHEN p_partkey % 3 <> 0 THEN p_name || ' ' || p_brand END AS st, CASE WHEN p_partkey % 2 = 0 THEN 'J ' || p_size END AS j FROM part UNION ALL SELECT 1, p_partkey, p_name || ' ' || p_brand, NULL FROM part WHERE p_partkey % 5 = 0),
+@query("""WITH b AS (SELECT 0 AS s, p_partkey AS id, CASE WHEN p_partkey % 3 <> 0 THEN p_name || ' ' || p_brand END AS st, CASE WHEN p_partkey % 2 = 0 THEN 'J ' || p_size END AS j FROM part UNION ALL SELECT 1, CASE WHEN p_partkey % 5 = 0 THEN p_partkey ELSE -p_partkey END, p_name || ' ' || p_brand, NULL FROM part),
 a AS (SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY id ORDER BY (st IS NOT NULL)::INT + (j IS NOT NULL)::INT DESC, s) = 1)
 SELECT id AS journal_id, st AS source_title, j AS journal FROM a QUALIFY coalesce(st, j) IS NULL OR row_number() OVER (PARTITION BY upper(coalesce(st, j)) ORDER BY (st IS NOT NULL)::INT + (j IS NOT NULL)::INT DESC, s, id) = 1""")
 def merged_journals(spark, sf):
     p, k = t(spark, sf, "part"), F.col("p_partkey")
     title = F.concat_ws(" ", "p_name", "p_brand")
     wos = p.select(k.alias("journal_id"), F.when(k % 3 != 0, title).alias("source_title"), F.when(k % 2 == 0, F.concat(F.lit("J "), _s("p_size"))).alias("journal"))
-    scopus = p.where("p_partkey % 5 = 0").select(k.alias("journal_id"), title.alias("source_title"), F.lit(None).cast("string").alias("journal"))
+    scopus = p.select(F.when(k % 5 == 0, k).otherwise(-k).alias("journal_id"), title.alias("source_title"), F.lit(None).cast("string").alias("journal"))
     return merge.merge_journals(wos, scopus)
 
 
-@query("""SELECT DISTINCT CASE WHEN p_partkey % 3 <> 0 THEN 'I' || (p_partkey % 90) WHEN p_partkey % 3 = 0 AND p_partkey % 2 = 0 THEN 'E' || (p_partkey % 80) ELSE 'T' || upper(p_name) END AS key FROM part""")
+@query("""WITH m AS (SELECT s, p_partkey AS id, s || '/' || p_partkey AS sr, CASE WHEN p_partkey % 3 <> 0 THEN lpad((p_partkey % 90)::VARCHAR, 4, '0') || '-0000' END AS i, CASE WHEN p_partkey % 2 = 0 THEN lpad((p_partkey % 80)::VARCHAR, 4, '0') || '1111' END AS e, p_name AS title,
+  CASE WHEN p_size % 5 <> s THEN p_brand || s END AS pub FROM part, (VALUES (0), (1)) t(s)),
+k AS (SELECT *, coalesce('I' || i, 'E' || e, 'T' || upper(title)) AS k FROM m)
+SELECT id AS journal_id, sr AS "SR", 2000 AS year, i AS sc_issn, e AS sc_eissn, title AS sc_title, pub AS sc_publisher FROM k
+QUALIFY row_number() OVER (PARTITION BY k ORDER BY (i IS NOT NULL)::INT + (e IS NOT NULL)::INT + (pub IS NOT NULL)::INT DESC, s, id) = 1""")
 def merged_metrics(spark, sf):
     k = F.col("p_partkey")
     four = lambda c: F.lpad(c.cast("string"), 4, "0")
-    rows = t(spark, sf, "part").select(
-        k.alias("journal_id"), _s("p_partkey").alias("SR"), F.lit(2000).alias("year"), F.when(k % 3 != 0, F.concat(four(k % 90), F.lit("-0000"))).alias("sc_issn"), F.when(k % 2 == 0, F.concat(four(k % 80), F.lit("1111"))).alias("sc_eissn"), F.col("p_name").alias("sc_title")
-    )
-    out = merge.merge_scimago(rows.where("journal_id % 2 = 0"), rows.where("journal_id % 2 = 1"))
-    i, e = F.col("sc_issn"), F.col("sc_eissn")
-    first = lambda c: F.substring(c, 1, 4).cast("int").cast("string")
-    return out.select(F.when(i.isNotNull(), F.concat(F.lit("I"), first(i))).when(e.isNotNull(), F.concat(F.lit("E"), first(e))).otherwise(F.concat(F.lit("T"), F.upper("sc_title"))).alias("key"))
+
+    def side(s):
+        return t(spark, sf, "part").select(
+            k.alias("journal_id"), F.concat(F.lit(f"{s}/"), _s("p_partkey")).alias("SR"), F.lit(2000).alias("year"), F.when(k % 3 != 0, F.concat(four(k % 90), F.lit("-0000"))).alias("sc_issn"),
+            F.when(k % 2 == 0, F.concat(four(k % 80), F.lit("1111"))).alias("sc_eissn"), F.col("p_name").alias("sc_title"), F.when(F.col("p_size") % 5 != s, F.concat("p_brand", F.lit(str(s)))).alias("sc_publisher"),
+        )
+
+    return merge.merge_scimago(side(0), side(1))
 
 
 @query("""WITH k AS (SELECT DISTINCT 'L' || (o_custkey % 30) || ' B, ' || year(o_orderdate) || CASE WHEN o_orderkey % 3 <> 0 THEN ', ' || o_orderpriority ELSE '' END AS sr, CASE WHEN o_orderkey % 2 = 0 THEN 'wos' ELSE 'scopus' END AS source, 'L' || (o_custkey % 30) AS f, year(o_orderdate) AS y, o_orderkey % 3 <> 0 AS j FROM orders),

@@ -13,8 +13,8 @@ from ..functions import parsing as P
 from ..functions import text as T
 from ..operators import authors, journals, merge, persons, references
 from ..operators import relational as R
-from ..operators.geo import countries_of
-from . import entity_queries, function_queries  # noqa: F401  they register their queries
+from ..operators.geo import extract_countries
+from . import entity_queries, function_queries, source_queries  # noqa: F401  they register their queries
 from .registry import ORACLES, QUERIES, query, t
 
 __all__ = ["ORACLES", "QUERIES", "flagship"]
@@ -88,7 +88,8 @@ def union_by_name(spark, sf):
 
 @query("SELECT o_orderkey, o_custkey FROM orders WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R')")
 def semi_join_shared(spark, sf):
-    returned = t(spark, sf, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"))
+    # the whole table; misses come from keys made null
+    returned = t(spark, sf, "lineitem").select(F.when(F.col("l_returnflag") == "R", F.col("l_orderkey")).alias("o_orderkey"))
     return t(spark, sf, "orders").select("o_orderkey", "o_custkey").join(returned, "o_orderkey", "left_semi")
 
 
@@ -363,17 +364,18 @@ def year_parse(spark, sf):
     return t(spark, sf, "orders").select("o_orderkey", P.reference_year(F.concat(F.lit("a "), F.date_format("o_orderdate", "yyyy"), F.lit(" b 1801"))).alias("year"))
 
 
-@query("SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(text, '\\s+', ';', 'g'), ';'), lambda x: trim(x)), lambda x: contains(x, '@')) AS emails FROM documents WHERE contains(text, '@')")
+@query("SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(text, '\\s+', ';', 'g'), ';'), lambda x: trim(x)), lambda x: contains(x, '@')) AS emails FROM documents")
 def email_extract(spark, sf):
-    d = t(spark, sf, "documents").where(F.contains("text", F.lit("@")))
+    d = t(spark, sf, "documents")
     return d.select("doc_id", F.filter(P.emails(F.regexp_replace("text", r"\s+", ";")), lambda e: F.contains(e, F.lit("@"))).alias("emails"))
 
 
-@query("""SELECT event_id, 'k v' || (json_extract_string(props, '$.k')) || ' k' AS abstract FROM events WHERE json_extract_string(props, '$.k') IS NOT NULL""")
+@query("""SELECT event_id, 'k v' || (json_extract_string(props, '$.k')) || ' k' AS abstract FROM events""")
 def json_inverted_index(spark, sf):
     k = F.get_json_object("props", "$.k")
     index = F.map_from_arrays(F.array(F.lit("k"), F.concat(F.lit("v"), k)), F.array(F.array(F.lit(0), F.lit(2)), F.array(F.lit(1))))
-    return t(spark, sf, "events").where(k.isNotNull()).select("event_id", P.abstract_from_index(index).alias("abstract"))
+    index = F.when(k.isNotNull(), index)
+    return t(spark, sf, "events").select("event_id", P.abstract_from_index(index).alias("abstract"))
 
 
 @query("""SELECT n_nationkey, split_part('ORCID/' || n_name, '/', -1) AS orcid, CASE WHEN n_nationkey % 2 = 0 THEN n_nationkey::VARCHAR END AS scopus FROM nation""")
@@ -388,10 +390,10 @@ m AS (SELECT c_custkey, address, n_name, length(address) - strpos(reverse(upper(
 SELECT c_custkey, address, arg_max(n_name, (p, n_name)) AS country FROM m GROUP BY 1, 2""")
 def country_match(spark, sf):
     nation = t(spark, sf, "nation")
-    names = [r.n_name for r in nation.select("n_name").collect()]
+    countries = nation.select(F.col("n_name").alias("name"), F.when(F.col("n_nationkey") == 0, "ZZZ").alias("alpha2"), F.lit(None).cast("string").alias("alpha3"))
     a = t(spark, sf, "customer").join(nation, F.col("n_nationkey") == F.col("c_nationkey"))
     a = a.select("c_custkey", F.concat("c_name", F.lit(", "), "n_name", F.when(F.col("c_custkey") % 3 == 0, ", x").otherwise("")).alias("address"))
-    return a.select("c_custkey", "address", countries_of("address", names, {"ZZZ": names[0]}).alias("country"))
+    return extract_countries(a.withColumn("Affiliation", F.col("address")), countries).select("c_custkey", "address", F.col("Country").alias("country"))
 
 
 # --- entity operators -------------------------------------------------------------------------------------------------

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.identifiers import record_key_scopus
 from ..functions.parsing import address_countries
 from ..functions.text import ascii_upper, snake_label
-from .tables import row_order
+from .csv_rows import read_csv
 
 # Columns folded to upper ASCII, names that change, and the columns kept, in order.
 UPPER = (
@@ -29,13 +29,13 @@ KEPT = (
 
 
 def normalise_scopus(raw: DataFrame, abbreviations: DataFrame | None = None) -> DataFrame:
-    """A raw export -> seq, KEPT (those that exist) and ismainarticle. abbreviations: (journal, source_title) of matched journals, the least
+    """A raw export (rows numbered as they come if it has no seq) -> seq, KEPT (those that exist) and ismainarticle. abbreviations: (journal, source_title) of matched journals, the least
     of several."""
     df = raw.toDF(*[snake_label(c) for c in raw.columns])
     df = df.select(*[ascii_upper(c, strip=False).alias(c) if c in UPPER or c.startswith("funding_text") else F.col(c) for c in df.columns])
     df = df.drop("abbreviated_source_title").withColumnsRenamed({a: b for a, b in RENAMED.items() if a in df.columns})
     if "seq" not in df.columns:
-        df = df.withColumn("seq", row_order(raw))
+        df = df.withColumn("seq", F.monotonically_increasing_id())
     if abbreviations is not None:
         df = df.join(abbreviations.groupBy("journal").agg(F.min("source_title").alias("source_title")), "journal", "left")
     else:
@@ -50,4 +50,4 @@ def normalise_scopus(raw: DataFrame, abbreviations: DataFrame | None = None) ->
 
 
 def read_scopus(spark: SparkSession, path: str, abbreviations: DataFrame | None = None) -> DataFrame:
-    return normalise_scopus(spark.read.csv(path, header=True, multiLine=True, escape='"'), abbreviations)
+    return normalise_scopus(read_csv(spark, path), abbreviations)

@@ -1,11 +1,14 @@
+import random
+
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from biblioforge.functions import fuzzy, parsing as P
 from biblioforge.functions import identifiers as I
 from biblioforge.functions import text as T
 from biblioforge.operators.authors import assign_emails
-from biblioforge.operators.geo import countries_of
+from biblioforge.operators.geo import CountryMatcher, extract_countries
 
 def cases():
     X = F.col("x")
@@ -148,10 +151,30 @@ def test_countries(spark):
         "Univ X, Port Moresby, Papua New Guinea": "PAPUA NEW GUINEA", "Univ X, Lima, Peru; Inst Y, Oslo, Norway": "PERU; NORWAY",
         "Univ X, Conakry, Guinea": "GUINEA", "": "NO COUNTRY", "Univ, NA": "NAMIBIA", "Peru; Univ, Norway": "NORWAY", "NO AFFILIATION": "NO COUNTRY", "Guineas": "NO COUNTRY",
     }
-    got = {r.x: r.c for r in spark.createDataFrame([(x,) for x in cases], "x string").select("x", countries_of("x", names, codes).alias("c")).collect()}
+    longest = CountryMatcher(names, codes, inner=False)
+    assert {x: longest.country(x) for x in cases} == cases
     # the right-most start wins, so the longer name loses to the shorter one inside it
     cases["Univ X, Port Moresby, Papua New Guinea"] = "GUINEA"
-    assert got == cases
+    matcher = CountryMatcher(names, codes)
+    assert {x: matcher.country(x) for x in cases} == cases
+    rows = [(n, *[c for c, m in codes.items() if m == n][:1]) for n in names]
+    table = spark.createDataFrame([(r[0], r[1] if len(r) > 1 else None, None) for r in rows], "name string, alpha2 string, alpha3 string")
+    got = extract_countries(spark.createDataFrame([(x,) for x in cases] + [(None,)], "Affiliation string"), table).collect()
+    assert {r.Affiliation: r.Country for r in got if r.Affiliation is not None} == cases and len(got) == len(cases) + 1
+
+
+def test_country_matcher_equals_one_pattern_per_name():
+    names, codes = ["A", "A B", "B (THE)", "CÔTE D'IVOIRE", "B", "A-B", "AB"], {"AA": "A", "B": "A B", "Ô": "AB", "A B": "B"}
+    matcher, rng = CountryMatcher(names, codes), random.Random(2)
+    order = [sorted(x, key=lambda n: (-len(n), n)) for x in (names, codes)]
+
+    def slow(text):
+        held = [[n for n in words if regex.search(r"(?:(?<=\w)(?!\w)|(?<!\w)(?=\w))" + regex.escape(n) + r"(?:(?<=\w)(?!\w)|(?<!\w)(?=\w))", text)] for words in order]
+        return list(dict.fromkeys(held[0] or [codes[c] for c in held[1]]))
+
+    for _ in range(5_000):
+        text = "".join(rng.choice(["A", "B", " ", "-", "(THE)", "Ô", "CÔTE D'IVOIRE", "_", "\u0301", "1", ","]) for _ in range(rng.randrange(1, 9)))
+        assert matcher.found(text) == slow(text), text
 
 
 @pytest.mark.parametrize("a,b,want", [("abc", "abc", 100.0), ("", "", 100.0), ("abcd", "abxd", 75.0), ("a", "b", 0.0)])

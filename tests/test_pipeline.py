@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from biblioforge.operators import articles, authors, geo, journals, merge, persons, references
 from biblioforge.operators import relational as R
 from biblioforge.plans import pipeline
-from biblioforge.sources import scopus, tables, wos
+from biblioforge.sources import csv_rows, scopus, tables, wos
 from biblioforge.streaming import incremental
 
 WOS = """﻿FN Clarivate Analytics Web of Science
@@ -233,6 +233,5 @@ def test_rows_of_several_files_keep_their_order(spark, tmp_path):
     # the planner takes larger files first
     for i, rows in enumerate((3, 40, 7)):
         (tmp_path / f"f{i}.csv").write_text("k,t\n" + "".join(f'{i * 100 + j},"a\nb"\n' for j in range(rows)))
-    raw = spark.read.csv(str(tmp_path), header=True, multiLine=True, escape='"')
-    got = [int(r.k) for r in raw.withColumn("seq", tables.row_order(raw)).orderBy("seq").collect()]
+    got = [int(r.k) for r in csv_rows.read_csv(spark, str(tmp_path)).orderBy("seq").collect()]
     assert got == [i * 100 + j for i, rows in enumerate((3, 40, 7)) for j in range(rows)]

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from biblioforge.functions.fuzzy import ratio, weighted_ratio
 from biblioforge.operators import journals
@@ -20,7 +21,40 @@ def made(n, seed):
     return out
 
 
-@pytest.mark.parametrize("weighted, cutoff", [(False, 85.0), (False, 95.0), (False, 60.0), (True, 85.0), (True, 60.0)])
+def frame(spark, texts, name):
+    return spark.createDataFrame([(x,) for x in texts], f"{name} string")
+
+
+@pytest.mark.parametrize("cutoff", [80.0, 90.0, 95.0, 99.0])
+def test_segments_lose_no_pair(spark, cutoff):
+    """Titles, and each with up to as many edits as the cutoff allows, among short words, repeats of one letter and blanks."""
+    rng, titles = random.Random(cutoff), [*made(120, 3), "A" * 20, "A" * 21, "AB" * 15, "X", "XY"]
+    values = []
+    for t in titles:
+        text = t
+        for _ in range(rng.randrange(0, 2 + int(len(t) * (1 - cutoff / 100)))):
+            i = rng.randrange(len(text) + 1)
+            text = text[:i] + rng.choice(["", "A", " ", "É"]) + text[i + rng.choice([0, 1]) :]
+        values.append(text or t)
+    values = sorted(set(values))
+    pairs = journals.title_candidates(frame(spark, values, "v"), frame(spark, titles, "t"), cutoff)
+    got = {(r.v, r.t) for r in pairs.collect()}
+    want = {(v, t) for v in values for t in titles if ratio(v, t) >= cutoff}
+    assert want <= got and len(got) < len(values) * len(titles) / 4
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_candidates_grow_with_the_titles(spark):
+    """Ten times the titles and values give about ten times the candidates."""
+    def count(n):
+        texts = spark.range(n).select(F.concat(F.md5(F.col("id").cast("string")), F.lit(" JOURNAL")).alias("t"))
+        return journals.title_candidates(texts.select(F.concat("t", F.lit("S")).alias("v")), texts, 95.0).count()
+
+    assert count(300) == 300 and count(3_000) < 3_300
+
+
+@pytest.mark.parametrize("weighted, cutoff", [(False, 85.0), (False, 90.0), (False, 95.0), (False, 60.0), (True, 85.0), (True, 60.0)])
 def test_best_title_equals_brute_force(spark, monkeypatch, weighted, cutoff):
     monkeypatch.setattr(journals, "TITLE_BLOCK", 60, raising=False)
     monkeypatch.setattr(journals, "VALUE_BLOCK", 20, raising=False)
