@@ -9,6 +9,7 @@ import uuid
 
 from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Used only where a local session names no spark.checkpoint.dir (tests).
 LOCAL_CHECKPOINT_DIR = "/tmp/checkpoints"
@@ -31,6 +32,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows of some hundred bytes that a join may hold in every task.
+BROADCAST_ROWS = 200_000
+
+
+def small_side(df: DataFrame) -> DataFrame:
+    """df, computed once, with the hint to broadcast it if it has BROADCAST_ROWS rows at most; else it is joined by a shuffle."""
+    kept = cut(df)
+    return F.broadcast(kept) if kept.count() <= BROADCAST_ROWS else kept
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A path of its own in the shared folder; what lies there goes when the driver ends."""
     path = f"{shared_dir(spark)}/scratch/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.identifiers import record_key_wos
 from ..functions.parsing import address_countries
 from ..functions.text import ascii_upper, or_text
-from ..lineage import cut
+from ..lineage import cut, small_side
 
 # Tags that repeat, tags that are folded to upper ASCII, and the column of each tag.
 REPEATED = ("AU", "AF", "CR", "ID", "DE", "C1", "C3", "EM", "RI", "OI", "FX", "RP")
@@ -75,7 +75,7 @@ def read_records(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         raise ValueError(f"no FN and VR header in {', '.join(bad)}")
     numbers = spark.createDataFrame([(f, i) for i, f in enumerate(files, 1)], "file string, number long")
     earlier = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    bases = splits.where(~F.col("file").isin(odd)).select("file", "block", "low", earlier.alias("earlier")).join(numbers, "file")
+    bases = small_side(splits.where(~F.col("file").isin(odd)).select("file", "block", "low", earlier.alias("earlier")).join(numbers, "file"))
     records = pieces.join(bases, ["file", "block"]).select(_seq(F.col("earlier") + F.col("id") - F.col("low")), "value")
     if odd:
         whole = spark.read.text(odd, wholetext=True).select(F.input_file_name().alias("file"), "value").join(numbers, "file")

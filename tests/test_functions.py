@@ -204,3 +204,18 @@ def test_weighted_ratio():
 
 def test_snake_labels():
     assert [T.snake_label(x) for x in ("Author full names", "Author(s) ID", "Art. No.", " Link ")] == ["author_full_names", "authors_id", "art__no", "link"]
+
+
+def test_folding_equals_unicode_data(spark):
+    """Every code point, alone and in a word, and whole texts of many scripts."""
+    import unicodedata
+
+    def fold(x):
+        return "".join(c for c in unicodedata.normalize("NFKD", x) if not unicodedata.combining(c)).upper()
+
+    points = [chr(c) for c in range(0x20, 0x110000) if not 0xD800 <= c < 0xE000 and unicodedata.category(chr(c)) not in ("Cn", "Co")]
+    texts = points + ["a" + c + "é" for c in points[:60_000:7]] + ["㈱ ½ ﬁ Ⅷ Ａｂ", "한국어", "İstanbul ß ŉ", "Ω̂ Å", "…"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, x string").repartition(8)
+    wrong = [(texts[r.i], r.f, fold(texts[r.i])) for r in df.select("i", T.fold_upper("x", strip=False).alias("f")).collect() if r.f != fold(texts[r.i])]
+    # the JVM's upper case may know other versions of Unicode than Python's
+    assert len(wrong) <= 5, wrong[:20]
