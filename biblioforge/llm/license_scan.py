@@ -2,12 +2,13 @@
 
 Paragraphs end at blank lines and behind lines that end in a full stop, colon, question or exclamation mark, so hard-wrapped notices
 stay whole. Features are the distinct word n-grams of 1 to 3 words; a sparse softmax regression (L1) over the licence families and
-"unknown" is trained on the templates, variants of them, sentences that use licence words otherwise, and as further "unknown"
+"unknown" is trained on the templates (license_texts: paragraphs of the licences, and sentences around their names), variants of them, the same
+sentences around other names, sentences that use licence words otherwise, and as further "unknown"
 ones NEGATIVES paragraphs of the corpus that hold little of any template (those with the least seeded hashes: a documented
-bound). N-grams that COMMON of these hold are no features. Every paragraph is judged. The threshold is calibrated on templates and unknown paragraphs that the fit did not see, two
-halves in turn. A prediction stands only if its probability reaches the threshold, and is confirmed only if enough of the word
+bound). N-grams that COMMON of these hold are no features. Every paragraph is judged. The threshold is calibrated on unknown paragraphs that the fit did not see and that could be
+confirmed, two halves in turn. A prediction stands only if its probability reaches the threshold, and is confirmed only if enough of the word
 pairs of one of the family's templates are in the paragraph, or enough of a short paragraph's pairs are in the template, and with
-them a pair that no other family's template has; else the paragraph is "unknown".
+them a pair that no other family's template has; else the paragraph is "unknown". A paragraph of one word is never confirmed.
 
 The classifier's "unknown" class does the rejecting. A paragraph can leave it only by n-grams that speak for a family by more than
 the bias of "unknown"; the words of a paragraph bound what its n-grams can add up to (word_bounds, from the model itself), and
@@ -32,68 +33,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import least_hashes, stash
+from .license_texts import FRAMES, NAMES, SHORT, SPDX, notices, other_notices
 
 UNKNOWN = "unknown"
 WORD = r"[a-z0-9]+"
 #: Blank lines, and line breaks behind the end of a sentence.
 BREAK = r"\n[ \t\r]*\n|(?<=[.:!?])[ \t\r]*\n"
-MIN_CONTAINED, MIN_SHARED, L1, STEPS, SMALLEST = 0.6, 2, 2e-4, 150, 0.05
+MIN_CONTAINED, MIN_SHARED, L1, STEPS, SMALLEST = 0.6, 2, 1e-4, 200, 0.05
+#: Least threshold: the templates must agree as well.
+LEAST_THRESHOLD = 0.3
 #: Corpus paragraphs taken as unknown, and the share of them from which on an n-gram counts as common and is no feature.
 NEGATIVES, SEED, COMMON = 3_000, 31, 0.01
-#: Short public notices of each family.
-TEMPLATES = {
-    "mit": (
-        "Released under the MIT License.",
-        "This project is licensed under the MIT License, see the LICENSE file for details.",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
-        "The software is provided as is, without warranty of any kind, express or implied",
-        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the software",
-        "SPDX-License-Identifier: MIT",
-    ),
-    "apache": (
-        "Licensed under the Apache License, Version 2.0.",
-        "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.",
-        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an as is basis",
-        "Apache-2.0",
-        "SPDX-License-Identifier: Apache-2.0",
-    ),
-    "gpl": (
-        "This work is licensed under the GNU General Public License, version 3.",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License",
-        "You should have received a copy of the GNU General Public License along with this program.",
-        "Distributed under the terms of the GPLv3 or later.",
-        "Licensed under the GPLv2.",
-        "SPDX-License-Identifier: GPL-3.0-or-later",
-    ),
-    "lgpl": (
-        "This library is licensed under the GNU Lesser General Public License, version 2.1.",
-        "Distributed under the LGPLv2.1 or later.",
-        "SPDX-License-Identifier: LGPL-2.1-only",
-    ),
-    "bsd": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
-        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer",
-        "Licensed under the BSD 3-Clause License.",
-        "SPDX-License-Identifier: BSD-3-Clause",
-    ),
-    "mpl": (
-        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-        "SPDX-License-Identifier: MPL-2.0",
-    ),
-    "cc-by": (
-        "Licensed under CC BY 4.0.",
-        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-        "Published under the Creative Commons Attribution 4.0 License (CC BY 4.0).",
-        "Licensed under a Creative Commons Attribution License.",
-    ),
-    "cc-by-sa": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
-    "cc-by-nc": ("Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
-    "cc0": ("This work is dedicated to the public domain under the CC0 1.0 Universal license.", "SPDX-License-Identifier: CC0-1.0"),
-    "proprietary": (
-        "All rights reserved.",
-        "Copyright. All rights reserved. No part of this publication may be reproduced without written permission.",
-    ),
-}
+#: Public notices of each family, and the half that each lies in.
+HALVES = {text: half for texts in (*notices().values(), other_notices()) for text, half in texts}
+TEMPLATES = {family: tuple(text for text, _ in texts) for family, texts in notices().items()}
 #: Sentences that use anchor words without stating a licence.
 OTHERS = (
     "He renewed his driving licence at the town hall.",
@@ -113,6 +66,10 @@ OTHERS = (
 )
 PREFIXES = ("", "this file is", "unless stated otherwise", "text and images")
 SUFFIXES = ("", "see the file for details", "all contributions included", "2021")
+FRAMED = frozenset(frame.format(name=n) for frame in FRAMES for group in (NAMES, SHORT) for names in group.values() for n in names) | {text for text, _ in other_notices()}
+#: Texts of so many words are also learnt with words left out, but never words of a name.
+LONG = 12
+NAME_WORDS = frozenset(re.findall("[a-z0-9]+", " ".join(n for group in (NAMES, SHORT, SPDX) for names in group.values() for n in names).lower()))
 
 
 def words(text: str) -> list[str]:
@@ -136,30 +93,28 @@ def contained(pairs: set[str], template: set[str], own: set[str]) -> float:
     return max(len(shared) / len(template), len(shared) / len(pairs) if len(shared) >= MIN_SHARED else 0.0)
 
 
-def _overlap(tokens: list[str], template: list[str]) -> float:
-    pairs = _pairs(template)
-    return len(pairs & _pairs(tokens)) / len(pairs) if pairs else 0.0
-
-
 def _examples() -> list[tuple[list[str], str, int]]:
-    """(words, family, half). All variants of a template lie in one half; one that reads like another family's template is left out."""
-    out = []
-    sources = [(words(t), f, i % 2) for f, ts in TEMPLATES.items() for i, t in enumerate(ts)] + [(words(t), UNKNOWN, i % 2) for i, t in enumerate(OTHERS)]
-    for body, family, half in sources:
-        for a, prefix in enumerate(PREFIXES):
-            for b, suffix in enumerate(SUFFIXES):
-                kept = [w for i, w in enumerate(body) if (i * 7 + a * 3 + b) % 11 or a + b == 0 or len(body) < 8]
-                own = max((_overlap(kept, t) for t, f, _ in sources if f == family), default=0.0)
-                if family != UNKNOWN and any(_overlap(kept, t) >= own for t, f, _ in sources if f not in (family, UNKNOWN)):
-                    continue
-                out.append((words(prefix) + kept + words(suffix), family, half))
+    """(words, family, half): every text, those that are no sentence of FRAMES with something before or behind them, and long ones with words left out
+    or cut short, as far as what is left tells the family.
+    All of a text's forms lie in its half."""
+    sources = [(t, f, HALVES.get(t, i % 2)) for f, ts in TEMPLATES.items() for i, t in enumerate(ts)]
+    sources += [(t, UNKNOWN, half) for t, half in other_notices()] + [(t, UNKNOWN, i % 2) for i, t in enumerate(OTHERS)]
+    out, telling = [], telling_pairs()
+    for n, (text, family, half) in enumerate(sources):
+        body = words(text)
+        out.append((body, family, half))
+        if text not in FRAMED:
+            out += [(words(PREFIXES[(n + k) % 4]) + body + words(SUFFIXES[(n // 4 + k) % 4]), family, half) for k in (1, 2)]
+        if len(body) >= LONG:
+            out += [([w for i, w in enumerate(body) if (i + n) % 11 != k or w in NAME_WORDS], family, half) for k in (0, 4, 8)]
+            out += [(part, family, half) for part in (body[: len(body) * 5 // 8], body[: len(body) // 3 + 4], body[len(body) // 2 :]) if family == UNKNOWN or not _pairs(part).isdisjoint(telling.get(family, ()))]
     return out
 
 
 @lru_cache(maxsize=1)
 def vocabulary() -> list[str]:
-    """The n-grams of all training sentences: the only features there are."""
-    return sorted({g for w, _, _ in _examples() for g in ngrams(w)})
+    """The n-grams of two or more training texts: the only features there are."""
+    return sorted(g for g, n in Counter(g for w, _, _ in _examples() for g in ngrams(w)).items() if n > 1)
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -172,21 +127,28 @@ class _Sparse:
 
     def __init__(self, rows: list[list[int]], n_columns: int):
         self.row, self.column = np.repeat(np.arange(len(rows)), list(map(len, rows))), np.array([c for r in rows for c in r], np.int64)
-        self.shape, self.order = (len(rows), n_columns), np.argsort(self.column, kind="stable")
+        self.shape, order = (len(rows), n_columns), np.argsort(self.column, kind="stable")
+        self.by_row = (self.column, *self._groups(self.row))
+        self.by_column = (self.row[order], *self._groups(self.column[order]))
+
+    @staticmethod
+    def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        starts = np.flatnonzero(np.diff(keys, prepend=-1))
+        return keys[starts], starts
 
     @staticmethod
-    def _sums(values: np.ndarray, keys: np.ndarray, n: int) -> np.ndarray:
+    def _sums(values: np.ndarray, groups: tuple, n: int) -> np.ndarray:
+        at, keys, starts = groups
         out = np.zeros((n, values.shape[1]))
         if len(keys):
-            starts = np.flatnonzero(np.diff(keys, prepend=-1))
-            out[keys[starts]] = np.add.reduceat(values, starts)
+            out[keys] = np.add.reduceat(values.astype(np.float32)[at], starts)
         return out
 
     def times(self, w: np.ndarray) -> np.ndarray:
-        return self._sums(w[self.column], self.row, self.shape[0])
+        return self._sums(w, self.by_row, self.shape[0])
 
     def transposed_times(self, g: np.ndarray) -> np.ndarray:
-        return self._sums(g[self.row[self.order]], self.column[self.order], self.shape[1])
+        return self._sums(g, self.by_column, self.shape[1])
 
 
 def _fit(x: _Sparse, labels: np.ndarray, n_families: int) -> tuple[np.ndarray, np.ndarray]:
@@ -218,17 +180,19 @@ def train(negatives: list[list[str]] = ()) -> dict:
     def part(chosen: np.ndarray) -> _Sparse:
         return _Sparse([x[i] for i in np.flatnonzero(chosen)], len(names))
 
-    wrong, right = [], []
+    wrong, right, telling = [], [], telling_pairs()
     for seen in (0, 1):
         w, bias = _fit(part(half == seen), labels[half == seen], len(families))
         p, truth = _softmax(part(half != seen).times(w) + bias), labels[half != seen]
-        wrong.append(p[truth == 0, 1:].max(1))
+        # an unknown paragraph errs only where it has a pair that tells the family it is taken for, as no other can be confirmed
+        held = [bool(telling.get(families[k], set()).intersection(rows[i][0])) for i, k in zip(np.flatnonzero(half != seen), p[:, 1:].argmax(1) + 1)]
+        wrong.append(np.where(np.array(held), p[:, 1:].max(1), 0.0)[truth == 0])
         # a family of one template cannot be known to the half without it
         known = np.isin(truth, labels[half == seen]) & (truth > 0)
         right.append(np.where(p[known].argmax(1) == truth[known], p[known].max(1), 0.0))
     wrong, right = np.concatenate(wrong), np.concatenate(right)
     # 99.5 % of the unseen unknown paragraphs stay below it
-    threshold = min(max(0.5, float(np.quantile(wrong, 0.995))), 0.95)
+    threshold = min(max(LEAST_THRESHOLD, float(np.quantile(wrong, 0.995))), 0.95)
     w, bias = _fit(part(half >= 0), labels, len(families))
     w[np.abs(w) < SMALLEST] = 0
     kept = {g: [round(float(v), 6) for v in w[i]] for g, i in where.items() if w[i].any()}
@@ -238,24 +202,49 @@ def train(negatives: list[list[str]] = ()) -> dict:
     }
 
 
-def word_bounds(model: dict, uses: Counter | None = None) -> tuple[dict[str, float], float]:
-    """({word: bound}, gap): a paragraph is judged anything but unknown only if the bounds of its distinct words add up to more than the
-    gap. Each n-gram that speaks for a family against unknown counts at its rarest word; uses: how common words are."""
+def word_bounds(model: dict, uses: Counter | None = None) -> tuple[dict[str, list[float]], list[float]]:
+    """({word: a bound per family}, gap per family): a paragraph is judged to be of a family only if the bounds of its distinct words add up to more
+    than that family's gap. Each n-gram that speaks for a family against unknown counts at its rarest word (uses: how common words are);
+    a word that speaks against the family counts as it is."""
     unknown, *others = model["bias"]
-    bounds: dict[str, float] = {}
+    bounds: dict[str, list[float]] = {}
     for gram, (u, *families) in sorted(model["weights"].items()):
-        if max(families) > u:
-            word = min(gram.split(), key=lambda w: ((uses or {}).get(w, 0), w))
-            bounds[word] = round(bounds.get(word, 0.0) + max(families) - u, 6)
-    return bounds, round(unknown - max(others) - 1e-4, 6)
+        tokens = gram.split()
+        word = min(tokens, key=lambda w: ((uses or {}).get(w, 0), w))
+        own = bounds.setdefault(word, [0.0] * len(families))
+        for k, w in enumerate(families):
+            if w > u or len(tokens) == 1:
+                own[k] = round(own[k] + w - u, 6)
+    return {w: b for w, b in bounds.items() if any(b)}, [round(unknown - b - 1e-4, 6) for b in others]
+
+
+GENERIC = frozenset("license licence public software identifier terms".split())
+
+
+def _version(word: str) -> bool:
+    return word.isdigit() or word in ("v", "version", "only", "or", "later")
 
 
 @lru_cache(maxsize=1)
 def template_pairs() -> list[tuple[str, int, str, int, int]]:
-    """(family, template, word pair, pairs of the template, 1 if no other family has the pair and it is no mere version)."""
+    """(family, template, word pair, pairs of the template, 1 if the pair tells the family: no other family has it, and it is more than a version
+    and words that any licence has)."""
     texts = [(f, _pairs(words(t))) for f, ts in TEMPLATES.items() for t in ts]
-    holders = Counter(pair for f in TEMPLATES for pair in set().union(*(ps for g, ps in texts if g == f)))
-    return [(f, n, pair, len(ps), int(holders[pair] == 1 and any(c.isalpha() for c in pair))) for n, (f, ps) in enumerate(texts) for pair in sorted(ps)]
+    of_family = {f: set().union(*(ps for g, ps in texts if g == f)) for f in TEMPLATES}
+    holders = Counter(pair for pairs in of_family.values() for pair in pairs)
+
+    def tells(pair: str) -> bool:
+        return holders[pair] == 1 and any(not _version(w) and w not in GENERIC for w in pair.split())
+
+    return [(f, n, pair, len(ps), int(tells(pair))) for n, (f, ps) in enumerate(texts) for pair in sorted(ps)]
+
+
+def telling_pairs() -> dict[str, set[str]]:
+    out: dict[str, set[str]] = {}
+    for family, _, pair, _, tells in template_pairs():
+        if tells:
+            out.setdefault(family, set()).add(pair)
+    return out
 
 
 def _parts(docs: DataFrame) -> DataFrame:
@@ -293,30 +282,53 @@ def negatives_of(docs: DataFrame, most: int = NEGATIVES) -> tuple[list[list[str]
     # one short row per n-gram of the templates
     known = F.broadcast(spark.createDataFrame([(g,) for g in vocabulary()], "gram string"))
     found = _exploded(chosen, "uid").join(known, "gram").groupBy("uid").agg(F.sort_array(F.collect_list("gram")).alias("grams")).collect()
-    templates: dict[int, set[str]] = {}
-    for _, n, pair, _, _ in template_pairs():
-        templates.setdefault(n, set()).add(pair)
-    out = [r.grams for r in sorted(found, key=lambda r: r.grams) if all(3 * len(t.intersection(r.grams)) < len(t) for t in templates.values())]
+    holders: dict[str, list[tuple[int, int]]] = {}
+    for _, n, pair, size, _ in template_pairs():
+        holders.setdefault(pair, []).append((n, size))
+    out = []
+    for row in sorted(found, key=lambda r: r.grams):
+        shared = Counter(template for gram in row.grams for template in holders.get(gram, ()))
+        if all(3 * n < size for (_, size), n in shared.items()):
+            out.append(row.grams)
     return out, Counter(w for grams in out for w in grams if " " not in w)
 
 
-def scan(docs: DataFrame, model: dict, gate: tuple[dict[str, float], float] | None = None, min_contained: float = MIN_CONTAINED) -> DataFrame:
+def _near(rows: DataFrame, bounds: dict[str, list[float]], gaps: list[float]) -> DataFrame:
+    """Paragraphs whose words may add up to a family: first by each word's largest bound, which few words have, then family by family."""
+
+    def held(words: list[str]):
+        return F.array_intersect("tokens", F.array(*[F.lit(w) for w in words]))
+
+    def table(values: dict):
+        return F.create_map(*[x for w, v in values.items() for x in (F.lit(w), v)])
+
+    most = {w: max(b) for w, b in bounds.items() if max(b) > 0}
+    if not most:
+        return rows.where(F.lit(False))
+    rough = table({w: F.lit(v) for w, v in most.items()})
+    rows = rows.where(F.aggregate(held(list(most)), F.lit(0.0), lambda total, w: total + F.element_at(rough, w)) > min(gaps))
+    each = table({w: F.array(*map(F.lit, b)) for w, b in bounds.items()})
+    start = F.array(*[F.lit(0.0)] * len(gaps))
+    totals = F.aggregate(held(list(bounds)), start, lambda acc, w: F.zip_with(acc, F.element_at(each, w), lambda a, b: a + b))
+    return rows.where(F.exists(F.zip_with(totals, F.array(*map(F.lit, gaps)), lambda t, g: t > g), lambda x: x))
+
+
+def scan(docs: DataFrame, model: dict, gate: tuple[dict[str, list[float]], list[float]] | None = None, min_contained: float = MIN_CONTAINED) -> DataFrame:
     """One row per paragraph that the classifier does not call unknown: doc_id, paragraph, said, probability, contained, confirmed, and
     family: what it said if that stands and is confirmed, else unknown."""
     spark = docs.sparkSession
     families, template_rows = model["families"], template_pairs()
     # all three tables are bounded by the templates: a few thousand short rows
-    weights = F.broadcast(spark.createDataFrame([(g, *ws) for g, ws in model["weights"].items()], "gram string, " + ", ".join(f"w{i} double" for i in range(len(families)))))
+    weights = F.broadcast(spark.createDataFrame([(g, *(round(w * 1e6) for w in ws)) for g, ws in model["weights"].items()], "gram string, " + ", ".join(f"w{i} long" for i in range(len(families)))))
     pairs = F.broadcast(spark.createDataFrame(template_rows, "said string, template int, gram string, pairs int, pair_own int"))
     rows = paragraphs(docs)
-    if gate is not None and gate[1] >= 0 and gate[0]:
-        bounds = F.create_map(*[F.lit(x) for pair in gate[0].items() for x in pair])
-        present = F.array_intersect("tokens", F.array(*[F.lit(w) for w in gate[0]]))
-        rows = rows.where(F.aggregate(present, F.lit(0.0), lambda total, w: total + F.element_at(bounds, w)) > gate[1])
+    if gate is not None and min(gate[1]) >= 0 and gate[0]:
+        rows = _near(rows, *gate)
     # numbered once, so that rows of one doc_id or of none stay apart
     rows = stash(rows.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "paragraph", "tokens"), "licence-paragraphs")
-    sums = _exploded(rows, "uid").join(weights, "gram").groupBy("uid").agg(*[F.sum(F.col(f"w{i}").cast("decimal(20,6)")).cast("double").alias(f"w{i}") for i in range(len(families))])
-    logits = [F.coalesce(f"w{i}", F.lit(0.0)) + F.lit(b) for i, b in enumerate(model["bias"])]
+    sums = _exploded(rows, "uid").join(weights, "gram").groupBy("uid").agg(*[F.sum(f"w{i}").alias(f"w{i}") for i in range(len(families))])
+    # millionths, so that sums do not depend on their order
+    logits = [(F.coalesce(f"w{i}", F.lit(0)) + F.lit(round(b * 1e6))) / F.lit(1e6) for i, b in enumerate(model["bias"])]
     ranked = rows.join(sums, "uid", "left").withColumn("z", F.array(*[F.struct(F.round(z, 6).alias("z"), F.lit(-i).alias("i"), F.lit(f).alias("said")) for i, (z, f) in enumerate(zip(logits, families))]))
     best = ranked.withColumn("best", F.array_max("z")).where(F.col("best.said") != UNKNOWN)
     said = stash(
