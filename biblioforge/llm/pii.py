@@ -12,6 +12,13 @@ three digits. Loopy sum-product passes over nodes, chains and hubs spread the cl
 spans becomes a span if its kind's belief reaches ADD, an equal or similar mention in the same document has that
 kind, and its own form admits the kind.
 
+A second field then judges mentions that no pattern takes: numbers without a country code, masked numbers and addresses (****1234,
+j***@x.org) and written-out addresses (john at x.org). Its nodes are the spans known so far, clamped, and these candidates. Node potentials
+come from form and the words before; they are trained on base mentions with what gives them away removed, against the same forms
+behind nothing (two to one none) or behind words from elsewhere, so that a form alone is not enough. Chains link mentions with no more than a comma or a
+conjunction between them, with potentials counted on such pairs; skip chains link equal numbers and addresses and masked ones with
+what they can stand for. A candidate becomes a span if its kind's belief reaches ADD.
+
 Rules for odd input: null text counts as empty; texts without nodes are done at once; very long texts are worked
 through whole, in time and memory linear in their length and nodes; of equally likely kinds the first as listed stands; a null doc_id
 stays null; repeated rows give equal results; an empty table gives no rows; extra columns, also of clashing names, are ignored.
@@ -20,9 +27,11 @@ stays null; repeated rows give equal results; an empty table gives no rows; extr
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 import re
 from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import partial
 
@@ -205,8 +214,8 @@ def labels_of(nodes: list[tuple[int, int]], base: list[tuple[int, int, int]]) ->
     return [label(a, b) for a, b in nodes]
 
 
-def fit_shapes(examples: list[tuple[list[str], int]]) -> dict[str, list[float]]:
-    """Softmax regression with L2: feature -> five log-potentials."""
+def fit_shapes(examples: list[tuple[list[str], int]], momentum: bool = False) -> dict[str, list[float]]:
+    """Softmax regression with L2: feature -> five log-potentials. With momentum steps gather speed, which rare features need."""
     if not examples:
         return {}
     names = sorted({f for x, _ in examples for f in x})
@@ -217,11 +226,13 @@ def fit_shapes(examples: list[tuple[list[str], int]]) -> dict[str, list[float]]:
     y = np.eye(NONE + 1)[[k for _, k in examples]]
     w = np.zeros((len(names), NONE + 1))
     step = 4 / (x.sum(1).mean())
-    for _ in range(300):
-        z = x @ w
+    look = w
+    for n in range(300):
+        z = x @ look
         p = np.exp(z - z.max(1, keepdims=True))
         p /= p.sum(1, keepdims=True)
-        w -= step * (x.T @ (p - y) / len(x) + 1e-4 * w)
+        new = look - step * (x.T @ (p - y) / len(x) + 1e-4 * look)
+        look, w = new + (n / (n + 3) * (new - w) if momentum else 0), new
     return {f: [round(v, 9) for v in w[i]] for f, i in where.items()}
 
 
@@ -362,6 +373,174 @@ def added_spans(text: str, base: list[tuple[int, int, int]], weights: dict[str,
     return out
 
 
+NUMBER = re.compile(r"(?<![\w+@.,*/-])\(?[0-9](?:[\x20().\-/]{0,2}[0-9]){6,14}(?![\w@*])(?![.,/-][0-9])")
+MASKED = re.compile(r"(?<![\w*•])(?:[*•xX]{2,8}[\x20-]?){1,5}[0-9]{2,4}(?![\w*•@])")
+MASKED_ADDRESS = re.compile(r"(?<![\w*•.])[A-Za-z0-9][*•]{2,12}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,4}")
+AT_SIGN = re.compile(r"\x20?[(\[]at[)\]]\x20?|\x20(?:at|AT)\x20")
+HOST = re.compile(r"[A-Za-z0-9-]{1,63}(?:(?:\.|\x20?[(\[]dot[)\]]\x20?|\x20dot\x20)[A-Za-z0-9-]{2,63}){1,4}(?![\w@])")
+USER = re.compile(r"(?<![\w.%+@-])[A-Za-z0-9][A-Za-z0-9._%+-]{1,63}$")
+LINKED = re.compile(r"[\s,;/|]{0,4}(?:(?:and|or|und|oder|et|ou)\s{1,2})?")
+CONTEXT_WORD = re.compile(r"[^\W\d_]+")
+#: Kinds that each sort of candidate can be.
+SORTS = {"number": (3,), "masked": (2, 3), "address": (0,)}
+#: Negative copies of a hidden mention behind words from elsewhere; characters looked at before a candidate; uses from which on a context word counts.
+ELSEWHERE, LOOK_BACK, LEAST_USES, PRIOR_PAIRS = 3, 40, 5, 10
+
+
+def candidates(text: str, known: list[tuple[int, int, int]]) -> list[tuple[str, int, int, str]]:
+    """(sort, start, end, form) of what may be a mention and overlaps no known span, in order."""
+    found = []
+    if DIGIT.search(text):
+        found += [("number", *m.span(), re.sub("[^0-9]", "", m.group())) for m in NUMBER.finditer(text)]
+        found += [("masked", *m.span(), re.sub("[^0-9]", "", m.group())) for m in MASKED.finditer(text)]
+    if "@" in text:
+        found += [("address", *m.span(), m.group()[0].casefold() + "*@" + m.group().partition("@")[2].casefold()) for m in MASKED_ADDRESS.finditer(text)]
+    for m in AT_SIGN.finditer(text):
+        host, user = HOST.match(text, m.end()), USER.search(text[max(0, m.start() - 66) : m.start()])
+        if host and user:
+            form = f"{user.group()}@{re.sub(' ?[(\\[]dot[)\\]] ?| dot ', '.', host.group())}".casefold()
+            found.append(("address", m.start() - len(user.group()), host.end(), form))
+    spans = sorted((s, e) for _, s, e in known)
+    starts, out, end = [s for s, _ in spans], [], 0
+    ends = list(itertools.accumulate((e for _, e in spans), max))
+    for sort, a, b, form in sorted(found, key=lambda c: (c[1], -c[2])):
+        i = bisect_right(starts, b - 1)  # spans that begin before b
+        if a >= end and (not i or ends[i - 1] <= a):
+            out.append((sort, a, b, form))
+            end = b
+    return out
+
+
+def context(text: str, at: int) -> list[str]:
+    """Features of up to three words that end shortly before a place."""
+    begin = max(0, at - LOOK_BACK)
+    words = [m.group().casefold() for m in CONTEXT_WORD.finditer(text, begin, at) if m.start() > begin or not begin]
+    return [f"near {w}" for w in dict.fromkeys(words[-3:])] + [f"last {w}" for w in words[-1:]]
+
+
+def candidate_shape(sort: str, text: str) -> list[str]:
+    digits = sum("0" <= c <= "9" for c in text)
+    return [f"sort {sort}", f"{sort} digits {min(digits, 16)}", f"{sort} groups {min(len(re.findall('[0-9]+', text)), 5)}", f"{sort} marks {min(sum(c in '()./-' for c in text), 3)}"]
+
+
+def hidden(kind: int, text: str) -> tuple[str, str] | None:
+    """(sort, text) of a base mention without what gives it away, or None."""
+    if kind == 0:
+        return "address", text.replace("@", " at ")
+    if kind == 2:
+        return "masked", "****" + re.sub("[^0-9]", "", text)[-4:]
+    if kind == 3:
+        bare = re.sub(r"^\+[0-9]{1,3}[\x20.-]*", "", text)
+        return ("number", bare) if sum("0" <= c <= "9" for c in bare) >= LEAST_DIGITS else None
+    return None
+
+
+def linked(text: str, left: tuple[int, int], right: tuple[int, int]) -> bool:
+    """Whether no more than a comma or a conjunction lies between two spans."""
+    return 0 <= right[0] - left[1] <= 12 and LINKED.fullmatch(text, left[1], right[0]) is not None
+
+
+def _known_forms(kind: int, text: str) -> list[str]:
+    """Hubs of a known span that candidates can join."""
+    if kind == 0:
+        user, _, host = text.casefold().partition("@")
+        return [f"a{user}@{host}", f"a{user[:1]}*@{host}"]
+    digits = re.sub("[^0-9]", "", text)
+    return [f"m{digits[-n:]}" for n in (2, 3, 4)] + [f"n{d}" for d in numbers_of(kind, text)] if kind in (2, 3) else []
+
+
+def _candidate_forms(sort: str, form: str) -> list[tuple[str, float]]:
+    """(hub, coupling): a chance match of so many digits has odds of 1 to 10 ** digits."""
+    if sort == "address":
+        return [(f"a{form}", 9.0 if "*@" in form else 12.0)]
+    if sort == "masked":
+        return [(f"m{form}", len(form) * math.log(10))]
+    return [(f"n{form.lstrip('0')}", min(len(form), 15) * math.log(10))]
+
+
+def context_spans(text: str, known: list[tuple[int, int, int]], weights: dict, add: float = ADD, chains: bool = True, hubs: bool = True) -> list[tuple[int, int, int]]:
+    """Spans of the second field; chains and hubs can be left out, for comparison."""
+    if not any(name.startswith("sort ") for name in weights):
+        return []
+    found = candidates(text, known)
+    if not found:
+        return []
+    # known spans far from every candidate change nothing but through hubs
+    nodes = sorted([(s, e, k, "", "") for k, s, e in known] + [(a, b, NONE, sort, form) for sort, a, b, form in found])
+    unary, groups = np.zeros((len(nodes), NONE + 1)), {}
+    for i, (a, b, k, sort, form) in enumerate(nodes):
+        if sort:
+            unary[i] = np.sum([np.zeros(NONE + 1), *(weights[f] for f in candidate_shape(sort, text[a:b]) + context(text, a) if f in weights)], axis=0)
+            # what speaks for a kind that this sort cannot be speaks for none
+            other = [j for j in range(NONE) if j not in SORTS[sort]]
+            unary[i, NONE] = np.logaddexp.reduce(unary[i, [*other, NONE]])
+            unary[i, other] = -30.0
+            for f, c in _candidate_forms(sort, form):
+                groups.setdefault(f, ([], []))
+                groups[f][0].append(i)
+                groups[f][1].append(c)
+        else:
+            unary[i] = _pinned(k)
+    if hubs:
+        for i, (a, b, k, sort, _) in enumerate(nodes):
+            if not sort:
+                for f in _known_forms(k, text[a:b]):
+                    if f in groups:
+                        groups[f][0].append(i)
+    named = [(ts, max(cs)) for ts, cs in groups.values() if len(ts) > 1] if hubs else []
+    edges = [(i, i + 1) for i in range(len(nodes) - 1) if (nodes[i][3] or nodes[i + 1][3]) and linked(text, nodes[i][:2], nodes[i + 1][:2])] if chains else []
+    chain = np.array([weights.get(f"pair {k}", [0.0] * (NONE + 1)) for k in range(NONE + 1)])
+    p = beliefs(unary, [ts for ts, _ in named], [c for _, c in named], 2 * PASSES, edges, chain)
+    out = []
+    for i, (a, b, _, sort, _) in enumerate(nodes):
+        k = int(p[i, :NONE].argmax())
+        if sort and k in SORTS[sort] and p[i, k] >= add:
+            out.append((k, a, b))
+    return out
+
+
+def _context_examples(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[str, int, int, int, str]]:
+    """Rows (features, kind, -1, -1, sort of row): hidden base mentions, the same behind other words or none, and candidates that are none; and
+    the kinds of linked pairs."""
+    found, begins = candidates(text, base), sorted(a for _, a, _ in base)
+    for sort, a, b, _ in found:
+        yield "\t".join(candidate_shape(sort, text[a:b]) + context(text, a)), NONE, -1, -1, "candidate"
+    for n, (k, a, b) in enumerate(base):
+        form = hidden(k, text[a:b])
+        if form:
+            shape_of = candidate_shape(*form)
+            yield "\t".join(shape_of + context(text, a)), k, -1, -1, "candidate"
+            for label in (k, NONE, NONE):  # behind nothing a form says little
+                yield "\t".join(shape_of), label, -1, -1, "candidate"
+            for j in range(ELSEWHERE):
+                at = (a + (2 * j + n + 1) * len(text) // 7) % max(len(text), 1)
+                i = bisect_right(begins, at - 2 * LOOK_BACK)
+                if i == len(begins) or begins[i] > at + 2 * LOOK_BACK:  # far from what announces a mention
+                    yield "\t".join(shape_of + context(text, at)), NONE, -1, -1, "candidate"
+    spans = sorted([(a, b, k) for k, a, b in base] + [(a, b, NONE) for _, a, b, _ in found])
+    for _, _, k in spans:
+        yield "", -1, k, -1, "pair"
+    for left, right in zip(spans, spans[1:]):
+        if linked(text, left[:2], right[:2]):
+            yield "", -1, left[2], right[2], "pair"
+
+
+def fit_context(examples: list[tuple[list[str], int]], pairs: list[tuple[int, int, int]]) -> dict[str, list[float]]:
+    """Potentials of the second field: of forms and context words; and log-odds of the kinds of linked spans against those of spans at large
+    (pairs whose right kind is -1), with PRIOR_PAIRS of the latter added."""
+    uses = Counter(f for x, _ in examples for f in x)
+    weights = fit_shapes([([f for f in x if uses[f] >= LEAST_USES], k) for x, k in examples], momentum=True)
+    table, alone = np.zeros((NONE + 1, NONE + 1)), np.ones(NONE + 1)
+    for left, right, n in pairs:
+        if right < 0:
+            alone[left] += n
+        else:
+            table[left, right] += n
+    free = np.outer(alone, alone) / alone.sum() ** 2
+    odds = np.log((table + PRIOR_PAIRS * free) / (table.sum() + PRIOR_PAIRS) / free)
+    return weights | {f"pair {k}": [round(float(v), 9) for v in odds[k]] for k in range(NONE + 1)} if weights else {}
+
+
 def _pinned(kind: int) -> np.ndarray:
     return np.where(np.arange(NONE + 1) == kind, 0.0, -30.0)
 
@@ -377,7 +556,7 @@ def digest(spans: list[tuple[int, int, int]]) -> str:
 def _examples(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of nodes (token, kind, kinds of its neighbours, -1 without one), and rows of hubs: (sort, -1, nodes, agreeing nodes)."""
     for batch in batches:
-        tokens, kinds, befores, afters = [], [], [], []
+        tokens, kinds, befores, afters, sorts = [], [], [], [], []
         for text in batch.column("text").to_pylist():
             base = base_spans(text)
             nodes = nodes_of(text)
@@ -391,7 +570,13 @@ def _examples(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for sort, n, m in hub_counts(words, labels):
                 for column, value in zip((tokens, kinds, befores, afters), (sort, -1, n, m)):
                     column.append(value)
-        yield pa.RecordBatch.from_arrays([pa.array(tokens, pa.string()), *(pa.array(x, pa.int32()) for x in (kinds, befores, afters))], names=["token", "kind", "before", "after"])
+            sorts += ["node"] * (len(tokens) - len(sorts))
+            for row in _context_examples(text, base):
+                for column, value in zip((tokens, kinds, befores, afters, sorts), row):
+                    column.append(value)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(tokens, pa.string()), *(pa.array(x, pa.int32()) for x in (kinds, befores, afters)), pa.array(sorts, pa.string())], names=["token", "kind", "before", "after", "sort"]
+        )
 
 
 def train(docs: DataFrame, docs_bound: int = TRAIN_DOCS) -> dict[str, list[float]]:
@@ -399,11 +584,17 @@ def train(docs: DataFrame, docs_bound: int = TRAIN_DOCS) -> dict[str, list[float
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     some = least_hashes(rows.where(F.col("text").rlike("[0-9@]")).select("doc_id"), docs.count(), F.xxhash64("doc_id", F.lit(SEED)), ["doc_id"], docs_bound)
     texts = rows.where(F.col("text").isNotNull()).join(F.broadcast(some), "doc_id", "left_semi")
-    found = stash(texts.mapInArrow(_examples, "token string, kind int, before int, after int"), "personal-examples")
-    counted = found.where("kind >= 0").orderBy(F.xxhash64("token", "kind"), "token", "kind", "before", "after").limit(TRAIN_TOKENS).collect()
+    found = stash(texts.mapInArrow(_examples, "token string, kind int, before int, after int, sort string"), "personal-examples")
+
+    def chosen(sort: str) -> list:
+        return found.where((F.col("kind") >= 0) & (F.col("sort") == sort)).orderBy(F.xxhash64("token", "kind"), "token", "kind", "before", "after").limit(TRAIN_TOKENS).collect()
+
+    counted = chosen("node")
     weights = fit_shapes([(shape(r.token) + [f"before{r.before}"] * (r.before >= 0) + [f"after{r.after}"] * (r.after >= 0), r.kind) for r in counted])
-    hubs = found.where("kind < 0").groupBy("token").agg(F.sum("before").alias("nodes"), F.sum("after").alias("agreeing")).collect()  # one row per sort
-    return weights | {f"hub {r.token}": [coupling_of(r.nodes, r.agreeing)] for r in hubs} if weights else {}
+    pairs = found.where("sort = 'pair'").groupBy("before", "after").agg(F.count(F.lit(1)).alias("n")).collect()  # one row per pair of kinds
+    second = fit_context([(r.token.split("\t"), r.kind) for r in chosen("candidate")], [(r.before, r.after, r.n) for r in pairs])
+    hubs = found.where("kind < 0 AND sort = 'node'").groupBy("token").agg(F.sum("before").alias("nodes"), F.sum("after").alias("agreeing")).collect()  # one row per sort
+    return weights | {f"hub {r.token}": [coupling_of(r.nodes, r.agreeing)] for r in hubs} | second if weights else {}
 
 
 def _find(batches: Iterable[pa.RecordBatch], weights: dict[str, list[float]]) -> Iterator[pa.RecordBatch]:
@@ -413,6 +604,7 @@ def _find(batches: Iterable[pa.RecordBatch], weights: dict[str, list[float]]) ->
             text = value.as_py() or ""
             base = base_spans(text)
             found = base + added_spans(text, base, weights)
+            found += context_spans(text, found, weights)
             counts.append([sum(k == kind for k, _, _ in base) for kind in range(NONE)])
             sums.append(hashlib.sha256(digest(base).encode()).hexdigest())
             spans.append(digest(found))
