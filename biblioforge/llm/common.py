@@ -6,9 +6,12 @@ What operators write for themselves lies in one folder per application below the
 from __future__ import annotations
 
 import atexit
+import ctypes
 import re
 import uuid
+from functools import lru_cache
 
+import pyarrow as pa
 from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,6 +79,20 @@ def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 
 
+@lru_cache(maxsize=1)
+def _trim():
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):  # another C library
+        return lambda _: 0
+
+
+def give_back() -> None:
+    """Returns what a worker has freed to the system, so that idle workers of earlier stages do not weigh on later ones."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
 def least_hashes(rows: DataFrame, n: int, order: Column, ties: list[Column | str], most: int) -> DataFrame:
     """The `most` rows of least order (a hash, uniform over longs), then ties. n: about how many rows there are, or fewer.
 

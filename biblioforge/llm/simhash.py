@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import KEY, only_rows, row_key, stash
+from .common import KEY, give_back, only_rows, row_key, stash
 from .components import connected_components
 
 WORDS, SEED, BYTES, MAX_BITS = 4, 42, 8, 4
@@ -58,6 +58,7 @@ def _fingerprints(batches):
         yield pa.RecordBatch.from_arrays(
             [*(batch.column(n) for n in kept), pa.array(np.array(prints, np.uint64).view(np.int64))], names=[*kept, "fp"]
         )
+        give_back()
 
 
 def fingerprints(docs: DataFrame, *keys) -> DataFrame:

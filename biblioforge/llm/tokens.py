@@ -22,15 +22,17 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer, pre_tokenizers
 
+from .common import give_back
+
 if sys.byteorder != "little" or array("I").itemsize != 4:
     raise ImportError("token ids are handled as native little-endian 32-bit integers")
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 #: Chunks that a worker keeps for its next batches, and the longest kept: about 30 bytes an entry.
-CACHE_CHUNKS, CACHE_LENGTH = 800_000, 64
+CACHE_CHUNKS, CACHE_LENGTH = 400_000, 64
 #: Bytes of text worked on at once; a longer text is worked on alone.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 #: Chunks in which Arrow's lower case equals the vocabulary's, whatever stands beside a character.
 PLAIN = "^[\x21-\x7e\xa1-\xac\xae-\xff]*$"
 #: Latin-1 letters; a word of them is one pre-token, and one of these signs behind it is another.
@@ -168,6 +170,7 @@ def encode_batch(texts: pa.Array, path: str, end_id: int | None = END_ID) -> Ite
     """(a, b, ids, offsets) of texts a to b, slice by slice."""
     for a, b in slices(texts):
         yield a, b, *encoder(path).encode(texts.slice(a, b - a), end_id)
+    give_back()
 
 
 def vocabulary_path(name: str = WORD_VOCABULARY) -> str:

@@ -30,13 +30,13 @@ import pyarrow.compute  # noqa: F401  pa.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import least_hashes, stash
+from .common import give_back, least_hashes, stash
 
 TRAIN_TOXIC, TRAIN_CLEAN, SEED = 3_000, 6_000, 17
 MIN_DOCS, MAX_FEATURES, LEAST_Z, BUCKETS = 3, 60_000, 2.0, 1 << 22
 L1, COUNTERFACTUAL, STEPS = 1.2e-3, 1.0, 300
 #: Cached word scores per worker; a full cache is emptied.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 WORD = re.compile(r"[^\W\d_]+")
 #: Sets of identity terms; terms of one set replace each other in counterfactual sentences.
 IDENTITY_SETS = (
@@ -204,6 +204,7 @@ def _score(batches: Iterable[pa.RecordBatch], model: dict) -> Iterator[pa.Record
             [batch.column("doc_id"), batch.column("held_out"), pa.array(score, pa.float64()), pa.array((score >= 0.5).astype(np.int32))],
             names=["doc_id", "held_out", "score", "predicted"],
         )
+        give_back()
 
 
 def _reject(batches: Iterable[pa.RecordBatch], model: dict) -> Iterator[pa.RecordBatch]:
