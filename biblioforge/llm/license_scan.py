@@ -173,7 +173,9 @@ def train(negatives: list[list[str]] = ()) -> dict:
     common = {g for g, n in Counter(g for grams in negatives for g in grams).items() if n > COMMON * len(negatives)}
     families, names = [UNKNOWN, *TEMPLATES], [g for g in vocabulary() if g not in common]
     where = {g: i for i, g in enumerate(names)}
-    rows = [(ngrams(w), families.index(f), half) for w, f, half in _examples()] + [(g, 0, i % 2) for i, g in enumerate(negatives)]
+    # without paragraphs of a corpus its words stand in for them, each alone
+    unknown = negatives or [[g] for g in names if " " not in g]
+    rows = [(ngrams(w), families.index(f), half) for w, f, half in _examples()] + [(g, 0, i % 2) for i, g in enumerate(unknown)]
     x = [[where[g] for g in grams if g in where] for grams, _, _ in rows]
     labels, half = np.array([k for _, k, _ in rows]), np.array([h for _, _, h in rows])
 
