@@ -15,7 +15,7 @@ from ..operators import authors, journals, merge, persons, references
 from ..operators import relational as R
 from ..operators.geo import extract_countries
 from . import entity_queries, function_queries, source_queries  # noqa: F401  they register their queries
-from .registry import ORACLES, QUERIES, query, t
+from .registry import LCS, ORACLES, QUERIES, query, t
 
 __all__ = ["ORACLES", "QUERIES", "flagship"]
 
@@ -521,7 +521,14 @@ def email_assign(spark, sf):
     return c.select("conv_id", "turn", authors.assign_emails(names, mails).alias("emails"))
 
 
-@query()
+def _points(text: str) -> str:
+    return f"list_transform(string_split({text}, ''), lambda c: unicode(c)::INT)"
+
+
+@query(f"""WITH t AS (SELECT upper(trim(p_name)) AS t, arg_min(b, s) AS target, min(s) AS seq FROM (SELECT p_name, min(p_brand) AS b, min(p_partkey) AS s FROM part WHERE p_partkey % 2 = 0 GROUP BY 1) GROUP BY 1),
+v AS (SELECT DISTINCT upper(trim(replace(p_name, 'e', 'é'))) AS v FROM part WHERE p_partkey % 2 = 1),
+c AS (SELECT *, CASE WHEN v = t THEN 100.0::DOUBLE ELSE 200.0::DOUBLE * {LCS} / (len(v) + len(t)) END AS score FROM (SELECT *, {_points('v')} AS x, {_points('t')} AS y FROM v, t))
+SELECT v AS title, t AS matched, target, score FROM c WHERE score >= 85 QUALIFY row_number() OVER (PARTITION BY v ORDER BY score DESC, seq) = 1""")
 def fuzzy_title(spark, sf):
     p = t(spark, sf, "part")
     titles = p.where("p_partkey % 2 = 0").groupBy(F.col("p_name").alias("title")).agg(F.min("p_brand").alias("target"), F.min("p_partkey").alias("seq"))
@@ -529,7 +536,27 @@ def fuzzy_title(spark, sf):
     return journals.match_titles(values, titles, 85.0)
 
 
-@query()
+def _windows(kind: str, a: str, b: str, where: str) -> str:
+    """SQL: the shorter text beside every window of its length over the longer one, cut short at both ends, that begins or ends with one of its characters."""
+    return f"""SELECT v, t, '{kind}' AS k, a, w AS b FROM (SELECT v, t, a, unnest(list_transform(range(1, len(lo) + len(a)), lambda e: lo[greatest(0, e - len(a)) + 1:e])) AS w
+  FROM (SELECT v, t, CASE WHEN len({a}) <= len({b}) THEN {a} ELSE {b} END AS a, CASE WHEN len({a}) <= len({b}) THEN {b} ELSE {a} END AS lo FROM s WHERE {where})) WHERE w <> '' AND (contains(a, left(w, 1)) OR contains(a, right(w, 1)))"""
+
+
+@query(f"""WITH tt AS (SELECT upper(trim(p_name)) AS t, arg_min(b, q) AS target, min(q) AS seq FROM (SELECT p_name, min(p_brand) AS b, min(p_partkey) AS q FROM part GROUP BY 1) GROUP BY 1),
+p AS (SELECT v, t, target, seq, list_filter(string_split(v, ' '), lambda x: x <> '') AS vw, list_filter(string_split(t, ' '), lambda x: x <> '') AS tw FROM (SELECT DISTINCT upper(trim(p_name || ' extra')) AS v FROM part), tt),
+s AS (SELECT *, greatest(len(v), len(t))::DOUBLE / least(len(v), len(t)) AS lengths, array_to_string(list_sort(vw), ' ') AS vs, array_to_string(list_sort(tw), ' ') AS ts, array_to_string(list_sort(list_distinct(vw)), ' ') AS vu,
+  array_to_string(list_sort(list_distinct(tw)), ' ') AS tu, array_to_string(cw, ' ') AS both_, concat_ws(' ', nullif(array_to_string(cw, ' '), ''), nullif(array_to_string(dv, ' '), '')) AS l, concat_ws(' ', nullif(array_to_string(cw, ' '), ''), nullif(array_to_string(dt, ' '), '')) AS r,
+  cw <> [] AND (dv = [] OR dt = []) AS covered FROM (SELECT *, list_sort(list_distinct(list_filter(vw, lambda x: list_contains(tw, x)))) AS cw, list_sort(list_distinct(list_filter(vw, lambda x: NOT list_contains(tw, x)))) AS dv,
+  list_sort(list_distinct(list_filter(tw, lambda x: NOT list_contains(vw, x)))) AS dt FROM p)),
+need AS (SELECT v, t, 'whole' AS k, v AS a, t AS b FROM s UNION ALL SELECT v, t, 'sort', vs, ts FROM s WHERE lengths < 1.5 UNION ALL SELECT v, t, 'set', l, r FROM s WHERE lengths < 1.5
+  UNION ALL SELECT v, t, 'set', both_, l FROM s WHERE lengths < 1.5 AND both_ <> '' UNION ALL SELECT v, t, 'set', both_, r FROM s WHERE lengths < 1.5 AND both_ <> ''
+  UNION ALL {_windows('part', 'v', 't', 'lengths >= 1.5')} UNION ALL {_windows('words', 'vs', 'ts', 'lengths >= 1.5')} UNION ALL {_windows('words', 'vu', 'tu', "lengths >= 1.5 AND both_ = ''")}),
+d AS (SELECT a, b, 200.0::DOUBLE * {LCS} / (len(a) + len(b)) AS score FROM (SELECT a, b, {_points('a')} AS x, {_points('b')} AS y FROM (SELECT DISTINCT a, b FROM need))),
+g AS (SELECT v, t, max(score) FILTER (k = 'whole') AS whole, coalesce(max(score) FILTER (k = 'sort'), 0) AS sort, coalesce(max(score) FILTER (k = 'set'), 0) AS set_, coalesce(max(score) FILTER (k = 'part'), 0) AS part, coalesce(max(score) FILTER (k = 'words'), 0) AS words
+  FROM need JOIN d USING (a, b) GROUP BY 1, 2),
+c AS (SELECT v, t, target, seq, CASE WHEN v = t THEN 100.0 WHEN lengths < 1.5 THEN greatest(whole, 0.95::DOUBLE * sort, 0.95::DOUBLE * CASE WHEN covered THEN 100 ELSE set_ END)
+  ELSE greatest(whole, scale * part, 0.95::DOUBLE * scale * greatest(words, CASE WHEN both_ <> '' THEN 100 ELSE 0 END)) END AS score FROM (SELECT *, CASE WHEN lengths <= 8 THEN 0.9::DOUBLE ELSE 0.6::DOUBLE END AS scale FROM s JOIN g USING (v, t)))
+SELECT v AS title, t AS matched, target, score FROM c WHERE score >= 85 QUALIFY row_number() OVER (PARTITION BY v ORDER BY score DESC, seq) = 1""")
 def fuzzy_title_weighted(spark, sf):
     p = t(spark, sf, "part")
     titles = p.groupBy(F.col("p_name").alias("title")).agg(F.min("p_brand").alias("target"), F.min("p_partkey").alias("seq"))

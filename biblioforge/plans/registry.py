@@ -6,6 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Length of the longest common subsequence of x and y (lists of code points): per entry of y one row of the table, whose entries are running maxima.
+LCS = """list_max(list_reduce(list_prepend(list_transform(x, lambda c: 0::INT), list_transform(y, lambda c: [c])), lambda r, z:
+  list_transform(range(1, len(x) + 1), lambda j: list_max(list_transform(range(1, j + 1), lambda i: greatest(r[i], CASE WHEN x[i] = z[1] THEN (CASE WHEN i > 1 THEN r[i - 1] ELSE 0 END) + 1 ELSE 0 END)))::INT)))"""
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
