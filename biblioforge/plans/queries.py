@@ -513,7 +513,17 @@ def unify_author_names(spark, sf):
     return authors.unify_names(df)
 
 
-@query()
+@query("""WITH RECURSIVE c AS MATERIALIZED (SELECT row_number() OVER () AS id, conv_id, turn, string_split_regex(text, '\\s+') AS w FROM conversations),
+n AS MATERIALIZED (SELECT id, conv_id, turn, list_transform(list_reverse(w)[1:len(w) - 1], lambda x: lower(x) || '@x.org') AS mails,
+  list_transform(list_reverse(w)[1:len(w) - 1], lambda x: split_part(lower(x) || '@x.org', '@', 1)) AS users, list_transform(w, lambda x: lower(replace(replace(upper(x), 'ß', 'SS'), 'ẞ', 'SS') || ', A')) AS low FROM c),
+p AS MATERIALIZED (SELECT id, users, list_transform(low, lambda x: {'last': trim(split_part(x, ',', 1)), 'initial': left(trim(substr(x, strpos(x, ',') + 1)), 1),
+  'long': list_filter(string_split_regex(trim(replace(x, ',', ' ')), '\\s+'), lambda y: length(y) > 2)}) AS names FROM n),
+walk AS (SELECT id, 0 AS k, range(1, len(users) + 1) AS rest, []::BIGINT[] AS taken FROM p
+  UNION ALL SELECT id, k + 1, CASE WHEN best IS NULL THEN rest ELSE list_filter(rest, lambda i: i <> -best.i) END, list_append(taken, -best.i) FROM
+  (SELECT walk.*, list_max(list_filter(list_transform(rest, lambda i: {'p': CASE WHEN name.last <> '' AND contains(users[i], name.last) THEN 3 ELSE 0 END + CASE WHEN name.initial <> '' AND contains(users[i], name.initial) THEN 2 ELSE 0 END
+    + len(list_filter(name.long, lambda y: contains(users[i], y))), 'i': -i}), lambda b: b.p > 0)) AS best FROM (SELECT walk.*, users, names[k + 1] AS name FROM walk JOIN p USING (id) WHERE k < len(names)) walk))
+SELECT conv_id, turn, list_transform(range(1, len(taken) + 1), lambda j: CASE WHEN len(mails) = len(low) THEN mails[j] WHEN taken[j] IS NOT NULL THEN mails[taken[j]]
+  ELSE mails[rest[len(list_filter(taken[1:j], lambda o: o IS NULL))]] END) AS emails FROM walk JOIN n USING (id) WHERE k = len(low)""")
 def email_assign(spark, sf):
     c = t(spark, sf, "conversations").select("conv_id", "turn", F.split("text", r"\s+").alias("w"))
     names = F.transform("w", lambda w: F.concat(F.upper(w), F.lit(", A")))
