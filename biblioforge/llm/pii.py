@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import least_hashes, stash
+from .common import drop_stash, least_hashes, new_path
 
 KINDS = ("email", "ip", "card", "phone")
 NONE = 4
@@ -385,6 +385,8 @@ CONTEXT_WORD = re.compile(r"[^\W\d_]+")
 SORTS = {"number": (3,), "masked": (2, 3), "address": (0,)}
 #: Negative copies of a hidden mention behind words from elsewhere; characters looked at before a candidate; uses from which on a context word counts.
 ELSEWHERE, LOOK_BACK, LEAST_USES, PRIOR_PAIRS = 3, 40, 5, 10
+#: Mentions, and candidates, of one document that the second field learns from.
+MOST_SPANS = 40
 
 
 def candidates(text: str, known: list[tuple[int, int, int]]) -> list[tuple[str, int, int, str]]:
@@ -499,13 +501,18 @@ def context_spans(text: str, known: list[tuple[int, int, int]], weights: dict, a
     return out
 
 
+def _spread(spans: list) -> list:
+    """At most MOST_SPANS of them, evenly over the text."""
+    return spans[:: max(1, -(-len(spans) // MOST_SPANS))]
+
+
 def _context_examples(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[str, int, int, int, str]]:
     """Rows (features, kind, -1, -1, sort of row): hidden base mentions, the same behind other words or none, and candidates that are none; and
-    the kinds of linked pairs."""
+    how often kinds of spans and of linked pairs occur."""
     found, begins = candidates(text, base), sorted(a for _, a, _ in base)
-    for sort, a, b, _ in found:
+    for sort, a, b, _ in _spread(found):
         yield "\t".join(candidate_shape(sort, text[a:b]) + context(text, a)), NONE, -1, -1, "candidate"
-    for n, (k, a, b) in enumerate(base):
+    for n, (k, a, b) in enumerate(_spread(base)):
         form = hidden(k, text[a:b])
         if form:
             shape_of = candidate_shape(*form)
@@ -518,11 +525,10 @@ def _context_examples(text: str, base: list[tuple[int, int, int]]) -> Iterator[t
                 if i == len(begins) or begins[i] > at + 2 * LOOK_BACK:  # far from what announces a mention
                     yield "\t".join(shape_of + context(text, at)), NONE, -1, -1, "candidate"
     spans = sorted([(a, b, k) for k, a, b in base] + [(a, b, NONE) for _, a, b, _ in found])
-    for _, _, k in spans:
-        yield "", -1, k, -1, "pair"
-    for left, right in zip(spans, spans[1:]):
-        if linked(text, left[:2], right[:2]):
-            yield "", -1, left[2], right[2], "pair"
+    pairs = Counter((k, -1) for _, _, k in spans)
+    pairs.update((left[2], right[2]) for left, right in zip(spans, spans[1:]) if linked(text, left[:2], right[:2]))
+    for (left, right), times in sorted(pairs.items()):
+        yield str(times), -1, left, right, "pair"
 
 
 def fit_context(examples: list[tuple[list[str], int]], pairs: list[tuple[int, int, int]]) -> dict[str, list[float]]:
@@ -584,16 +590,19 @@ def train(docs: DataFrame, docs_bound: int = TRAIN_DOCS) -> dict[str, list[float
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     some = least_hashes(rows.where(F.col("text").rlike("[0-9@]")).select("doc_id"), docs.count(), F.xxhash64("doc_id", F.lit(SEED)), ["doc_id"], docs_bound)
     texts = rows.where(F.col("text").isNotNull()).join(F.broadcast(some), "doc_id", "left_semi")
-    found = stash(texts.mapInArrow(_examples, "token string, kind int, before int, after int, sort string"), "personal-examples")
+    spark, schema, path = docs.sparkSession, "token string, kind int, before int, after int, sort string", new_path(docs.sparkSession, "personal-examples")
+    texts.mapInArrow(_examples, schema).write.parquet(path)
+    found = spark.read.schema(schema).parquet(path)
 
     def chosen(sort: str) -> list:
         return found.where((F.col("kind") >= 0) & (F.col("sort") == sort)).orderBy(F.xxhash64("token", "kind"), "token", "kind", "before", "after").limit(TRAIN_TOKENS).collect()
 
     counted = chosen("node")
     weights = fit_shapes([(shape(r.token) + [f"before{r.before}"] * (r.before >= 0) + [f"after{r.after}"] * (r.after >= 0), r.kind) for r in counted])
-    pairs = found.where("sort = 'pair'").groupBy("before", "after").agg(F.count(F.lit(1)).alias("n")).collect()  # one row per pair of kinds
+    pairs = found.where("sort = 'pair'").groupBy("before", "after").agg(F.sum(F.col("token").cast("long")).alias("n")).collect()  # one row per pair of kinds
     second = fit_context([(r.token.split("\t"), r.kind) for r in chosen("candidate")], [(r.before, r.after, r.n) for r in pairs])
     hubs = found.where("kind < 0 AND sort = 'node'").groupBy("token").agg(F.sum("before").alias("nodes"), F.sum("after").alias("agreeing")).collect()  # one row per sort
+    drop_stash(spark, path)
     return weights | {f"hub {r.token}": [coupling_of(r.nodes, r.agreeing)] for r in hubs} | second if weights else {}
 
 
