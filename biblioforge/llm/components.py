@@ -17,7 +17,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     else:
         around = edges
     least = around.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    moved = around.join(least, "u")
+    moved = around.join(least.hint("merge"), "u")  # never built as a table in the driver, however well the edges compress
     if large:
         moved = moved.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
@@ -31,7 +31,8 @@ def connected_components(links: DataFrame) -> DataFrame:
     """links (a, b) -> (node, root): root is the least node of the component. Nodes without links do not appear.
 
     Rounds stop when a large-star and a small-star leave the edge set unchanged; each round's edges are written to the
-    shared folder, so nothing depends on a long lineage or on an executor's cache.
+    shared folder, so nothing depends on a long lineage or on an executor's cache. Both sides of a join grow with the links, so
+    neither is broadcast: a broadcast table is built in the driver, and a file's size says little about its rows.
     """
     spark = links.sparkSession
     edges = links.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()

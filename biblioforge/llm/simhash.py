@@ -103,7 +103,7 @@ def candidate_pairs(prints: DataFrame, list_bytes: int = LIST_BYTES, min_shared:
     own = F.get(F.array(*[F.lit(sum(1 << p for p in s)) for s in sets]), number.cast("int"))
     # no shared position outside the set may precede the set's last one
     last = F.get(F.array(*[F.lit((1 << (max(s) + 1)) - 1) for s in sets]), number.cast("int"))
-    return a.join(b, (a["key"] == b["key"]) & (F.col("a") < F.col("b")) & (tally >= min_shared) & (mask.bitwiseAND(last) == own)).select(
+    return a.join(b.hint("merge"), (a["key"] == b["key"]) & (F.col("a") < F.col("b")) & (tally >= min_shared) & (mask.bitwiseAND(last) == own)).select(
         "a", "b", tally.alias("shared")
     )
 
@@ -113,14 +113,15 @@ def _classes(prints: DataFrame, max_bits: int) -> DataFrame:
     classes = stash(prints.select("fp").distinct(), "fingerprint-classes")
     links = stash(near_pairs(classes, max_bits), "fingerprint-links")
     grouped = connected_components(links)  # node, root over fingerprints that have links
-    return classes.join(grouped, classes["fp"] == grouped["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"))
+    return classes.join(grouped.hint("merge"), classes["fp"] == grouped["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"))
 
 
 def _by_component(prints: DataFrame, classes: DataFrame, best) -> DataFrame:
     """fp, best: the aggregate over all rows of its component. Rows are combined per fingerprint first, so copies weigh nothing."""
     per_print = prints.groupBy("fp").agg(best.alias("best"))
-    labelled = stash(classes.join(per_print, "fp"), "fingerprint-labels")
-    return stash(labelled.select("fp", "root").join(labelled.groupBy("root").agg(F.min("best").alias("best")), "root").select("fp", "best"), "fingerprint-components")
+    labelled = stash(classes.join(per_print.hint("merge"), "fp"), "fingerprint-labels")
+    of_root = labelled.groupBy("root").agg(F.min("best").alias("best"))
+    return stash(labelled.select("fp", "root").join(of_root.hint("merge"), "root").select("fp", "best"), "fingerprint-components")
 
 
 def simhash_components(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:

@@ -3,7 +3,7 @@ import itertools
 
 from pyspark.sql import functions as F
 
-from biblioforge.llm import exact_dedup, simhash
+from biblioforge.llm import components, exact_dedup, simhash
 from biblioforge.llm.components import connected_components
 
 
@@ -174,3 +174,12 @@ def test_components_of_a_long_chain_and_a_star(spark):
     out = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert out == {**{i: -5 for i in range(201)}, **{1000 + i: 1000 for i in range(50)}, -5: -5}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_components_build_no_table_in_the_driver(spark):
+    links = spark.createDataFrame([(2, 1), (3, 2), (9, 8)], "u long, v long")
+    prints = spark.createDataFrame([(1,), (3,), (1 << 40,)], "fp long")
+    frames = [components._star(components._star(links, True), False), simhash.near_pairs(prints), simhash._classes(prints, 4)]
+    for frame in frames:
+        assert "Broadcast" not in frame._jdf.queryExecution().executedPlan().toString()
+    assert {tuple(r) for r in frames[2].collect()} == {(1, 1), (3, 1), (1 << 40, 1)}
