@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterable
 from functools import lru_cache
 
 import pyarrow as pa
@@ -80,78 +79,29 @@ def ascii_upper(x: Column | str, strip: bool = True) -> Column:
     return or_text(strip_blank(out) if strip else out)
 
 
+@lru_cache(maxsize=1)
+def _marks() -> re.Pattern:
+    return re.compile("[" + "".join(chr(c) for c in range(0x300, 0x110000) if unicodedata.combining(chr(c))) + "]+")
+
+
 @F.arrow_udf(T.StringType())
 def _fold_any(texts: pa.Array) -> pa.Array:
     """NFKD without combining marks, upper case, of the distinct texts of a batch."""
-    coded = texts.dictionary_encode()
-    folded = [None if t is None else "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)).upper() for t in coded.dictionary.to_pylist()]
+    coded, marks = texts.dictionary_encode(), _marks()
+    folded = [None if t is None else marks.sub("", unicodedata.normalize("NFKD", t)).upper() for t in coded.dictionary.to_pylist()]
     return pa.array(folded, pa.string()).take(coded.indices)
 
 
 def fold_upper(x: Column | str, strip: bool = True) -> Column:
     """Compatibility decomposition without combining marks, upper case; letters of other scripts stay. NULL stays NULL.
 
-    Texts of characters that the native table folds in the same way stay in the JVM; only others go to Python, in Arrow batches."""
-    odd = _c(x).rlike(_beyond_table())
-    out = F.when(odd, _fold_any(F.when(odd, _c(x)))).otherwise(_fold_native(x))
+    ASCII texts stay in the JVM; only others go to Python, in Arrow batches, where a text takes one pass: native columns would need a pass
+    for every letter of several, and a pattern of many hundred ranges looks at all of them for every character."""
+    ascii_only = F.octet_length(_c(x)) == F.length(_c(x))
+    out = F.when(ascii_only, F.upper(_c(x))).otherwise(_fold_any(F.when(~ascii_only, _c(x))))
     return strip_blank(out) if strip else out
 
 
-@lru_cache(maxsize=1)
-def _beyond_table() -> str:
-    """A pattern of the characters that _fold_native does not fold as Unicode's data says."""
-    source, target, longer = _latin_fold()
-    ones = dict(zip(source, target))
-
-    def native(char: str) -> str:
-        out = "".join(ones.get(c, c) for c in longer.get(char, char))
-        return "".join(c for c in out if not unicodedata.combining(c)).upper()
-
-    def wanted(char: str) -> str:
-        return "".join(c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c)).upper()
-
-    fine = (c for c in range(0x80, 0x10000) if not 0xD800 <= c < 0xE000 and native(chr(c)) == wanted(chr(c)))
-    return rf"[^\x00-\x7F{_ranges(fine)}]"
-
-
-@lru_cache(maxsize=1)
-def _marks() -> str:
-    """A pattern of the combining marks; the JVM's own classes may be of another version of Unicode."""
-    return f"[{_ranges(c for c in range(0x300, 0x10000) if unicodedata.combining(chr(c)))}]"
-
-
-def _ranges(codes: Iterable[int]) -> str:
-    """Rising code points as the inside of a character class."""
-    found: list[list[int]] = []
-    for c in codes:
-        if found and found[-1][1] == c - 1:
-            found[-1][1] = c
-        else:
-            found.append([c, c])
-    return "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in found)
-
-
-def _fold_native(x: Column | str) -> Column:
-    source, target, longer = _latin_fold()
-    out = _c(x)
-    for char, text in longer.items():
-        out = F.replace(out, F.lit(char), F.lit(text))
-    return _unless_ascii(_c(x), F.upper(F.regexp_replace(F.translate(out, source, target), _marks(), "")))
-
-
-@lru_cache(maxsize=1)
-def _latin_fold() -> tuple[str, str, dict[str, str]]:
-    """The part of the compatibility table that Latin, Greek and Cyrillic text needs, and the common ligatures."""
-    ones, longer = {}, {}
-    for code in [*range(0xA0, 0x530), *range(0x1E00, 0x2000), *range(0xFB00, 0xFB07), *range(0xFF01, 0xFF5F)]:
-        char = chr(code)
-        out = _plain(char, "NFKD")
-        if out and out != char:
-            (ones if len(out) == 1 else longer)[char] = out
-    longer = {c: t for c, t in longer.items() if c.isalpha()}
-    return "".join(ones), "".join(ones.values()), longer
-
-
 def snake_label(label: str) -> str:
     """A column label in lower snake case."""
     out = re.sub(r"[()]", "", label.strip().lower()).replace(" ", "_")

@@ -219,3 +219,10 @@ def test_folding_equals_unicode_data(spark):
     wrong = [(texts[r.i], r.f, fold(texts[r.i])) for r in df.select("i", T.fold_upper("x", strip=False).alias("f")).collect() if r.f != fold(texts[r.i])]
     # the JVM's upper case may know other versions of Unicode than Python's
     assert len(wrong) <= 5, wrong[:20]
+
+
+def test_folding_takes_no_pass_per_letter(spark):
+    """A plan with a replacement for every letter, or a class of all letters, runs over each text hundreds of times."""
+    df = spark.createDataFrame([("García-López, Ana María",)], "x string")
+    for column in (T.fold_upper("x"), I.name_key("x"), I.clean_sr("x")):
+        assert len(df.select(column.alias("f"))._jdf.queryExecution().optimizedPlan().toString()) < 5_000
