@@ -30,7 +30,8 @@ def reference_author(x: Column | str) -> Column:
 
 
 def reference_year(x: Column | str) -> Column:
-    return blank_to_null(F.regexp_extract(_c(x), r"\b(?:19|20)\d{2}\b", 0))
+    """The first year outside the DOI, whose suffix may look like one."""
+    return blank_to_null(F.regexp_extract(F.regexp_replace(_c(x), DOI, ""), r"\b(?:19|20)\d{2}\b", 0))
 
 
 def reference_journal(x: Column | str) -> Column:

@@ -226,3 +226,9 @@ def test_folding_takes_no_pass_per_letter(spark):
     df = spark.createDataFrame([("García-López, Ana María",)], "x string")
     for column in (T.fold_upper("x"), I.name_key("x"), I.clean_sr("x")):
         assert len(df.select(column.alias("f"))._jdf.queryExecution().optimizedPlan().toString()) < 5_000
+
+
+def test_year_of_a_reference_is_not_taken_from_its_doi(spark):
+    text = F.lit("Li [B.], J 5-LOW, V2093, DOI 10.1234/AB.2093")
+    row = spark.range(1).select(P.reference_year(text).alias("y"), P.reference_journal(text).alias("j"), P.reference_year(F.lit("LI B, DOI 10.1234/AB.2093, 1999")).alias("after")).first()
+    assert tuple(row) == (None, "J 5-LOW", "1999")
