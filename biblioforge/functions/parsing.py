@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -211,39 +213,79 @@ AUTHOR_PART = r"^[A-Z][A-Za-z'\-]+\s+(?:[A-Z]\.?)+$"
 AUTHOR_BLOCK = r"^((?:[A-Z][A-Za-z'’\-]*(?:\s+[A-Z][A-Za-z'’\-]*)*\s+[A-Z][A-Z.\-]*,\s*)+)"
 
 
+def _stepwise(x: Column, *steps: Callable[[Column], Column]) -> Column:
+    """x taken through the steps one after another. A step may use its value often and still has it computed once; written out as one
+    expression, the value would stand there, and be computed, for every use."""
+    for step in steps:
+        x = F.get(F.transform(F.array(x), step), F.lit(0))
+    return x
+
+
 def scopus_reference_fields(x: Column | str, countries: list[str]) -> dict[str, Column]:
     """Grammar of references that begin with 'SURNAME A.B.' parts: authors, doi, year, pages, volume, journal, title."""
-    parts = F.transform(F.split(_c(x), ","), lambda p: F.trim(p))
-    hits = F.transform(parts, lambda p: p.rlike(AUTHOR_PART))
-    stop = F.array_position(hits, F.lit(False)).cast("int")
-    # no stop: every part is an author, and the last one is left out; a stop at once: the first part is taken as it is
-    n = F.when(stop == 0, F.size(parts) - 1).when(stop == 1, F.lit(1)).otherwise(stop - 1)
-    rest_from = F.when(stop == 0, F.size(parts) + 1).when(stop == 1, F.lit(2)).otherwise(stop)
-    rest = F.array_join(F.slice(parts, rest_from, F.size(parts)), ", ")
-    authors = F.array_join(F.slice(parts, F.lit(1), F.greatest(n, F.lit(0))), ";")
-    named = F.regexp_extract(rest, r"(?i)DOI:\s*(10\.\S+)", 1)
-    raw = F.when(named != "", named).otherwise(F.regexp_extract(rest, r"(10\.\S+)", 1))
-    rest = F.trim(F.regexp_replace(F.when(raw != "", F.replace(rest, raw, F.lit(""))).otherwise(rest), r"(?i)DOI:\s*", ""), F.lit(" ,."))
-    doi = blank_to_null(F.rtrim(F.regexp_replace(F.coalesce(F.try_url_decode(F.replace(raw, F.lit("+"), F.lit("%2B"))), raw), r"[.,]+$", "")))
-    bracketed = F.regexp_extract(rest, r"\((\d{4})\)", 1)
-    bare = F.regexp_extract(rest, r"\b(\d{4})\b", 1)
-    bare = F.when(bare.try_cast("int").between(1800, 2030), bare)
-    year = F.coalesce(blank_to_null(bracketed), bare)
-    rest = F.when(bracketed != "", F.regexp_replace(rest, r"\(\d{4}\)", "")).when(bare.isNotNull(), F.replace(rest, bare, F.lit(""))).otherwise(rest)
-    pages = blank_to_null(F.regexp_extract(rest, r"PP\.\s*([\d\-–]+)", 1))
-    rest = F.regexp_replace(rest, r"PP\.\s*[\d\-–]+", "")
-    pieces = F.filter(F.transform(F.split(rest, ","), lambda p: F.trim(p, F.lit(" ."))), lambda p: p != "")
     known = [c.upper() for c in countries]
-    tail = F.transform(pieces, lambda p: p.rlike(r"^\d+([\-–]\d+)?$") | F.upper(p).isin(*known))
-    # the journal is the last piece that is neither a number nor a country
-    keep = F.coalesce(F.array_max(F.transform(tail, lambda t, i: F.when(~t, i + 1))), F.lit(0))
-    numbers = F.filter(F.slice(pieces, keep + 1, F.greatest(F.size(pieces) - keep, F.lit(0))), lambda p: p.rlike(r"^\d+([\-–]\d+)?$"))
-    titles = F.filter(F.slice(pieces, F.lit(1), F.greatest(keep - 1, F.lit(0))), lambda p: ((F.upper(p) == p) & p.rlike("[A-Z]")) | F.contains(p, F.lit(":")))
-    title = blank_to_null(F.array_join(titles, ", "))
-    return {
-        "author": blank_to_null(authors), "title": title, "source_title": F.get(pieces, keep - 1), "year": year,
-        "volume": F.get(numbers, F.size(numbers) - 1), "pages": pages, "doi": doi,
-    }
+    named = lambda **columns: F.struct(*[c.alias(n) for n, c in columns.items()])
+
+    def stop(parts):
+        hits = F.transform(parts, lambda p: p.rlike(AUTHOR_PART))
+        return named(parts=parts, stop=F.array_position(hits, F.lit(False)).cast("int"))
+
+    def split(s):
+        parts, stop = s["parts"], s["stop"]
+        # no stop: every part is an author, and the last one is left out; a stop at once: the first part is taken as it is
+        n = F.when(stop == 0, F.size(parts) - 1).when(stop == 1, F.lit(1)).otherwise(stop - 1)
+        rest_from = F.when(stop == 0, F.size(parts) + 1).when(stop == 1, F.lit(2)).otherwise(stop)
+        return named(authors=F.array_join(F.slice(parts, F.lit(1), F.greatest(n, F.lit(0))), ";"), rest=F.array_join(F.slice(parts, rest_from, F.size(parts)), ", "))
+
+    def find_doi(s):
+        labelled = F.regexp_extract(s["rest"], r"(?i)DOI:\s*(10\.\S+)", 1)
+        return named(authors=s["authors"], rest=s["rest"], raw=F.when(labelled != "", labelled).otherwise(F.regexp_extract(s["rest"], r"(10\.\S+)", 1)))
+
+    def cut_doi(s):
+        rest, raw = s["rest"], s["raw"]
+        rest = F.trim(F.regexp_replace(F.when(raw != "", F.replace(rest, raw, F.lit(""))).otherwise(rest), r"(?i)DOI:\s*", ""), F.lit(" ,."))
+        doi = F.rtrim(F.regexp_replace(F.coalesce(F.try_url_decode(F.replace(raw, F.lit("+"), F.lit("%2B"))), raw), r"[.,]+$", ""))
+        return named(authors=s["authors"], doi=doi, rest=rest)
+
+    def find_year(s):
+        bare = F.regexp_extract(s["rest"], r"\b(\d{4})\b", 1)
+        return named(authors=s["authors"], doi=s["doi"], rest=s["rest"], bracketed=F.regexp_extract(s["rest"], r"\((\d{4})\)", 1), bare=F.when(bare.try_cast("int").between(1800, 2030), bare))
+
+    def cut_year(s):
+        rest, bracketed, bare = s["rest"], s["bracketed"], s["bare"]
+        rest = F.when(bracketed != "", F.regexp_replace(rest, r"\(\d{4}\)", "")).when(bare.isNotNull(), F.replace(rest, bare, F.lit(""))).otherwise(rest)
+        return named(authors=s["authors"], doi=s["doi"], year=F.coalesce(blank_to_null(bracketed), bare), rest=rest)
+
+    def cut_pages(s):
+        pieces = F.split(F.regexp_replace(s["rest"], r"PP\.\s*[\d\-–]+", ""), ",")
+        return named(
+            authors=s["authors"], doi=s["doi"], year=s["year"], pages=F.regexp_extract(s["rest"], r"PP\.\s*([\d\-–]+)", 1),
+            pieces=F.filter(F.transform(pieces, lambda p: F.trim(p, F.lit(" ."))), lambda p: p != ""),
+        )
+
+    def find_journal(s):
+        tail = F.transform(s["pieces"], lambda p: p.rlike(r"^\d+([\-–]\d+)?$") | F.upper(p).isin(*known))
+        # the journal is the last piece that is neither a number nor a country
+        keep = F.coalesce(F.array_max(F.transform(tail, lambda t, i: F.when(~t, i + 1))), F.lit(0))
+        return named(authors=s["authors"], doi=s["doi"], year=s["year"], pages=s["pages"], pieces=s["pieces"], keep=keep)
+
+    def lists(s):
+        pieces, keep = s["pieces"], s["keep"]
+        numbers = F.filter(F.slice(pieces, keep + 1, F.greatest(F.size(pieces) - keep, F.lit(0))), lambda p: p.rlike(r"^\d+([\-–]\d+)?$"))
+        titles = F.filter(F.slice(pieces, F.lit(1), F.greatest(keep - 1, F.lit(0))), lambda p: ((F.upper(p) == p) & p.rlike("[A-Z]")) | F.contains(p, F.lit(":")))
+        return named(
+            authors=s["authors"], doi=s["doi"], year=s["year"], pages=s["pages"], numbers=numbers, title=F.array_join(titles, ", "), source_title=F.get(pieces, keep - 1)
+        )
+
+    def fields(s):
+        return named(
+            author=blank_to_null(s["authors"]), title=blank_to_null(s["title"]), source_title=s["source_title"], year=s["year"],
+            volume=F.get(s["numbers"], F.size(s["numbers"]) - 1), pages=blank_to_null(s["pages"]), doi=blank_to_null(s["doi"]),
+        )
+
+    parts = F.transform(F.split(_c(x), ","), lambda p: F.trim(p))
+    found = _stepwise(parts, stop, split, find_doi, cut_doi, find_year, cut_year, cut_pages, find_journal, lists, fields)
+    return {n: found[n] for n in ("author", "title", "source_title", "year", "volume", "pages", "doi")}
 
 
 def split_authors_title(x: Column | str) -> tuple[Column, Column]:

@@ -232,3 +232,10 @@ def test_year_of_a_reference_is_not_taken_from_its_doi(spark):
     text = F.lit("Li [B.], J 5-LOW, V2093, DOI 10.1234/AB.2093")
     row = spark.range(1).select(P.reference_year(text).alias("y"), P.reference_journal(text).alias("j"), P.reference_year(F.lit("LI B, DOI 10.1234/AB.2093, 1999")).alias("after")).first()
     assert tuple(row) == (None, "J 5-LOW", "1999")
+
+
+def test_reference_fields_compute_each_step_once(spark):
+    """Written out, the rest of a reference stood in its own expression thousands of times."""
+    df = spark.createDataFrame([("SMITH J., A TITLE: PART, J OLD, 12, PP. 3-9, (1999)",)], "x string")
+    plan = df.select(P.scopus_reference_fields("x", ["France"])["volume"].alias("v"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(P.AUTHOR_PART) == 1
