@@ -235,3 +235,12 @@ def test_rows_of_several_files_keep_their_order(spark, tmp_path):
         (tmp_path / f"f{i}.csv").write_text("k,t\n" + "".join(f'{i * 100 + j},"a\nb"\n' for j in range(rows)))
     got = [int(r.k) for r in csv_rows.read_csv(spark, str(tmp_path)).orderBy("seq").collect()]
     assert got == [i * 100 + j for i, rows in enumerate((3, 40, 7)) for j in range(rows)]
+
+
+def test_citations_are_cleaned_in_one_pass(spark):
+    """Edges are shuffled once, to be made distinct; joins on cleaned keys shuffled them three times more."""
+    edges = spark.createDataFrame([("A1, 2001, J", "B, 1999 , K"), ("A1,2001.0,J", "b, 1999, K"), ("-", "C, 1, D"), ("A2", "1999"), ("A3", None), (None, "D, 1999")], "SR string, SR_ref string")
+    primary = spark.createDataFrame([], "SR_old string, SR_primary string")
+    out = merge.merge_citations(edges, edges, primary)
+    assert {tuple(r) for r in out.collect()} == {("A1, 2001, J", "B, 1999, K")}
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 1
