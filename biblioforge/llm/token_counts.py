@@ -1,9 +1,9 @@
 """Token counts under a unigram model, by dynamic programming shared over a trie of pre-tokens.
 
-The pieces are those of a public vocabulary, which comes without unigram scores. The scores are fitted here by hard EM on a bounded
-sample: the words of the SAMPLE_DOCS documents with the least seeded hashes, at most SAMPLE_WORDS distinct ones of up to LONG
-characters. Each round segments them by the current scores (first: the Zipf-Mandelbrot law of a piece's rank) and sets a
-piece's log-probability from how often it was used, smoothed with the first scores. A pre-token is a run of characters other than
+The pieces are those of a public vocabulary, which comes without unigram scores. The scores are fitted here by hard EM on all words of all
+documents: distinct words are counted over the cluster once, and each round segments them there by the current scores (first: the
+Zipf-Mandelbrot law of a piece's rank), sums how often each piece was used, and sets its log-probability from that, smoothed with the
+first scores. The driver sees the uses of the vocabulary's pieces alone. A pre-token is a run of characters other than
 ASCII blanks, with a leading word mark; its count is the number of pieces in its best segmentation: highest summed score,
 then fewest pieces; a character that no piece covers falls back to its UTF-8 bytes.
 
@@ -11,7 +11,8 @@ A batch is split and dictionary-encoded by Arrow; its distinct pre-tokens, sorte
 level with numpy: a node is a distinct prefix, its best score is computed once from those of its ancestors, and
 the count of a pre-token is stored at its terminal node. A node also carries the state of the vocabulary's own trie for every start
 before it, so a piece is recognised by one step from its parent's state. Pre-tokens of over LONG characters, which share
-next to nothing, run through the same recursion alone. Nothing is shuffled.
+next to nothing, run through the same recursion alone. Counting shuffles nothing; the fit shuffles distinct words and
+uses of pieces.
 
 Rules for odd input: null text counts as empty and has 0 words and 0 tokens; a null doc_id stays null; very long words are segmented
 like others; repeated rows are counted alike; an empty table gives no rows; extra columns are ignored.
@@ -31,15 +32,17 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import least_hashes
+from .common import drop_stash, least_hashes, new_path
 from .tokens import slices
 
 VOCABULARY = "piece_bpe_32k.model"
 MARK = "▁"
 #: First scores, Zipf-Mandelbrot: log p(rank) = -EXPONENT * log(rank + SHIFT) + constant. A byte scores as UNKNOWN.
 EXPONENT, SHIFT, UNKNOWN = 1.0, 2.7, -20.0
-#: The fit's bounds: documents, distinct words; rounds; weight of the first scores, in pieces.
-SAMPLE_DOCS, SAMPLE_WORDS, SEED, ROUNDS, SMOOTHING = 4_000, 200_000, 23, 4, 20_000.0
+#: Rounds of the fit; weight of the first scores, in pieces.
+ROUNDS, SMOOTHING = 4, 20_000.0
+#: Bounds of sample_words, which no query uses: documents, distinct words.
+SAMPLE_DOCS, SAMPLE_WORDS, SEED = 4_000, 200_000, 23
 #: Characters up to which a pre-token goes in the trie; words that a worker keeps with their counts.
 LONG, CACHE_WORDS = 64, 400_000
 BLANKS = r"[^\x20\x09-\x0D]+"
@@ -116,7 +119,7 @@ class TrieCounter:
             out[short] = self._trie([MARK + words[i] for i in short], None if uses is None else uses[short], used)
         for i in order:
             if len(words[i]) > LONG:
-                out[i] = self._alone(MARK + words[i])
+                out[i] = self._alone(MARK + words[i], 0.0 if uses is None else float(uses[i]), used)
         return out, used
 
     def _trie(self, words: list[str], uses: np.ndarray | None, used: dict[str, float]) -> np.ndarray:
@@ -196,8 +199,8 @@ class TrieCounter:
             piece = self.vocabulary.pieces[s]
             used[piece] = used.get(piece, 0.0) + float(totals[s])
 
-    def _alone(self, word: str) -> int:
-        """Pieces of one long word, by the same recursion, in memory linear in its length."""
+    def _alone(self, word: str, n_uses: float, used: dict[str, float]) -> int:
+        """Pieces of one long word, by the same recursion, in memory linear in its length; adds n_uses to those on its best path."""
         v = self.vocabulary
         codes = np.frombuffer(word.encode("utf-32-le"), np.uint32).astype(np.int64)
         n = len(codes)
@@ -213,25 +216,33 @@ class TrieCounter:
             s = v.score[state]
             for i, x in zip(at[s > -np.inf].tolist(), s[s > -np.inf].tolist()):
                 hits[i + length].append((i, x))
-        sizes = char_bytes(codes).tolist()
+        sizes, came = char_bytes(codes).tolist(), [-1] * (n + 1)  # came: where the piece that ends there begins
         for end in range(1, n + 1):
             for start, s in hits[end]:
                 total, k = score[start] + s, pieces[start] + 1
                 if total > score[end] or total == score[end] and k < pieces[end]:
-                    score[end], pieces[end] = total, k
+                    score[end], pieces[end], came[end] = total, k, start
             if not hits[end]:
                 score[end], pieces[end] = score[end - 1] + UNKNOWN * sizes[end - 1], pieces[end - 1] + sizes[end - 1]
             hits[end] = []
+        end = n if n_uses else 0
+        while end:
+            if came[end] >= 0:
+                used[word[came[end] : end]] = used.get(word[came[end] : end], 0.0) + n_uses
+            end = came[end] if came[end] >= 0 else end - 1
         return pieces[n]
 
 
+def _estimate(first: dict[str, float], used: dict[str, float], smoothing: float) -> dict[str, float]:
+    total = sum(used.values()) + smoothing
+    return {p: math.log((used.get(p, 0.0) + smoothing * math.exp(s)) / total) for p, s in first.items()}
+
+
 def fit_scores(first: dict[str, float], words: list[str], uses: np.ndarray, rounds: int = ROUNDS, smoothing: float = SMOOTHING) -> dict[str, float]:
     """Hard EM: log-probabilities of the pieces from their uses in the best segmentations of the words."""
     scores = first
     for _ in range(rounds if words else 0):
-        _, used = TrieCounter(scores).count(words, uses)
-        total = sum(used.values()) + smoothing
-        scores = {p: math.log((used.get(p, 0.0) + smoothing * math.exp(s)) / total) for p, s in first.items()}
+        scores = _estimate(first, TrieCounter(scores).count(words, uses)[1], smoothing)
     return scores
 
 
@@ -245,9 +256,45 @@ def sample_words(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_words:
     return [r.w for r in found], np.array([r.n for r in found], np.float64)
 
 
-def train(docs: DataFrame, vocabulary: str | None = None) -> dict[str, float]:
-    """Unigram scores of the vocabulary's pieces, fitted on the sample."""
-    return fit_scores(zipf_scores(load_pieces(vocabulary or public_tokenizers.path(VOCABULARY))), *sample_words(docs))
+def _distinct(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = pc.fill_null(batch.column("text"), "")
+        for a, b in slices(texts):
+            counted = pc.value_counts(pc.ascii_split_whitespace(texts.slice(a, b - a)).flatten())
+            found = pa.RecordBatch.from_arrays([counted.field("values"), counted.field("counts")], names=["w", "n"])
+            yield found.filter(pc.not_equal(found.column("w"), ""))
+
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """w, n: every distinct word of all texts and how often it occurs, sorted within partitions so that neighbours share prefixes."""
+    words = docs.select(F.col("text").cast("string")).mapInArrow(_distinct, "w string, n long")
+    return words.groupBy("w").agg(F.sum("n").alias("n")).sortWithinPartitions("w")
+
+
+def _uses(batches: Iterable[pa.RecordBatch], scores: dict[str, float]) -> Iterator[pa.RecordBatch]:
+    """How often the best segmentations of a task's words use each piece."""
+    counter, total = TrieCounter(scores), {}
+    for batch in batches:
+        _, used = counter.count(batch.column("w").to_pylist(), batch.column("n").to_numpy().astype(np.float64))
+        for piece, n in used.items():
+            total[piece] = total.get(piece, 0) + int(n)
+    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], names=["piece", "n"])
+
+
+def train(docs: DataFrame, vocabulary: str | None = None, rounds: int = ROUNDS, smoothing: float = SMOOTHING) -> dict[str, float]:
+    """Unigram scores of the vocabulary's pieces, fitted on all words. Uses are whole numbers, so their sums do not depend on the tasks."""
+    first = scores = zipf_scores(load_pieces(vocabulary or public_tokenizers.path(VOCABULARY)))
+    spark, path = docs.sparkSession, new_path(docs.sparkSession, "words")
+    word_counts(docs).write.parquet(path)
+    words = spark.read.schema("w string, n long").parquet(path)
+    for _ in range(rounds):
+        found = words.mapInArrow(partial(_uses, scores=scores), "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
+        used = {r.piece: float(r.n) for r in found.collect()}  # a row per piece of the vocabulary at most
+        if not used:
+            break
+        scores = _estimate(first, used, smoothing)
+    drop_stash(spark, path)
+    return scores
 
 
 class KeptCounts:

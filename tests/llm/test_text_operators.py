@@ -2,6 +2,7 @@ import hashlib
 import itertools
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -154,6 +155,25 @@ def test_fitted_scores_explain_the_sample_better(spark, sf):
     assert len(token_counts.sample_words(docs, 10, 50)[0]) == 50
 
 
+def test_scores_are_fitted_on_all_words(spark, monkeypatch):
+    """Every word of every document counts, long ones too, however small the bounds of a sample."""
+    monkeypatch.setattr(token_counts, "SAMPLE_DOCS", 2)
+    monkeypatch.setattr(token_counts, "SAMPLE_WORDS", 2)
+    texts = [f"the model number{i} of  things\n the {'long' * 30}" for i in range(40)] + [None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    uses = Counter(w for t in texts for w in re.findall(token_counts.BLANKS, t or ""))
+    assert {r.w: r.n for r in token_counts.word_counts(docs).collect()} == uses
+    scores = first_scores()
+    for _ in range(token_counts.ROUNDS):
+        used = Counter()
+        for w, n in uses.items():
+            for piece in slow_uses(w, scores):
+                used[piece] += n
+        scores = token_counts._estimate(first_scores(), used, token_counts.SMOOTHING)
+    got = token_counts.train(docs)
+    assert got.keys() == scores.keys() and max(abs(got[p] - scores[p]) for p in scores) < 1e-9
+
+
 def test_token_counts_equal_brute_force(spark, sf, odd_docs, no_docs):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     scores, known = token_counts.train(docs), {}
