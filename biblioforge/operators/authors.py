@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import parsing as P
 from ..functions.identifiers import (
@@ -24,8 +27,53 @@ from .relational import keep_first, mode_by, require
 MAX_FULL_NAMES = 5
 
 
-def _without(slots: Column, taken: Column) -> Column:
-    return F.when(taken.isNull(), slots).otherwise(F.filter(slots, lambda s: s["i"] != taken))
+def _take_emails(users: list[str | None], lasts: list[str], initials: list[str], longs: list[str]) -> list[int | None]:
+    """Index of the e-mail of each author of a row. What a text occurs in is looked up once a row, among distinct users, and an initial's e-mails are kept in
+    order, so an author costs what the surname and name parts hit."""
+    places: dict[str, list[int]] = {}  # of each user, the first left at the end
+    for i in reversed(range(len(users))):
+        if users[i] is not None:
+            places.setdefault(users[i], []).append(i)
+    hits: dict[str, list[str]] = {}
+    queues: dict[str, list[int]] = {}
+    taken, out = [False] * len(users), []
+
+    def held(text: str) -> list[str]:
+        if text not in hits:
+            hits[text] = [u for u in places if text in u]
+        return hits[text]
+
+    for last, initial, long in zip(lasts, initials, longs):
+        points: dict[str, int] = {}
+        for text, worth in [(last, 3), *((w, 1) for w in long.split(" "))]:
+            for u in held(text) if text else ():
+                points[u] = points.get(u, 0) + worth
+        best = max(((n + (2 if initial and initial in u else 0), -places[u][-1]) for u, n in points.items() if places[u]), default=(0, 0))
+        if initial:
+            if initial not in queues:
+                queues[initial] = sorted((i for u in held(initial) for i in places[u]), reverse=True)
+            queue = queues[initial]
+            while queue and taken[queue[-1]]:
+                queue.pop()
+            best = max(best, (2, -queue[-1])) if queue else best
+        out.append(-best[1] if best[0] else None)
+        if best[0]:
+            taken[-best[1]] = True
+            places[users[-best[1]]].pop()
+    left = iter([i for i, t in enumerate(taken) if not t])
+    return [next(left, None) if o is None else o for o in out]
+
+
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def _dealt_emails(emails: pa.Array, users: pa.Array, names: pa.Array) -> pa.Array:
+    def rows(lists: pa.Array, values: pa.Array):
+        """The lists of a batch, null as empty."""
+        flat, ends = values.to_numpy(zero_copy_only=False).tolist(), np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)).tolist()
+        return (flat[a:b] for a, b in zip([0, *ends], ends))
+
+    parts = names.flatten()
+    taken = (_take_emails(*row) for row in zip(rows(users, users.flatten()), *[rows(names, parts.field(f)) for f in ("last", "initial", "long")]))
+    return pa.array([[None if i is None else own[i] for i in at] for own, at in zip(rows(emails, emails.flatten()), taken)], pa.list_(pa.string()))
 
 
 def assign_emails(fullnames: Column, emails: Column) -> Column:
@@ -33,42 +81,26 @@ def assign_emails(fullnames: Column, emails: Column) -> Column:
 
     As many e-mails as authors: one each in order. Else each author in turn takes the best-scoring e-mail left, if any scores: 3 for the
     surname in the user part, 2 for the first initial, 1 for each name part over two letters; the first best wins. E-mails then left
-    go to authors without one, in order. A fold over the authors; e-mails are taken by index, so equal ones stay apart."""
-    order = "array<struct<name:string,email:int>>"
-    slots = F.transform(emails, lambda e, i: F.struct(i.alias("i"), F.lower(F.substring_index(e, "@", 1)).alias("user")))
+    go to authors without one, in order. E-mails are taken by index, so equal ones stay apart. Names and users are read natively; a row's
+    e-mails are dealt in Arrow batches, as a fold of columns looks at every e-mail left for every author."""
+    users = F.transform(emails, lambda e: F.lower(F.substring_index(e, "@", 1)))
 
-    def parts(name: Column) -> Column:
+    def words_of(name: Column) -> Column:
         low = F.lower(or_text(name))
+        return F.struct(low.alias("low"), F.split(F.trim(F.replace(low, F.lit(","), F.lit(" "))), r"\s+").alias("words"))
+
+    def parts(name: Column) -> Column:
+        low, words = name["low"], name["words"]
         comma = F.contains(low, F.lit(","))
-        words = F.split(F.trim(F.replace(low, F.lit(","), F.lit(" "))), r"\s+")
         last = F.when(comma, F.trim(F.substring_index(low, ",", 1))).otherwise(F.get(words, F.lit(0)))
         given = F.when(comma, F.trim(F.substring(low, F.instr(low, ",") + F.lit(1), F.length(low)))).otherwise(or_text(F.get(words, F.lit(1))))
-        long = F.filter(words, lambda w: F.length(w) > 2)
-        return F.struct(name.alias("name"), last.alias("last"), F.left(given, F.lit(1)).alias("initial"), long.alias("long"))
-
-    def score(user: Column, n: Column) -> Column:
-        points = F.when((n["last"] != "") & F.contains(user, n["last"]), 3).otherwise(0) + F.when((n["initial"] != "") & F.contains(user, n["initial"]), 2).otherwise(0)
-        return points + F.size(F.filter(n["long"], lambda w: F.contains(user, w)))
-
-    def step(acc: Column, n: Column) -> Column:
-        ranked = F.transform(acc["left"], lambda s: F.struct(score(s["user"], n).alias("points"), (-s["i"]).alias("at"), s["user"].alias("user")))
-        best = F.array_max(F.filter(ranked, lambda r: r["points"] > 0))
-        found = F.struct(n["name"].alias("name"), (-best["at"]).cast("int").alias("email"))
-        out = F.concat(acc["out"], F.array(found))
-        # read back from out, so that the ranking is computed once a name
-        return F.transform(F.array(out), lambda o: F.struct(o.alias("out"), _without(acc["left"], F.element_at(o, -1)["email"]).alias("left")))[0]
-
-    start = F.struct(F.array().cast(order).alias("out"), slots.alias("left"))
-    # what a name scores by is worked out once a name, not once a pair
-    matched = F.aggregate(F.transform(fullnames, parts), start, step)
-
-    def finish(acc: Column) -> Column:
-        gaps = F.filter(F.transform(acc["out"], lambda a, i: F.when(a["email"].isNull(), i)), lambda i: i.isNotNull())
-        return F.transform(
-            acc["out"], lambda a, i: F.get(emails, F.coalesce(a["email"], F.get(F.transform(acc["left"], lambda s: s["i"]), F.array_position(gaps, i).cast("int") - 1)))
-        )
-
-    folded = F.get(F.transform(F.array(matched), finish), F.lit(0))
+        long = F.array_join(F.filter(words, lambda w: F.length(w) > 2), " ")
+        return F.struct(last.alias("last"), F.left(given, F.lit(1)).alias("initial"), long.alias("long"))
+
+    # rows that need no matching go to Python empty
+    needed = F.coalesce((F.size(emails) != 0) & (F.size(emails) != F.size(fullnames)), F.lit(True))
+    dealt = _dealt_emails(*[F.when(needed, c) for c in (emails, users, F.transform(F.transform(fullnames, words_of), parts))])
+    folded = F.when(fullnames.isNotNull(), dealt)
     positional = F.slice(emails, 1, F.greatest(F.size(fullnames), F.lit(1)))
     return F.when(F.size(emails) == 0, F.transform(fullnames, lambda n: F.lit(None).cast("string"))).when(F.size(emails) == F.size(fullnames), positional).otherwise(folded)
 
