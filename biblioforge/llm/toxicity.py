@@ -226,7 +226,10 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TRAIN_TOXIC, cle
     # at most toxic_rows + clean_rows ids of 8 bytes
     sample = texts.join(F.broadcast(chosen), "doc_id").mapInArrow(_features, "toxic int, ids binary, counts binary, terms array<string>")
     rows = sorted(((r.toxic, bytes(r.ids), bytes(r.counts), list(r.terms)) for r in sample.toLocalIterator()), key=lambda r: r[:3])
-    return fit(rows)
+    model = fit(rows)
+    del rows
+    give_back()  # the driver holds the sample only while it fits
+    return model
 
 
 def score(docs: DataFrame, model: dict) -> DataFrame:

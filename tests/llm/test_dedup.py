@@ -1,3 +1,4 @@
+import re
 import hashlib
 import itertools
 
@@ -183,3 +184,14 @@ def test_components_build_no_table_in_the_driver(spark):
     for frame in frames:
         assert "Broadcast" not in frame._jdf.queryExecution().executedPlan().toString()
     assert {tuple(r) for r in frames[2].collect()} == {(1, 1), (3, 1), (1 << 40, 1)}
+
+
+def test_components_deal_edges_seldom(spark):
+    """A round moves edges four times at most (the hubs' least nodes, the edges, the small star's, the result), and stars need no round to be known as such."""
+    links = spark.createDataFrame([(2, 1), (3, 2), (9, 8)], "u long, v long")
+    round_of = components._star(components._star(links, True), False).distinct()
+    round_of.collect()
+    assert len(set(re.findall(r"Exchange .*?plan_id=(\d+)", round_of._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]))) <= 4
+    assert {tuple(r) for r in round_of.collect()} == {(2, 1), (3, 1), (9, 8)}
+    assert components._settled(round_of) and not components._settled(links)
+    assert not components._settled(spark.createDataFrame([(3, 1), (3, 2)], "u long, v long"))
