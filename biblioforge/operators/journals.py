@@ -103,8 +103,8 @@ def title_candidates(values: DataFrame, titles: DataFrame, cutoff: float) -> Dat
 
     A ratio of at least cutoff allows some k insertions and deletions, in proportion to the lengths. A title is cut into one segment more
     than any partner of it may have; one segment then stands unchanged in the value, moved by no more characters than the rest of
-    the edits explain. So pairs meet in an equi-join on (title length, segment, its text), and those whose Levenshtein
-    distance exceeds k, which it never can, go within the join."""
+    the edits explain. So pairs meet in an equi-join on (title length, segment, its text), as a hash of the three, and those whose Levenshtein
+    distance exceeds k, which it never can, go within the join. Only a hash and a text travel, and each once: a value's equal keys are dropped in its row."""
     reach = (200 - cutoff) / cutoff  # of the longer text's length to the shorter's
 
     def segments(length: Column) -> Column:
@@ -116,7 +116,7 @@ def title_candidates(values: DataFrame, titles: DataFrame, cutoff: float) -> Dat
 
     t = titles.select("t", F.length("t").alias("n")).withColumn("i", F.explode(F.sequence(F.lit(0), segments(F.col("n")) - 1)))
     t = t.withColumn("start", bound(F.col("i"), F.col("n"))).withColumn("size", bound(F.col("i") + 1, F.col("n")) - F.col("start"))
-    t = t.select("t", "n", "i", F.substr("t", F.col("start") + 1, "size").alias("segment"))
+    t = t.select("t", F.xxhash64("n", "i", F.substr("t", F.col("start") + 1, "size")).alias("key"))
 
     v = values.select("v", F.length("v").alias("m"))
     v = v.withColumn("n", F.explode(F.sequence(F.greatest(F.lit(1), F.ceil(F.col("m") / reach - 1e-6).cast("int")), F.floor(F.col("m") * reach + 1e-6).cast("int"))))
@@ -125,9 +125,10 @@ def title_candidates(values: DataFrame, titles: DataFrame, cutoff: float) -> Dat
     v = v.withColumn("start", bound(F.col("i"), F.col("n"))).withColumn("size", bound(F.col("i") + 1, F.col("n")) - F.col("start"))
     # |shift| edits before the segment and |m - n - shift| after it are k at most
     low, high = F.ceil((F.col("m") - F.col("n") - F.col("k")) / 2).cast("int"), F.floor((F.col("m") - F.col("n") + F.col("k")) / 2).cast("int")
-    v = v.withColumn("shift", F.explode(F.sequence(low, high))).withColumn("at", F.col("start") + F.col("shift")).where("at >= 0 AND at + size <= m")
-    v = v.select("v", "n", "k", "i", F.substr("v", F.col("at") + 1, "size").alias("segment")).distinct()
-    met = v.join(t, ["n", "i", "segment"]).where(F.levenshtein("v", "t") <= F.col("k"))
+    v = v.select("v", "n", "i", "start", "size", F.greatest(low, -F.col("start")).alias("low"), F.least(high, F.col("m") - F.col("size") - F.col("start")).alias("high")).where("low <= high")
+    key = lambda shift: F.xxhash64("n", "i", F.substr("v", F.col("start") + shift + 1, "size"))
+    v = v.select("v", F.explode(F.array_distinct(F.transform(F.sequence("low", "high"), key))).alias("key"))
+    met = v.join(t, "key").where(F.levenshtein("v", "t") <= _spare(F.length("v") + F.length("t"), cutoff))
     return met.select("v", "t").distinct()
 
 

@@ -69,3 +69,16 @@ def test_best_title_equals_brute_force(spark, monkeypatch, weighted, cutoff):
         if s >= cutoff:
             want[v] = (titles[-i], round(s, 9))
     assert len(got) == len(want) and got == want
+
+
+def test_candidates_move_a_hash_and_a_text_once(spark):
+    """Values, titles and pairs are dealt once each; no segment travels as text."""
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pairs = journals.title_candidates(frame(spark, ["AB" * 15, "JOURNAL OF CELLS"], "v"), frame(spark, ["AB" * 15 + "C", "JOURNAL OF CELL"], "t"), 90.0)
+        plan = pairs._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 3 and "hashpartitioning(key" in plan and "segment" not in plan
+        assert {tuple(r) for r in pairs.collect()} == {("AB" * 15, "AB" * 15 + "C"), ("JOURNAL OF CELLS", "JOURNAL OF CELL")}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
